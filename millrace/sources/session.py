@@ -87,20 +87,28 @@ def object_store_conf(
     return conf
 
 
-def scale_conf(shuffled_bytes: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
-    """Settings for a job that shuffles about ``shuffled_bytes``.
+def scale_conf(
+    input_bytes: int, partition_bytes: int = 256 * 1024**2, max_partitions: int = 50_000
+) -> dict[str, str]:
+    """Settings for a job that reads and shuffles about ``input_bytes``.
 
     Adaptive execution merges small shuffle partitions but splits only skewed ones, so the
     initial number must already fit the data: the default of 200 would make 500 GB
-    partitions out of 100 TB.
+    partitions out of 100 TB. Both sides of a shuffle are bounded, since the driver keeps a
+    status entry per map task that grows with the number of partitions: beyond
+    ``max_partitions`` of ``partition_bytes`` the partitions grow instead (and spill), and
+    scan tasks read more than Spark's 128 MB each. Written files still aim at
+    ``partition_bytes``.
     """
-    partitions = max(200, math.ceil(shuffled_bytes / partition_bytes))
+    partitions = min(max(200, math.ceil(input_bytes / partition_bytes)), max_partitions)
+    scan_bytes = max(128 * 1024**2, math.ceil(input_bytes / (2 * max_partitions)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
     }
 
 

@@ -1,0 +1,182 @@
+from math import prod
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+
+from millrace import explode_arrays, flatten
+from tests.conftest import plan_text, rows
+
+
+def has_type(schema, kind):
+    return any(isinstance(f.dataType, kind) for f in schema.fields)
+
+
+@pytest.fixture(scope="module")
+def everything(spark):
+    """One row that meets every rule."""
+    return spark.createDataFrame(
+        [(1, [1, 2], ["x", "y", "z"], ((5,), [(1, 2)]), {"k": 1}, None, [], [[1, 2], [3]])],
+        "id int, a array<int>, b array<string>, "
+        "s struct<p: struct<q: int>, r: array<struct<m: int, n: int>>>, "
+        "mp map<string,int>, en array<int>, ee array<int>, aa array<array<int>>",
+    )
+
+
+def test_flatten_names_and_positions(spark):
+    df = spark.createDataFrame(
+        [(1, (2, (3, [4])), "x")], "a int, s struct<b: int, t: struct<c: int, d: array<int>>>, z string"
+    )
+    flat = flatten(df)
+    assert flat.columns == ["a", "s_b", "s_t_c", "s_t_d", "z"]
+    assert flat.collect()[0] == (1, 2, 3, [4], "x")
+
+
+def test_flatten_null_struct_gives_null_fields(spark):
+    df = spark.createDataFrame([(1, None)], "a int, s struct<b: int, t: struct<c: int>>")
+    assert tuple(flatten(df).collect()[0]) == (1, None, None)
+
+
+def test_flatten_is_one_projection(everything):
+    plan = everything.transform(flatten)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Project") == 1
+
+
+def test_flatten_keeps_flat_frames(spark):
+    assert flatten(spark.range(2)).columns == ["id"]
+
+
+def test_field_names_with_dots_spaces_and_backquotes(spark):
+    schema = StructType(
+        [
+            StructField(
+                "a.b", StructType([StructField("c d", LongType()), StructField("e`f", LongType())])
+            )
+        ]
+    )
+    flat = flatten(spark.createDataFrame([((1, 2),)], schema))
+    assert flat.columns == ["a.b_c d", "a.b_e`f"]
+    assert tuple(flat.collect()[0]) == (1, 2)
+
+
+def test_name_collision_is_refused_before_running(spark):
+    df = spark.createDataFrame([((1,), 2)], "a struct<b: int>, A_B int")
+    with pytest.raises(ValueError, match="a_b"):
+        flatten(df)
+
+
+def test_collision_below_an_array_is_refused(spark):
+    df = spark.createDataFrame([([(1,)], 2)], "a array<struct<b: int>>, a_b int")
+    with pytest.raises(ValueError, match="a_b"):
+        explode_arrays(df)
+
+
+def test_explode_covers_every_shape(everything):
+    out = explode_arrays(everything)
+    assert out.columns == ["id", "a", "b", "s_p_q", "s_r_m", "s_r_n", "mp", "en", "ee", "aa"]
+    assert not has_type(out.schema, (ArrayType, StructType))
+    expected = [
+        (1, a, b, 5, 1, 2, {"k": 1}, None, None, aa)
+        for a in (1, 2)
+        for b in "xyz"
+        for aa in (1, 2, 3)
+    ]
+    assert rows(out) == sorted(expected, key=repr)
+
+
+def test_explode_keeps_empty_and_null_at_every_level(spark):
+    df = spark.createDataFrame(
+        [(1, [[1], [], None]), (2, []), (3, None)], "id int, aa array<array<int>>"
+    )
+    out = explode_arrays(df)
+    assert rows(out) == sorted([(1, 1), (1, None), (1, None), (2, None), (3, None)], key=repr)
+
+
+def test_arrays_in_structs_in_arrays(spark):
+    df = spark.createDataFrame(
+        [(1, [("p", [(1, [7, 8]), (2, [])]), ("q", None)])],
+        "id int, o array<struct<name: string, items: array<struct<n: int, tags: array<int>>>>>",
+    )
+    out = explode_arrays(df)
+    assert out.columns == ["id", "o_name", "o_items_n", "o_items_tags"]
+    expected = [(1, "p", 1, 7), (1, "p", 1, 8), (1, "p", 2, None), (1, "q", None, None)]
+    assert rows(out) == sorted(expected, key=repr)
+
+
+def test_filter_written_after_explode_runs_before_it(spark, tmp_path):
+    spark.createDataFrame([(1, [1, 2]), (None, [3])], "id int, a array<int>").write.parquet(
+        str(tmp_path / "in")
+    )
+    out = explode_arrays(spark.read.parquet(str(tmp_path / "in"))).filter(F.col("id").isNotNull())
+    assert "PushedFilters: [IsNotNull(id)]" in plan_text(out)
+    assert rows(out) == [(1, 1), (1, 2)]
+
+
+def test_explode_does_not_shuffle(everything):
+    assert "Exchange" not in plan_text(explode_arrays(everything))
+
+
+SHAPES = st.recursive(
+    st.just(LongType()),
+    lambda inner: st.one_of(
+        st.builds(ArrayType, inner),
+        st.lists(inner, min_size=1, max_size=3).map(
+            lambda types: StructType([StructField(f"f{i}", t) for i, t in enumerate(types)])
+        ),
+    ),
+    max_leaves=5,
+)
+
+
+def values(dtype):
+    if isinstance(dtype, StructType):
+        filled = st.tuples(*[values(f.dataType) for f in dtype.fields])
+    elif isinstance(dtype, ArrayType):
+        filled = st.lists(values(dtype.elementType), max_size=3)
+    else:
+        filled = st.integers(0, 9)
+    return st.one_of(st.none(), filled)
+
+
+def brute_force(dtype, value):
+    """All flat tuples one value explodes into."""
+    if isinstance(dtype, StructType):
+        parts = [
+            brute_force(f.dataType, None if value is None else value[i])
+            for i, f in enumerate(dtype.fields)
+        ]
+        out = [()]
+        for part in parts:
+            out = [left + right for left in out for right in part]
+        return out
+    if isinstance(dtype, ArrayType):
+        return [flat for item in (value or [None]) for flat in brute_force(dtype.elementType, item)]
+    return [(value,)]
+
+
+@settings(
+    max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(data=st.data())
+def test_explode_equals_brute_force(spark, data):
+    types = data.draw(st.lists(SHAPES, min_size=1, max_size=3))
+    schema = StructType([StructField(f"c{i}", t) for i, t in enumerate(types)])
+    record = data.draw(st.tuples(*[values(t) for t in types]))
+    df = spark.createDataFrame([record], schema)
+    assert not has_type(flatten(df).schema, StructType)
+    out = explode_arrays(df)
+    assert not has_type(out.schema, (StructType, ArrayType))
+    assert rows(out) == sorted(brute_force(schema, record), key=repr)
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(lengths=st.lists(st.integers(0, 4), min_size=1, max_size=4))
+def test_row_count_is_the_product_of_lengths(spark, lengths):
+    schema = StructType(
+        [StructField(f"a{i}", ArrayType(StringType())) for i in range(len(lengths))]
+    )
+    df = spark.createDataFrame([tuple(["v"] * n for n in lengths)], schema)
+    assert explode_arrays(df).count() == prod(max(n, 1) for n in lengths)
