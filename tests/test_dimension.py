@@ -1,0 +1,118 @@
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from millrace import duplicate_keys, join_dimension
+from tests.conftest import plan_text, rows
+
+
+def role(fact, dim, key="k", columns=None):
+    return join_dimension(
+        fact, dim, fact_key=key, dimension_key="id", columns=columns or {"name": "k_name"}
+    )
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.createDataFrame([(1, "a"), (2, "b"), (None, "none")], "id int, name string")
+
+
+def test_unmatched_and_null_keys_keep_the_fact(spark, dim):
+    fact = spark.createDataFrame([(1, 10), (3, 30), (None, 40)], "k int, v int")
+    out = role(fact, dim)
+    assert out.columns == ["k", "v", "k_name"]
+    assert rows(out) == sorted([(1, 10, "a"), (3, 30, None), (None, 40, None)], key=repr)
+
+
+def test_same_dimension_in_two_roles(spark, dim):
+    fact = spark.createDataFrame([(1, 2), (2, 9)], "x int, y int")
+    out = role(role(fact, dim, "x", {"name": "x_name"}), dim, "y", {"name": "y_name"})
+    assert rows(out) == [(1, 2, "a", "b"), (2, 9, "b", None)]
+
+
+def test_fact_may_share_names_with_the_dimension(spark, dim):
+    fact = spark.createDataFrame([(1, "fact")], "id int, id_joined string")
+    out = role(fact, dim, "id", {"name": "label"})
+    assert out.columns == ["id", "id_joined", "label"]
+    assert rows(out) == [(1, "fact", "a")]
+
+
+def test_self_join_of_one_frame(dim):
+    out = role(dim, dim, "id", {"name": "again"})
+    assert rows(out) == sorted([(1, "a", "a"), (2, "b", "b"), (None, "none", None)], key=repr)
+
+
+def test_repeated_output_name_is_refused(spark, dim):
+    fact = spark.createDataFrame([(1, "x")], "k int, K_NAME string")
+    with pytest.raises(ValueError, match="k_name"):
+        role(fact, dim)
+
+
+def test_duplicate_keys_multiply_and_can_be_found(spark):
+    dim = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "id int, name string"
+    )
+    fact = spark.createDataFrame([(1,), (2,)], "k int")
+    assert rows(role(fact, dim)) == [(1, "a"), (1, "b"), (2, "c")]
+    assert rows(duplicate_keys(dim, "id")) == [(1, 2)]
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    keys=st.lists(st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=20),
+    known=st.sets(st.integers(0, 5)),
+)
+def test_unique_dimension_preserves_the_rows(spark, keys, known):
+    fact = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int")
+    dim = spark.createDataFrame([(k, f"n{k}") for k in known], "id int, name string")
+    expected = [(k, i, f"n{k}" if k in known else None) for i, k in enumerate(keys)]
+    assert rows(role(fact, dim)) == sorted(expected, key=repr)
+
+
+@pytest.fixture(scope="module")
+def files(spark, tmp_path_factory):
+    """A fact whose key is null or 0 in two thirds of its rows, and a dimension."""
+    folder = str(tmp_path_factory.mktemp("dimension"))
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 0).when(n % 3 == 1, n % 500)
+    fact = spark.range(0, 60_000, numPartitions=16).select(
+        key.alias("k"), F.sha2(n.cast("string"), 256).alias("payload"), n.alias("unused")
+    )
+    fact.write.parquet(f"{folder}/fact")
+    spark.range(500).select("id", F.concat(F.lit("n"), "id").alias("name")).write.parquet(
+        f"{folder}/dim"
+    )
+    return spark.read.parquet(f"{folder}/fact"), spark.read.parquet(f"{folder}/dim")
+
+
+def test_small_dimension_is_broadcast_once_for_both_roles(files):
+    fact, dim = files
+    out = role(fact.withColumn("k2", F.col("k") + 1), dim, columns={"name": "first"})
+    out = role(out, dim, "k2", {"name": "second"}).select("first", "second")
+    out.write.format("noop").mode("overwrite").save()
+    assert len(out.collect()) == 60_000
+    plan = plan_text(out).split("Initial Plan")[0]
+    assert plan.count("BroadcastHashJoin LeftOuter") == 2
+    assert plan.count("ReusedExchange") >= 1
+    assert "Exchange hashpartitioning" not in plan
+    assert "payload" not in plan and "unused" not in plan
+
+
+def test_large_dimension_splits_hot_and_null_keys(files, set_conf):
+    """Past the broadcast limit, no task gets all rows of the hot key."""
+    fact, dim = files
+    set_conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+    )
+    out = role(fact, dim).withColumn("task", F.spark_partition_id())
+    found = out.collect()
+    assert len(found) == 60_000
+    assert all(r.k_name == (None if r.k is None else f"n{r.k}") for r in found)
+    assert "skew=true" in plan_text(out, "simple")
+    assert len({r.task for r in found if r.k == 0}) > 1
+    assert len({r.task for r in found if r.k is None}) > 1
