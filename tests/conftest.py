@@ -15,11 +15,14 @@ os.environ.setdefault("TZ", "UTC")
 def spark():
     folder = tempfile.mkdtemp(prefix="run-")
     session = (
-        SparkSession.builder.master("local[8]")
+        # A failed task is tried again, as on a cluster.
+        SparkSession.builder.master("local[8,4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "8")
+        # Small tables of many dates: let several tasks write them.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .config("spark.checkpoint.dir", f"{folder}/shared")

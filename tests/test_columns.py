@@ -1,3 +1,6 @@
+import re
+
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace import bytes_to_text, lookup, strip_whitespace
@@ -47,3 +50,32 @@ def test_strip_whitespace_everywhere_in_the_value(spark):
 def test_bytes_to_text(spark):
     df = spark.createDataFrame([(bytearray("é{}".encode()),), (None,)], "v binary")
     assert rows(df.select(bytes_to_text(F.col("v")))) == sorted([("é{}",), (None,)], key=repr)
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.text(st.sampled_from(" \t\n\x0b\f\rab\u00a0\u2003é中"), max_size=30), min_size=1))
+def test_strip_whitespace_equals_its_definition(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", strip_whitespace(F.col("t")).alias("t"))
+    assert rows(out) == rows(
+        spark.createDataFrame(
+            [(i, re.sub(r"[ \t\n\x0b\f\r]", "", t)) for i, t in enumerate(texts)],
+            "i int, t string",
+        )
+    )
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    mapping=st.dictionaries(st.one_of(st.none(), st.integers(-5, 5)), st.text("xyz", max_size=2)),
+    codes=st.lists(st.one_of(st.none(), st.integers(-6, 6)), min_size=1, max_size=20),
+    default=st.one_of(st.none(), st.just("other")),
+)
+def test_lookup_equals_a_dictionary(spark, mapping, codes, default):
+    df = spark.createDataFrame([(c,) for c in codes], "c bigint")
+    out = df.select("c", lookup(mapping, F.col("c"), default).alias("label"))
+    assert rows(out) == sorted([(c, mapping.get(c, default)) for c in codes], key=repr)

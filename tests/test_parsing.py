@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -145,3 +146,40 @@ def test_required_may_be_a_nested_column(spark):
     out = parsed(spark, message(), message(buyer=None), required="buyer_buyer_id")
     assert [r.buyer_buyer_id for r in out.collect()] == [7]
     assert out.filter(F.col("buyer_buyer_id").isNull()).count() == 0
+
+
+WORD = st.one_of(st.none(), st.text("ab cé\t", max_size=5))
+NUMBER = st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1))
+RECORD = st.fixed_dictionaries(
+    {
+        "transaction_id": WORD,
+        "buyer": st.one_of(
+            st.none(), st.fixed_dictionaries({"buyer_id": NUMBER, "city": WORD, "name": WORD})
+        ),
+        "seller": st.fixed_dictionaries({}, optional={"platform": WORD, "seller_id": NUMBER}),
+        "transaction_details": st.fixed_dictionaries(
+            {"amount": st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False))},
+            optional={"currency": WORD, "merchant": WORD, "transaction_time": WORD},
+        ),
+    }
+)
+
+
+@settings(
+    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(records=st.lists(RECORD, min_size=1, max_size=5))
+def test_parsing_equals_brute_force(spark, records):
+    def flat(record):
+        buyer, seller = record["buyer"] or {}, record["seller"]
+        details = record["transaction_details"]
+        found = [record["transaction_id"]]
+        found += [buyer.get(k) for k in ("buyer_id", "city", "name")]
+        found += [seller.get(k) for k in ("platform", "seller_id")]
+        found += [details.get(k) for k in ("amount", "currency", "merchant", "transaction_time")]
+        # Only spaces are whitespace in the JSON text: json.dumps escapes tabs.
+        return tuple(v.replace(" ", "") if isinstance(v, str) else v for v in found)
+
+    out = parsed(spark, *[json.dumps(r, ensure_ascii=False) for r in records])
+    expected = [flat(r) for r in records if r["transaction_id"] is not None]
+    assert rows(out) == sorted(expected, key=repr)

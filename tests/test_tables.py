@@ -108,6 +108,21 @@ def test_replace_runs_its_input_once(spark, namespace):
     assert ran.value == 50
 
 
+@pytest.mark.parametrize("partition_by", [None, "d"])
+def test_retried_tasks_are_counted_once(spark, namespace, partition_by):
+    def fail_first(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost on purpose")
+
+    df = dated(spark, 200).repartition(4).mapInPandas(fail_first, "id bigint, d date, z string")
+    assert replace_table(df, f"{namespace}.retried", partition_by=partition_by) == 200
+    assert rows(spark.table(f"{namespace}.retried").select("id", "d", "z")) == rows(dated(spark, 200))
+
+
 def test_empty_input_gives_an_empty_table(spark, namespace):
     assert replace_table(dated(spark, 0), f"{namespace}.none", partition_by="d") == 0
     assert spark.table(f"{namespace}.none").count() == 0

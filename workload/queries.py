@@ -140,10 +140,11 @@ def transaction_messages(orders: DataFrame) -> DataFrame:
             F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("transaction_time"),
         ).alias("transaction_details"),
     )
-    text = F.to_json(record)
-    cut_off = F.substring(text, F.lit(1), F.length(text) - 1)
-    sent = F.when(F.col("o_orderstatus") == "P", cut_off).otherwise(text)
-    return orders.select(sent.cast("binary").alias("value"))
+    # Two projections: each record is written as text once, whatever uses the text.
+    texts = orders.select("o_orderstatus", F.to_json(record).alias("text"))
+    cut_off = F.substring("text", F.lit(1), F.length("text") - 1)
+    sent = F.when(F.col("o_orderstatus") == "P", cut_off).otherwise(F.col("text"))
+    return texts.select(sent.cast("binary").alias("value"))
 
 
 def words(text: Column) -> Column:
