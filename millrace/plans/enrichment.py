@@ -44,11 +44,11 @@ def enrich(
 
     Output: the facts without the coded columns, then the labels, the date, and the columns
     of each role in order. All facts are kept. A zoned ``event_time`` is cut to a date in
-    the session time zone.
+    the session time zone; text that is no date gives a null date instead of ending the job.
     """
     added = {part.label: lookup(part.mapping, F.col(quote(part.code))) for part in labels}
     if event_time is not None:
-        added[date_column] = F.to_date(F.col(quote(event_time)))
+        added[date_column] = F.try_to_date(F.col(quote(event_time)))
     # A label may carry the name of a code column, as long as that code column goes away.
     coded = {part.code.lower() for part in labels}
     kept = [c for c in facts.columns if c.lower() not in coded]

@@ -91,6 +91,23 @@ def test_label_may_take_the_name_of_its_code(spark, zones):
     assert rows(out) == [(2, "one", "Jamaica Bay")]
 
 
+def test_event_time_as_text_or_zoned(spark, zones, set_conf):
+    facts = spark.createDataFrame(
+        [(1, "2025-02-03 23:30:00"), (2, "2025-02-30"), (3, "soon"), (4, None)], "id int, t string"
+    )
+    dated = enrich(facts, zones, dimension_key="LocationID", roles=[], event_time="t")
+    assert rows(dated.select("id", "cobdate")) == sorted(
+        [(1, dt.date(2025, 2, 3)), (2, None), (3, None), (4, None)], key=repr
+    )
+    set_conf(spark__sql__session__timeZone="America/New_York")
+    zoned = spark.sql("SELECT TIMESTAMP'2025-02-03 23:30:00 UTC' AS t")
+    out = enrich(zoned, zones, dimension_key="LocationID", roles=[], event_time="t", date_column="d")
+    assert out.collect()[0].d == dt.date(2025, 2, 3)
+    late = spark.sql("SELECT TIMESTAMP'2025-02-04 03:30:00 UTC' AS t")
+    out = enrich(late, zones, dimension_key="LocationID", roles=[], event_time="t", date_column="d")
+    assert out.collect()[0].d == dt.date(2025, 2, 3)
+
+
 def test_repeated_label_is_refused(spark, zones):
     facts = spark.createDataFrame([(1, 2)], "code int, place int")
     with pytest.raises(ValueError, match="place"):

@@ -34,6 +34,13 @@ def test_csv_header_quotes_empty_and_na(spark, tmp_path):
     assert rows(out) == sorted(expected, key=repr)
 
 
+def test_csv_reads_only_the_columns_in_use(spark, tmp_path):
+    (tmp_path / "zones.csv").write_text("LocationID,Borough,Zone,service_zone\n1,a,b,c\n")
+    out = read_csv(spark, str(tmp_path), ZONE_SCHEMA).select("Zone")
+    assert rows(out) == [("b",)]
+    assert "ReadSchema: struct<Zone:string>" in plan_text(out)
+
+
 def test_csv_columns_in_another_order_fail(spark, tmp_path):
     (tmp_path / "zones.csv").write_text("LocationID,Zone,Borough,service_zone\n1,a,b,c\n")
     with pytest.raises(Exception, match="CSV header does not conform to the schema"):
