@@ -87,10 +87,20 @@ def ingest_transactions(
     every: str = "6 seconds",
     until_caught_up: bool = False,
     metrics: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Append the parsed messages to ``table``, which is created if absent."""
+    """Append the parsed messages to ``table``, which is created if absent.
+
+    See :func:`parse_transactions` for ``metrics`` and :func:`start_append` for the rest.
+    """
     rows = parse_transactions(messages, schema, metrics=metrics)
     ensure_table(rows.sparkSession, table, rows.schema, fmt)
     return start_append(
-        rows, table, checkpoint, fmt=fmt, every=every, until_caught_up=until_caught_up
+        rows,
+        table,
+        checkpoint,
+        fmt=fmt,
+        every=every,
+        until_caught_up=until_caught_up,
+        files_per_batch=files_per_batch,
     )

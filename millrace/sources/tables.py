@@ -65,29 +65,31 @@ def replace_table(
 ) -> int:
     """Create or replace ``table`` with ``df`` and return the number of rows written.
 
-    The rows are counted inside the write, in its last stage, so ``df`` runs once and a
-    retried task is not counted twice.
-
-    In a v2 catalog the replacement is one atomic commit and the table's own distribution
-    rules arrange the rows. In the session catalog the old table is dropped before the new
-    one is written, so ``df`` must not read it; rows are rebalanced by ``partition_by``
-    first, which gives each partition few files and lets adaptive execution split a
-    partition value that holds more than one task should write.
+    ``df`` runs once; a retried task is never counted twice.
+
+    In a v2 catalog the replacement is one atomic commit, and the table's own distribution
+    rules arrange the rows, possibly in a stage after ``df``. The rows are therefore counted
+    in the written table, which such tables answer from their metadata.
+
+    In the session catalog the old table is dropped before the new one is written, so ``df``
+    must not read it; rows are rebalanced by ``partition_by`` first, which gives each
+    partition few files and lets adaptive execution split a partition value that holds more
+    than one task should write. The rows are counted by the tasks that write them.
     """
     spark = df.sparkSession
-    written = Observation()
     if _is_v2(spark, table):
-        writer = observe_rows(df, written).writeTo(table).using(fmt)
+        target = df.writeTo(table).using(fmt)
         if partition_by is not None:
-            writer = writer.partitionedBy(F.col(quote(partition_by)))
-        writer.createOrReplace()
-    else:
-        if partition_by is not None:
-            df = df.hint("rebalance", quote(partition_by))
-        writer = observe_rows(df, written).write.format(fmt).mode("overwrite")
-        if partition_by is not None:
-            writer = writer.partitionBy(partition_by)
-        writer.saveAsTable(table)
+            target = target.partitionedBy(F.col(quote(partition_by)))
+        target.createOrReplace()
+        return spark.table(table).count()
+    if partition_by is not None:
+        df = df.hint("rebalance", quote(partition_by))
+    written = Observation()
+    writer = observe_rows(df, written).write.format(fmt).mode("overwrite")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.saveAsTable(table)
     return written.get["rows"]
 
 

@@ -15,6 +15,7 @@ def start_append(
     every: str = "6 seconds",
     until_caught_up: bool = False,
     name: str | None = None,
+    files_per_batch: int | None = None,
     **options: object,
 ) -> StreamingQuery:
     """Start appending ``stream`` to ``table`` and return the running query.
@@ -24,7 +25,13 @@ def start_append(
     stops. Progress is kept in ``checkpoint``, which must be on storage that all executors
     reach and belong to this query alone; starting again with it continues where the last
     run stopped. The caller waits with ``query.awaitTermination()``.
+
+    Each task of a batch writes one file, so a source of a thousand partitions read every
+    few seconds makes millions of small files a day. ``files_per_batch`` shuffles the
+    parsed rows of a batch into that many evenly filled files instead.
     """
+    if files_per_batch is not None:
+        stream = stream.repartition(files_per_batch)
     writer = (
         stream.writeStream.format(fmt)
         .outputMode("append")

@@ -19,6 +19,8 @@ def spark():
         SparkSession.builder.master("local[8,4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
+        # No checksum files beside those on the local disk: a table of many dates is many files.
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "8")
         # Small tables of many dates: let several tasks write them.

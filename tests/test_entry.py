@@ -29,6 +29,18 @@ def duck():
     return connection
 
 
+# DuckDB's names of the Spark types that occur.
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def by_name(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted(repr([r[i] for i in order]) for r in records)
@@ -37,7 +49,10 @@ def by_name(columns, records):
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_matches_its_sql(spark, duck, name):
     result = entry.queries()[name](spark, str(DATA))
-    expected = duck.execute(entry.oracle_sql()[name])
+    sql = entry.oracle_sql()[name]
+    described = {column: kind for column, kind, *_ in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {column: SQL_TYPES[kind] for column, kind in result.dtypes} == described
+    expected = duck.execute(sql)
     names = [column[0] for column in expected.description]
     assert by_name(result.columns, result.collect()) == by_name(names, expected.fetchall())
 

@@ -1,11 +1,13 @@
+import glob
 import json
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace import ingest_transactions, parse_transactions, start_append
-from millrace.sources import drop_table, read_file_stream
+from millrace import Labels, Role, enrich, ingest_transactions, parse_transactions, start_append
+from millrace.sources import drop_table, ensure_namespace, read_file_stream
+from workload.scratch import scratch_folder
 from tests.conftest import plan_text, rows
 
 MESSAGE = StructType().add("value", "binary")
@@ -162,3 +164,42 @@ def test_arrays_are_exploded_on_a_stream(spark, landing, tmp_path, namespace):
     spark.createDataFrame(values, MESSAGE).write.parquet(landing)
     ingest(spark, landing, f"{namespace}.t", tmp_path, schema=schema)
     assert rows(spark.table(f"{namespace}.t")) == sorted([("a", 1), ("a", 2), ("b", None)], key=repr)
+
+
+def test_files_per_batch(spark, landing, tmp_path):
+    folder = scratch_folder(spark)
+    namespace = f"files_{folder.rsplit('/', 1)[1]}"
+    ensure_namespace(spark, namespace, folder)
+    for i in "abcdef":
+        land(spark, landing, i)
+    ingest(spark, landing, f"{namespace}.many", tmp_path)
+    assert len(glob.glob(f"{folder}/many/*.parquet")) > 1
+    ingest(spark, landing, f"{namespace}.one", tmp_path / "other", files_per_batch=1)
+    assert len(glob.glob(f"{folder}/one/*.parquet")) == 1
+    assert ids(spark, f"{namespace}.one") == ids(spark, f"{namespace}.many") == list("abcdef")
+
+
+def test_enrichment_of_a_stream_equals_batch(spark, tmp_path, namespace):
+    """A stream may be enriched with the same function, against a static dimension."""
+    source = str(tmp_path / "in")
+    facts = spark.range(20).selectExpr(
+        "id", "id % 3 AS code", "id % 4 AS place", "TIMESTAMP'2025-01-01' AS t"
+    )
+    facts.write.parquet(source)
+    places = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "key int, name string")
+
+    def enriched(df):
+        return enrich(
+            df,
+            places,
+            dimension_key="key",
+            roles=[Role("place", {"name": "place_name"}), Role("id", {"name": "id_name"})],
+            labels=[Labels("code", "label", {0: "zero", 1: "one"})],
+            event_time="t",
+        )
+
+    stream = read_file_stream(spark, source, facts.schema)
+    start_append(
+        enriched(stream), f"{namespace}.t", str(tmp_path / "checkpoint"), until_caught_up=True
+    ).awaitTermination()
+    assert rows(spark.table(f"{namespace}.t")) == rows(enriched(facts))

@@ -140,6 +140,15 @@ ORACLE: dict[str, str] = {
     "explode_vectors": "SELECT vec_id, unnest(embedding) AS embedding, label FROM embeddings",
     "enrichment": ENRICHED,
     "batch_enrichment": ENRICHED,
+    "batch_enrichment_events": f"""
+        SELECT event_id, ts, user_id, value, CAST(props ->> '$.k' AS bigint) AS k,
+               {EVENT_LABEL} AS event_label, CAST(ts AS date) AS cobdate,
+               a.s_name AS user_name, a.s_nationkey AS user_nationkey,
+               b.s_name AS partner_name, b.s_nationkey AS partner_nationkey
+        FROM events
+        LEFT JOIN supplier a ON user_id = a.s_suppkey
+        LEFT JOIN supplier b ON CAST(props ->> '$.k' AS bigint) = b.s_suppkey
+    """,
     "stream_append": "SELECT * FROM events",
     "stream_interval": "SELECT * FROM events",
     "stream_restart": TRANSACTIONS,

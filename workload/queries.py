@@ -227,7 +227,7 @@ def replace_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The count observed during a write beside the count of the written table."""
     name = f"{scratch_namespace(spark)}.counted"
     written = replace_table(dated_events(spark, sf_dir), name, partition_by="cobdate")
-    return count_rows(spark.table(name), "n_table").withColumn("n_written", F.lit(written))
+    return count_rows(spark.table(name), "n_table").withColumn("n_written", F.lit(written).cast("bigint"))
 
 
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,6 +416,30 @@ def batch_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*result.columns)
 
 
+def batch_enrichment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job on events; many users are no supplier, so their role stays null."""
+    facts = parse_json(
+        table(spark, sf_dir, "events"),
+        "props",
+        PROPS_SCHEMA,
+        keep=("event_id", "ts", "user_id", "event_type", "value"),
+    )
+    result = enrich(
+        facts,
+        table(spark, sf_dir, "supplier"),
+        dimension_key="s_suppkey",
+        roles=[
+            Role("user_id", {"s_name": "user_name", "s_nationkey": "user_nationkey"}),
+            Role("k", {"s_name": "partner_name", "s_nationkey": "partner_nationkey"}),
+        ],
+        labels=[Labels("event_type", "event_label", EVENT_LABELS)],
+        event_time="ts",
+    )
+    name = f"{scratch_namespace(spark)}.events"
+    replace_table(result, name, partition_by="cobdate")
+    return spark.table(name).select(*result.columns)
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -495,6 +519,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_vectors": explode_vectors,
     "enrichment": enrichment,
     "batch_enrichment": batch_enrichment,
+    "batch_enrichment_events": batch_enrichment_events,
     "stream_append": stream_append,
     "stream_interval": stream_interval,
     "stream_restart": stream_restart,
