@@ -2,6 +2,7 @@
 
 from millrace.functions import bytes_to_text, lookup, strip_whitespace
 from millrace.operators import (
+    broadcast_within,
     count_rows,
     drop_missing,
     duplicate_keys,
@@ -27,6 +28,7 @@ __all__ = [
     "Labels",
     "Role",
     "TRANSACTION_SCHEMA",
+    "broadcast_within",
     "bytes_to_text",
     "count_rows",
     "drop_missing",

@@ -24,10 +24,11 @@ def join_dimension(
     join the same table in another role: both calls project the same columns, so Spark
     reads and broadcasts the dimension once.
 
-    No join hint is given. Spark broadcasts the dimension only while its measured size is
+    No join hint is given. Spark broadcasts the dimension only while it estimates its size
     under ``spark.sql.autoBroadcastJoinThreshold``; beyond that the join shuffles both
     sides, and adaptive execution splits a partition swollen by one hot or null key
-    (``spark.sql.adaptive.skewJoin.enabled``).
+    (``spark.sql.adaptive.skewJoin.enabled``). A dimension that is itself a join is
+    estimated far too large: pass it through :func:`broadcast_within`.
     """
     require_distinct((*fact.columns, *columns.values()), "joining a dimension")
     taken = {name.lower() for name in (*fact.columns, *columns.values())}
@@ -41,6 +42,20 @@ def join_dimension(
     return fact.join(role, F.col(quote(fact_key)) == F.col(quote(key)), "left").drop(key)
 
 
+def broadcast_within(dimension: DataFrame, limit_bytes: int = 32 * 1024**2) -> DataFrame:
+    """``dimension``, marked for broadcast if its rows take at most ``limit_bytes``.
+
+    Measures the rows by running ``dimension`` once, as a distributed sum. That pays off for
+    a computed dimension: Spark multiplies the sizes of joined tables, so two small ones
+    may look too large to broadcast, and the whole fact table would be shuffled for them.
+    A larger dimension is returned as it is. Select the needed columns first.
+    """
+    # Text of a row, plus a word for each field and for the row itself.
+    text = F.octet_length(F.to_json(F.struct(*[F.col(quote(c)) for c in dimension.columns])))
+    size = dimension.agg(F.sum(text + 8 * (len(dimension.columns) + 1))).first()[0] or 0
+    return F.broadcast(dimension) if size <= limit_bytes else dimension
+
+
 def duplicate_keys(dimension: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their number of rows; empty when it is safe to join."""
     return (

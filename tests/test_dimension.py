@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace import duplicate_keys, join_dimension
+from millrace import broadcast_within, duplicate_keys, join_dimension
 from tests.conftest import plan_text, rows
 
 
@@ -116,3 +116,31 @@ def test_large_dimension_splits_hot_and_null_keys(files, set_conf):
     assert "skew=true" in plan_text(out, "simple")
     assert len({r.task for r in found if r.k == 0}) > 1
     assert len({r.task for r in found if r.k is None}) > 1
+
+
+def test_a_computed_dimension_is_broadcast_by_its_measured_size(files, set_conf):
+    """Spark multiplies the sizes of the two small tables; measuring them corrects that."""
+    fact, dim = files
+    set_conf(spark__sql__autoBroadcastJoinThreshold="20KB")
+    named = join_dimension(
+        dim.select("id"), dim, fact_key="id", dimension_key="id", columns={"name": "name"}
+    )
+    assert "SortMergeJoin LeftOuter" in plan_text(role(fact, named))
+    small = role(fact, broadcast_within(named))
+    plan = plan_text(small)
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    beyond = role(fact, broadcast_within(named, limit_bytes=1_000))
+    assert "SortMergeJoin LeftOuter" in plan_text(beyond)
+    assert rows(small.select("k", "k_name")) == rows(beyond.select("k", "k_name"))
+
+
+def test_measured_size_of_empty_wide_and_null_rows(spark):
+    def is_hinted(df, limit):
+        bounded = broadcast_within(df, limit)
+        return "ResolvedHint" in bounded._jdf.queryExecution().analyzed().toString()
+
+    schema = "id int, name string, payload binary"
+    assert is_hinted(spark.createDataFrame([], schema), 0)
+    assert not is_hinted(spark.createDataFrame([(None, None, None)], schema), 31)
+    wide = spark.createDataFrame([(1, "é" * 1000, bytearray(1000))], schema)
+    assert is_hinted(wide, 4_000) and not is_hinted(wide, 3_000)

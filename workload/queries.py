@@ -11,6 +11,7 @@ from millrace import (
     TRANSACTION_SCHEMA,
     Labels,
     Role,
+    broadcast_within,
     bytes_to_text,
     count_rows,
     drop_missing,
@@ -87,13 +88,14 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations with the name of their region: the small table joined in two roles."""
-    return join_dimension(
+    named = join_dimension(
         table(spark, sf_dir, "nation"),
         table(spark, sf_dir, "region"),
         fact_key="n_regionkey",
         dimension_key="r_regionkey",
         columns={"r_name": "r_name"},
     )
+    return broadcast_within(named.select("n_nationkey", "n_name", "r_name"))
 
 
 def place_roles() -> list[Role]:
@@ -390,10 +392,11 @@ def role_playing_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = shipments(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", "from_nationkey", "to_nationkey"
     )
+    nations = places(spark, sf_dir)
     for role in place_roles():
         result = join_dimension(
             result,
-            places(spark, sf_dir),
+            nations,
             fact_key=role.fact_key,
             dimension_key="n_nationkey",
             columns=role.columns,
