@@ -14,6 +14,7 @@ from millrace.operators import (
 )
 from millrace.plans import (
     TRANSACTION_SCHEMA,
+    Labels,
     Role,
     enrich,
     enrich_trips,
@@ -21,7 +22,6 @@ from millrace.plans import (
     load_trips,
     parse_transactions,
 )
-from millrace.plans.enrichment import Labels
 from millrace.streaming import start_append
 
 __all__ = [

@@ -1,6 +1,6 @@
 """Complete jobs put together from the operators."""
 
-from millrace.plans.enrichment import Role, enrich, enrich_trips, load_trips
+from millrace.plans.enrichment import Labels, Role, enrich, enrich_trips, load_trips
 from millrace.plans.transactions import (
     TRANSACTION_SCHEMA,
     ingest_transactions,
@@ -8,6 +8,7 @@ from millrace.plans.transactions import (
 )
 
 __all__ = [
+    "Labels",
     "Role",
     "TRANSACTION_SCHEMA",
     "enrich",

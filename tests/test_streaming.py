@@ -61,12 +61,13 @@ def test_restart_adds_only_new_rows_and_keeps_old_ones(spark, landing, tmp_path,
     assert ids(spark, table) == ["a", "b", "c"]
 
 
-def test_bounded_batches_deliver_everything(spark, landing, tmp_path, namespace):
+@pytest.mark.parametrize("bound", [{"maxFilesPerTrigger": 2}, {"maxBytesPerTrigger": 1500}])
+def test_bounded_batches_deliver_everything(spark, landing, tmp_path, namespace, bound):
     for i in "abcde":
         land(spark, landing, i)
     table = f"{namespace}.t"
     query = ingest_transactions(
-        read_file_stream(spark, landing, MESSAGE, maxFilesPerTrigger=2),
+        read_file_stream(spark, landing, MESSAGE, **bound),
         table,
         str(tmp_path / "checkpoint"),
         until_caught_up=True,

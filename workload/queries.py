@@ -53,9 +53,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table as a file stream; the glob lets it be one file or a directory of files."""
+    """A test table as a file stream; the glob lets it be one file or a directory of files.
+
+    A batch takes at most a terabyte, so that a failed one repeats no more than that.
+    """
     schema = table(spark, sf_dir, name).schema
-    return read_file_stream(spark, f"{sf_dir}/{{{name}}}.parquet", schema)
+    path = f"{sf_dir}/{{{name}}}.parquet"
+    return read_file_stream(spark, path, schema, maxBytesPerTrigger=10**12)
 
 
 # --- derived inputs ---------------------------------------------------------------------
