@@ -64,6 +64,8 @@ def main() -> None:
         .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
+        # List the folders of a partitioned table with as many tasks as there are cores.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .config("spark.checkpoint.dir", f"{folder}/shared")

@@ -25,6 +25,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         # Small tables of many dates: let several tasks write them.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .config("spark.checkpoint.dir", f"{folder}/shared")
