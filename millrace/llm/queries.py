@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm.bpe import encode_documents
 from millrace.llm.exact_dedup import exact_groups
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -18,6 +22,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text decoded from them, as digests."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = encode_documents(docs, VOCABULARY, decoded_column="decoded")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_bpe": op9_bpe,
 }
