@@ -17,6 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -24,7 +25,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 MEMORY_BYTES = 64
 MEMORY_ENTRIES = 300_000
 # White space outside ASCII: such a text is cut at fewer places.
-WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
+WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -158,7 +159,7 @@ def codec(path: str) -> Codec:
 
 def small_batches(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of about ``most`` bytes of text: long texts come in smaller numbers."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     total = np.cumsum(sizes.to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
