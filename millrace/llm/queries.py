@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.bpe import encode_documents
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.token_counts import count_section_tokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -34,7 +35,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every text, lines being the sections."""
+    return count_section_tokens(documents(spark, sf_dir), VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op9_bpe": op9_bpe,
+    "op10_token_counts": op10_token_counts,
 }
