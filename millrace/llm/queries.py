@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.bpe import encode_documents
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.minhash import near_duplicates
 from millrace.llm.token_counts import count_section_tokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +24,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles are alike to 85 % and more."""
+    return near_duplicates(documents(spark, sf_dir), shingle_words=3, percent=85)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text decoded from them, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -42,6 +48,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
