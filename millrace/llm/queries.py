@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm.bpe import encode_documents
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.pseudonyms import pseudonymize
 from millrace.llm.token_counts import count_section_tokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +20,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data replaced. The key would come from a secret store."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pseudonymize(docs, "key of this corpus")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, with the digest of every text."""
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
@@ -47,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pseudonyms": op1_pseudonyms,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
