@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm.bpe import encode_documents
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.mixing import mix
 from millrace.llm.pseudonyms import pseudonymize
 from millrace.llm.token_counts import count_section_tokens
 
@@ -26,6 +27,17 @@ def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymize(docs, "key of this corpus")
 
 
+def weights_of(sources: list[str | None]) -> list[float]:
+    """5, 2, 1 and again, in the order of the sources."""
+    return [(5.0, 2.0, 1.0)[k % 3] for k in range(len(sources))]
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of every document."""
+    mixed = mix(documents(spark, sf_dir), weights_of)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, with the digest of every text."""
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
@@ -55,6 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudonyms": op1_pseudonyms,
+    "op2_mixing": op2_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
