@@ -56,27 +56,19 @@ def shards_for(rows: int, *, each: int, most: int = 65536) -> int:
 
 
 def running_start(
-    df: DataFrame, group: list[str], shard: str, order: list[Column], weight: Column, name: str
+    df: DataFrame, group: list[str], shard: str, order: list[str], weight: Column, name: str
 ) -> DataFrame:
     """Adds ``name``: the sum of ``weight`` over all rows of ``group`` that come before a row.
 
     Rows come shard after shard, and by ``order`` inside a shard. Each task orders one shard of one
-    group; the shards of a group are chained by their sums alone, so a hot group is never in one task.
+    group; the shards of a group are chained by their sums alone, so a hot group is never in one
+    task. The columns of ``group`` and ``shard`` must not be null.
     """
     keys = [*group, shard]
-    sums = df.groupBy(*keys).agg(F.sum(weight).alias("_sum"))
-    chain = Window.partitionBy(*group).orderBy(shard) if group else Window.orderBy(shard)
-    before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    inner = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    sums = stored(df.groupBy(*keys).agg(F.sum(weight).alias("_sum")))
+    chain = Window.partitionBy(*group).orderBy(shard).rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(*keys, F.coalesce(F.sum("_sum").over(chain), F.lit(0)).alias("_base"))
+    inner = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = df.withColumn("_inner", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
-    same = [placed[k].eqNullSafe(base[k]) for k in keys]
-    condition = same[0]
-    for one in same[1:]:
-        condition = condition & one
-    joined = placed.join(base, condition, "inner")
-    return joined.select(
-        *[placed[c] for c in df.columns], (F.col("_base") + F.col("_inner")).alias(name)
-    )
+    total = (F.col("_base") + F.col("_inner")).alias(name)
+    return placed.join(base, keys).select(*df.columns, total)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.bpe import encode_documents
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.kd_sharding import kd_shards
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
 from millrace.llm.pseudonyms import pseudonymize
@@ -43,6 +44,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
 
 
+def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes."""
+    placed = kd_shards(documents(spark, sf_dir), shards=8)
+    return placed.withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    ).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles are alike to 85 % and more."""
     return near_duplicates(documents(spark, sf_dir), shingle_words=3, percent=85)
@@ -69,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_mixing": op2_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_kd_sharding": op6_kd_sharding,
     "op7_minhash": op7_minhash,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
