@@ -13,6 +13,7 @@ from millrace.llm.kd_sharding import kd_shards
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
 from millrace.llm.pseudonyms import pseudonymize
+from millrace.llm.quality import judge_quality
 from millrace.llm.token_counts import count_section_tokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +40,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every text, the fixed base rule, and the verdict of the voting rules."""
+    # A document goes only where the odds against it are 49 to 1 and more.
+    judged = judge_quality(documents(spark, sf_dir), least=0.02)
+    words, repeated = F.col("n_words"), F.col("n_repeat_words")
+    judged = judged.withColumn("base_failed", (words < 20) | (100 * repeated > 30 * words))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & F.col("good"))
+    measured = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *measured, "base_failed", "kept", "quality")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, with the digest of every text."""
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
@@ -77,6 +89,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_kd_sharding": op6_kd_sharding,
     "op7_minhash": op7_minhash,
