@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.bpe import encode_documents
+from millrace.llm.common import fold_of
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.kd_sharding import kd_shards
 from millrace.llm.minhash import near_duplicates
@@ -15,6 +16,7 @@ from millrace.llm.mixing import mix
 from millrace.llm.pseudonyms import pseudonymize
 from millrace.llm.quality import judge_quality
 from millrace.llm.token_counts import count_section_tokens
+from millrace.llm.toxicity import score_toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -51,6 +53,23 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *measured, "base_failed", "kept", "quality")
 
 
+def learnable_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the rows that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return labels.where(fold_of(F.col("doc_id"), 3) != 1)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every text; held-out rows are those never learned from."""
+    scored = score_toxicity(documents(spark, sf_dir), learnable_labels(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, with the digest of every text."""
     return exact_groups(documents(spark, sf_dir), digest_column="text_sha256")
@@ -90,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_kd_sharding": op6_kd_sharding,
     "op7_minhash": op7_minhash,
