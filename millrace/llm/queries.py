@@ -13,6 +13,7 @@ from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.kd_sharding import kd_shards
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
+from millrace.llm.ngram_lm import score_language
 from millrace.llm.pseudonyms import pseudonymize
 from millrace.llm.quality import judge_quality
 from millrace.llm.token_counts import count_section_tokens
@@ -88,6 +89,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle_words=3, percent=85)
 
 
+def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts, learned from the four folds that are not held out."""
+    return score_language(documents(spark, sf_dir), fold_of(F.col("doc_id"), 5) != 1)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text decoded from them, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_kd_sharding": op6_kd_sharding,
     "op7_minhash": op7_minhash,
+    "op8_ngram_lm": op8_ngram_lm,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
