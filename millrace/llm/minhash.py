@@ -25,12 +25,12 @@ class Banding(NamedTuple):
     """Table keys are pairs of one key from each of two collections of ``keys`` keys, each made of
     ``rows`` minhashes: ``keys ** 2`` tables from ``2 * keys * rows`` minhashes, where tables of their
     own would take ``keys ** 2 * 2 * rows``. A pair of similarity s meets in no table with a chance of
-    about ``2 * (1 - s ** rows) ** keys``: 2e-5 at 0.85."""
+    about ``2 * (1 - s ** rows) ** keys``: 2e-5 at 0.85, 4e-4 at 0.8."""
 
     keys: int = 12
     rows: int = 3
     # Pairs that agree in less than this share of the minhashes are not compared on their sets. At a
-    # similarity of 0.85 a pair falls below it with a chance of about 1e-6.
+    # similarity of 0.8 a pair falls below it with a chance of about 2e-5.
     least_agreement: float = 0.6
 
     @property
