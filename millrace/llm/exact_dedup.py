@@ -92,11 +92,18 @@ def exact_groups(
     )
 
 
-def drop_exact_copies(docs: DataFrame, **columns: str) -> DataFrame:
+def drop_exact_copies(
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **options: int
+) -> DataFrame:
     """``docs`` without the rows that go, all columns kept.
 
-    The ids that go are joined against, not those that stay: there are fewer of them.
+    A row is known by its id and the hash of its text, so that rows with the same id, or none, and
+    different texts are told apart; rows that repeat both stay or go together. Those that go are
+    joined against, as there are fewer of them than of those that stay.
     """
-    name = columns.get("id_column", "doc_id")
-    gone = stored(exact_groups(docs, **columns).where("NOT kept").select(F.col(name).alias("_gone")))
-    return docs.join(gone, docs[name].eqNullSafe(gone["_gone"]), "left_anti")
+    text_hash = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))
+    rows = docs.select(F.struct(docs[id_column].alias("id"), text_hash.alias("hash")).alias("row"), docs[text_column].alias("text"))
+    groups = exact_groups(rows, id_column="row", text_column="text", **options)
+    gone = stored(groups.where("NOT kept").select(F.col("row.id").alias("gone_id"), F.col("row.hash").alias("gone_hash")))
+    same = docs[id_column].eqNullSafe(gone["gone_id"]) & (text_hash == gone["gone_hash"])
+    return docs.join(gone, same, "left_anti")

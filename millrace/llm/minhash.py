@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import FOLD, WORDS, stored
+from millrace.llm.common import stored
 from millrace.llm.components import connected_components
 
 MEMORY_ENTRIES = 300_000
@@ -50,11 +50,12 @@ class Shingler:
 
     def __init__(self, size: int):
         self.size = size
-        self.memory: dict[str, int] = {}
+        self.memory: dict[bytes, int] = {}
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the shingles; fewer words than ``size`` make one."""
-        words = WORDS.findall((text or "").translate(FOLD))
+        # Bytes are lower-cased in A-Z alone and split at the six white spaces of ASCII.
+        words = (text or "").encode().lower().split()
         if not words:
             return np.empty(0, np.uint64)
         memory = self.memory
@@ -353,7 +354,11 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each component, all columns kept."""
+    """``docs`` with one document of each component, all columns kept.
+
+    Rows that repeat an id are one document: they stay unless all of them would go.
+    """
     found = near_duplicates(docs, id_column=id_column, **options)
-    gone = stored(found.where("NOT kept").select(F.col(id_column).alias("_gone")))
-    return docs.join(gone, docs[id_column].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = found.groupBy(id_column).agg(F.max("kept").alias("kept")).where("NOT kept")
+    gone = stored(gone.select(F.col(id_column).alias("gone_id")))
+    return docs.join(gone, docs[id_column] == gone["gone_id"], "left_anti")

@@ -199,10 +199,10 @@ def cut_texts(
     Other columns stay. Rows that repeat an id are cut alike.
     """
     spans = mixed.where("taken > 0").select(
-        F.col(id_column).alias("_id"), *[F.col(c).alias(f"_{c}") for c in ("start", "size", "blocks", "quota", "turn")]
+        F.col(id_column).alias("_mix_id"), *[F.col(c).alias(f"_mix_{c}") for c in ("start", "size", "blocks", "quota", "turn")]
     )
-    spans = stored(spans.dropDuplicates(["_id"]))
-    joined = docs.join(spans, docs[id_column].eqNullSafe(spans["_id"]))
+    spans = stored(spans.dropDuplicates(["_mix_id"]))
+    joined = docs.join(spans, docs[id_column].eqNullSafe(spans["_mix_id"]))
 
     @F.pandas_udf("array<string>")
     def cut(text: pd.Series, start: pd.Series, size: pd.Series, blocks: pd.Series, quota: pd.Series, turn: pd.Series) -> pd.Series:
@@ -210,9 +210,10 @@ def cut_texts(
             [cut_text(*row, block_words) for row in zip(text, start, size, blocks, quota, turn)]
         )
 
-    turns = cut(text_column, *[f"_{c}" for c in ("start", "size", "blocks", "quota", "turn")])
-    rows = joined.withColumn("_text", F.explode(turns))
-    return rows.select(*[F.col("_text").alias(c) if c == text_column else docs[c] for c in docs.columns])
+    turns = cut(docs[text_column], *[spans[f"_mix_{c}"] for c in ("start", "size", "blocks", "quota", "turn")])
+    return joined.select(
+        *[F.explode(turns).alias(c) if c == text_column else docs[c] for c in docs.columns]
+    )
 
 
 def cut_text(

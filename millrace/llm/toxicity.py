@@ -115,8 +115,9 @@ class _Counter:
 
 
 def _scan(rows: DataFrame, lexicons: Lexicons) -> DataFrame:
-    """The COUNTS of every whole text of ``id, text``."""
-    schema = StructType([rows.schema["id"], *[StructField(c, LongType()) for c in COUNTS]])
+    """``id``, ``text_hash`` and the COUNTS of every whole text of ``id, text``."""
+    rows = rows.select("id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    schema = StructType([rows.schema["id"], rows.schema["text_hash"], *[StructField(c, LongType()) for c in COUNTS]])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(lexicons)
@@ -124,7 +125,7 @@ def _scan(rows: DataFrame, lexicons: Lexicons) -> DataFrame:
             for batch in small_batches(whole, "text"):
                 found = np.array([counter.counts(t) for t in batch.column(1).to_pylist()], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *[pa.array(found[:, k]) for k in range(len(COUNTS))]], schema.names
+                    [batch.column(0), batch.column(2), *[pa.array(found[:, k]) for k in range(len(COUNTS))]], schema.names
                 )
 
     return rows.mapInArrow(scan, schema)
@@ -253,8 +254,8 @@ def score_toxicity(
     labelled_texts: int = 20_000,
     training_rows: int = 50_000,
 ) -> DataFrame:
-    """Id, ``score`` (probability of toxic) and ``label`` (the label model's posterior) of every
-    document.
+    """Id, ``text_hash``, ``score`` (probability of toxic) and ``label`` (the label model's
+    posterior) of every document.
 
     ``labels`` holds the rows from which may be learned: id and label. Of these, up to
     ``labelled_texts`` per label, chosen by the hash of their ids, give the lexicons and the start of
@@ -280,7 +281,9 @@ def score_toxicity(
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         share = float(sizes.get(1, 0) > 0)
-        return rows.select(F.col("id").alias(id_column), F.lit(share).alias("score"), F.lit(share).alias("label"))
+        text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+        same = [F.lit(share).alias(name) for name in ("score", "label")]
+        return rows.select(F.col("id").alias(id_column), text_hash, *same)
     lexicons = mine_lexicons(labelled)
 
     votes = F.array(*voters().values()).alias("votes")
@@ -305,17 +308,23 @@ def score_toxicity(
     features = F.array(*inputs()).alias("x")
     chosen = counted.orderBy(F.xxhash64("id"), "id", *COUNTS).limit(training_rows).select(features, "label").collect()
     if not chosen:
-        return counted.select(F.col("id").alias(id_column), F.lit(0.0).alias("score"), "label")
+        return counted.select(F.col("id").alias(id_column), "text_hash", F.lit(0.0).alias("score"), "label")
     weights = fit_linear(np.array([r["x"] for r in chosen]), np.array([r["label"] for r in chosen]))
     logit = F.lit(float(weights[-1]))
     for w, column in zip(weights, inputs()):
         logit = logit + column * float(w)
     score = (1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))))).cast(DoubleType())
-    return counted.select(F.col("id").alias(id_column), score.alias("score"), "label")
+    return counted.select(F.col("id").alias(id_column), "text_hash", score.alias("score"), "label")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, *, most: float = 0.7, id_column: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those that score ``most`` and more; all columns are kept."""
-    scored = score_toxicity(docs, labels, id_column=id_column, **options)
-    gone = stored(scored.where(F.col("score") >= most).select(F.col(id_column).alias("_gone")))
-    return docs.join(gone, docs[id_column].eqNullSafe(gone["_gone"]), "left_anti")
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, *, most: float = 0.7, text_column: str = "text", **options: str
+) -> DataFrame:
+    """``docs`` without those that score ``most`` and more; all columns are kept.
+
+    As a score depends on the text alone, the texts that go are joined against, by their hash.
+    """
+    scored = score_toxicity(docs, labels, text_column=text_column, **options)
+    gone = stored(scored.where(F.col("score") >= most).select(F.col("text_hash").alias("gone_hash")).distinct())
+    text_hash = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))
+    return docs.join(gone, text_hash == gone["gone_hash"], "left_anti")
