@@ -283,14 +283,12 @@ def fit_weights(codes: np.ndarray, counts: np.ndarray, floor: float, *, rounds:
     p = np.stack([middle[two], middle[one], np.full(len(codes), floor)])
     weights = np.tile([[0.4], [0.5], [0.1]], (1, CONTEXT_CLASSES))
     weights[:, 0] = 0.0, 0.9, 0.1
+    start = weights
     for _ in range(rounds):
         joint = weights[:, context] * p
         share = joint / joint.sum(axis=0) * counts
-        sums = np.stack([np.bincount(context, s, CONTEXT_CLASSES) for s in share])
         # One token's worth of the start keeps classes without tokens, and weights above 0.
-        sums += np.array([[0.4], [0.5], [0.1]]) * (np.arange(CONTEXT_CLASSES) > 0) + np.array(
-            [[0.0], [0.9], [0.1]]
-        ) * (np.arange(CONTEXT_CLASSES) == 0)
+        sums = start + np.stack([np.bincount(context, s, CONTEXT_CLASSES) for s in share])
         new = sums / sums.sum(axis=0)
         done = np.abs(new - weights).max() < 1e-7
         weights = new
