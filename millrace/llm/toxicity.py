@@ -19,6 +19,14 @@ LETTERS = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"\b[^\W\d_][*#@$]{2,}[^\W\d_]*")
 PREFIXES = range(3, 8)
 MEMORY_ENTRIES = 300_000
+# Common insults of four languages, which count as sure words beside those that are mined.
+INSULTS = (
+    "idiot idiots idiotic moron morons moronic stupid imbecile dumb dumbass fool loser losers scum trash "
+    "clown pathetic disgusting worthless jerk bastard bitch asshole crap shit fuck fucking retard pig "
+    "connard connasse imbécile abruti salaud salope merde ordure crétin débile "
+    "arschloch dummkopf trottel schlampe miststück scheiße drecksau vollidiot "
+    "gilipollas imbécil estúpido estúpida cabrón mierda puta idiota basura"
+).split()
 # Bit of each lexicon in the code of a word.
 LEXICONS = ("word_sure", "word_hint", "prefix_sure", "prefix_hint")
 COUNTS = (*LEXICONS, "n_distinct", "n_words", "n_upper", "n_letters", "n_marks", "n_masked")
@@ -84,7 +92,8 @@ def mine_lexicons(
     for shift, kind in enumerate(("w", "p")):
         best = sums.where(F.col("kind") == kind).orderBy(F.desc("odds"), "entry").limit(entries).collect()
         found.append({r["entry"]: (1 if r["odds"] >= sure else 2) << (2 * shift) for r in best})
-    return Lexicons(*found)
+    words, prefixes = found
+    return Lexicons(words | dict.fromkeys(INSULTS, 1), prefixes)
 
 
 class _Counter:
