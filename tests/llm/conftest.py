@@ -1,0 +1,53 @@
+from pathlib import Path
+
+import pytest
+
+DATA = Path("/root/testdata/sf0.001")
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "id string, size string, score string, key string, label string, node string, votes string, "
+    "start string, name string, number string, shard string, words string, text_hash string"
+)
+PROSE = "The quick brown fox jumps over the lazy dog while seven wizards quietly judge my vow. "
+
+
+def clashing(doc_id, text, lang="en", source="s1"):
+    """A document with columns whose names the operators use themselves."""
+    return (doc_id, text, lang, source, None if text is None else len(text), *["x"] * 13)
+
+
+# Nulls, empty and very long texts, ties, repeated rows and ids, and other white space.
+ODD = [
+    clashing(1, None),
+    clashing(2, ""),
+    clashing(3, " \n\t "),
+    clashing(4, "one"),
+    clashing(5, "One"),
+    clashing(6, PROSE * 3000),
+    clashing(7, PROSE, None, None),
+    clashing(7, PROSE, None, None),
+    clashing(8, PROSE.upper()),
+    clashing(None, PROSE),
+    clashing(None, "nothing but a text without an id"),
+    clashing(9, "a b c été 漢字 \U0001f600"),
+    clashing(10, "same line\nsame line\nsame line\n\n"),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def texts(spark):
+    if not DATA.exists():
+        pytest.skip("test tables are not here")
+    found = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
+    return {r["doc_id"]: r["text"] for r in found}

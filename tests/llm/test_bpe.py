@@ -1,0 +1,128 @@
+import hashlib
+import random
+
+import pytest
+from tokenizers import Tokenizer
+
+from millrace.llm.bpe import codec, decode_documents, encode_documents
+from millrace.llm.queries import QUERIES, VOCABULARY
+from millrace.llm.token_counts import count_field_tokens, count_section_tokens
+from tests.llm.conftest import DATA, ODD
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_encoding_query_matches_the_library(spark, texts, library):
+    rows = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op9_bpe"](spark, str(DATA)).collect()}
+    assert rows.keys() == texts.keys()
+    for i, text in texts.items():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        assert rows[i] == (len(ids), digest(",".join(map(str, ids))), digest(back))
+
+
+def test_random_texts(library):
+    """Characters that make words, contractions, runs of white space and special tokens."""
+    rnd = random.Random(1)
+    alphabet = " \t\n\r\x0b\x00\x1c\x85\xa0'sStTlLdvVeErRm123.,!<|>-_" + "".join(
+        map(chr, (0x2003, 0x3000, 0x2019, 0xE9, 0xE8, 0x663, 0x6F22, 0x1F600))
+    )
+    cases = ["".join(rnd.choices(alphabet, k=rnd.randint(0, 60))) for _ in range(5000)]
+    cases += ["a<|endoftext|>b <|endoftext|> c  <|endoftext|>", "x's y''s z!'s '", "  lead  trail  ", "a" * 5000]
+    own = codec(VOCABULARY)
+    for case, ids in zip(cases, own.encode_batch(cases)):
+        assert ids == library.encode(case, add_special_tokens=False).ids, case
+        assert own.decode(ids) == case
+
+
+def test_cuts_are_inside_no_token():
+    own = codec(VOCABULARY)
+    assert own.cuts.sum() > 1000
+    for token in own.bytes_of:
+        if token not in {s.encode() for s in own.special}:
+            assert not any(own.cuts[a, b] for a, b in zip(token, token[1:]))
+
+
+def test_odd_rows(odd, none):
+    coded = encode_documents(odd, VOCABULARY, decoded_column="back")
+    rows = coded.collect()
+    assert len(rows) == len(ODD) and rows[0]["ids"] == []
+    assert all(r["back"] == (r["text"] or "") for r in rows)
+    again = decode_documents(coded.select("doc_id", "ids"), VOCABULARY).collect()
+    assert sorted(r["text"] for r in again) == sorted(r[1] or "" for r in ODD)
+    assert encode_documents(none, VOCABULARY).count() == 0
+    with pytest.raises(ValueError):
+        encode_documents(odd, VOCABULARY, ids_column="KEY")
+
+
+def by_offsets(library, text, sections, rule):
+    """Each token's span against each section, one by one."""
+    counts = [[0, 0] for _ in sections]
+    for low, high in library.encode(text, add_special_tokens=False).offsets:
+        met = [k for k, (a, b) in enumerate(sections) if max(a, low) < min(b, high)]
+        if not met:
+            continue
+        share = lambda k: min(sections[k][1], high) - max(sections[k][0], low)
+        k = met[0] if rule == "first" else met[-1] if rule == "last" else max(met, key=lambda k: (share(k), -k))
+        counts[k][0] += 1
+        counts[k][1] += low < sections[k][0] or high > sections[k][1]
+    return counts
+
+
+def lines_of(text):
+    pieces = text.split("\n")
+    out, at = [], 0
+    for k, piece in enumerate(pieces):
+        end = at + len(piece) + (k + 1 < len(pieces))
+        out.append((at, end))
+        at = end
+    return out[:-1] if len(out) > 1 and not pieces[-1] else out
+
+
+def test_count_query_matches_brute_force(spark, texts, library):
+    rows = {(r["doc_id"], r["section"]): tuple(r)[2:] for r in QUERIES["op10_token_counts"](spark, str(DATA)).collect()}
+    expected = {}
+    for i, text in texts.items():
+        sections = lines_of(text or "")
+        for k, counts in enumerate(by_offsets(library, text or "", sections, "first")):
+            expected[i, k] = (*sections[k], *counts)
+    assert rows == expected
+
+
+@pytest.mark.parametrize("rule", ["first", "last", "largest"])
+def test_rules_for_given_sections(spark, library, rule):
+    """Sections that cut through words of ASCII, with gaps and empty ones."""
+    rnd = random.Random(2)
+    rows = []
+    for k in range(60):
+        text = "".join(rnd.choices("abcdefg hijk\n\nlmnop.", k=rnd.randint(1, 80)))
+        ends = sorted(rnd.choices(range(len(text) + 1), k=2 * rnd.randint(1, 5)))
+        rows.append((k, text, [(a, b) for a, b in zip(ends[::2], ends[1::2])]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    out = count_section_tokens(docs, VOCABULARY, sections_column="parts", rule=rule).collect()
+    found = {(r["doc_id"], r["section"]): [r["n_tokens"], r["n_crossing"]] for r in out}
+    for k, text, parts in rows:
+        assert [found[k, j] for j in range(len(parts))] == by_offsets(library, text, parts, rule)
+
+
+def test_fields_add_up_to_the_whole(odd, library):
+    out = count_field_tokens(odd, VOCABULARY, ["lang", "text"]).where("doc_id = 9").orderBy("section").collect()
+    whole = library.encode("en\n" + ODD[11][1], add_special_tokens=False).ids
+    assert [r["section"] for r in out] == [0, 1] and sum(r["n_tokens"] for r in out) == len(whole)
+
+
+def test_odd_sections(odd, none):
+    out = count_section_tokens(odd, VOCABULARY)
+    empty = out.where("doc_id IN (1, 2)").collect()
+    assert [tuple(r)[1:] for r in empty] == [(0, 0, 0, 0, 0)] * 2
+    assert out.where("doc_id = 10").count() == 4 and out.where("doc_id = 7").count() == 2
+    assert count_section_tokens(none, VOCABULARY).count() == 0
+    with pytest.raises(ValueError):
+        count_section_tokens(odd, VOCABULARY, rule="half")

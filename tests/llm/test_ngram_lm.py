@@ -1,0 +1,87 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm.ngram_lm import BINS, CONTEXT_CLASSES, _bin, _context_class, fit_weights, score_language
+from millrace.llm.queries import QUERIES
+from tests.llm.conftest import DATA, ODD
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
+def test_query_matches_brute_force(spark, texts):
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 5 == 1}
+    counts = Counter(t for i, text in texts.items() if i not in held for t in tokens(text))
+    total, distinct = sum(counts.values()), len(counts)
+    rows = QUERIES["op8_ngram_lm"](spark, str(DATA)).collect()
+    assert len(rows) == len(texts)
+    gained = 0.0
+    for r in rows:
+        own = tokens(texts[r["doc_id"]])
+        base = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in own)
+        assert r["held_out"] == (r["doc_id"] in held)
+        assert (r["n_tokens"], r["train_tokens"]) == (len(own), total)
+        assert r["n_known"] == sum(counts[t] > 0 for t in own)
+        assert r["base_score"] == pytest.approx(base)
+        assert r["score"] < 0
+        gained += (r["score"] - r["base_score"]) * r["held_out"]
+    assert gained > 0
+
+
+def test_scores_match_the_definition(spark, texts):
+    """Pairs counted one by one; the deleted documents are those that the operator deletes."""
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 5 == 1}
+    ids = spark.createDataFrame([(i,) for i in texts], "i long")
+    split = {r["i"] for r in ids.where(F.pmod(F.xxhash64("i", F.lit(17)), F.lit(10)) == 0).collect()} - held
+    counts = {True: (Counter(), Counter()), False: (Counter(), Counter())}
+    for i, text in texts.items():
+        own = tokens(text)
+        for with_deleted, (one, two) in counts.items():
+            if i not in held and (with_deleted or i not in split):
+                one.update(own)
+                two.update(zip([None, *own], own))
+
+    def parts(own, one, two):
+        before = np.array([one[t] for t in [None, *own[:-1]]])
+        pair = np.array([two[p] for p in zip([None, *own], own)])
+        return _context_class(before), pair / np.maximum(before, 1), np.array([one[t] for t in own]) / sum(one.values())
+
+    one, two = counts[False]
+    seen = [parts(tokens(texts[i]), one, two) for i in sorted(split)]
+    classes, pairs, words = (np.concatenate(x) for x in zip(*seen))
+    codes = (classes * BINS + _bin(pairs)) * BINS + _bin(words)
+    weights = fit_weights(codes, np.ones(len(codes)), 1 / (len(one) + 1))
+    one, two = counts[True]
+    for r in QUERIES["op8_ngram_lm"](spark, str(DATA)).collect():
+        classes, pairs, words = parts(tokens(texts[r["doc_id"]]), one, two)
+        w = weights[:, classes]
+        p = w[0] * pairs + w[1] * words + w[2] / (len(one) + 1)
+        assert r["score"] == pytest.approx(np.log10(p).sum(), rel=1e-5)
+
+
+def test_weights_are_found():
+    """Tokens drawn from a known mixture."""
+    rnd = np.random.default_rng(5)
+    two, one = rnd.integers(1, 60, 200), rnd.integers(40, 120, 200)
+    middle = np.append(0.0, 10 ** (-(np.arange(BINS - 1) + 0.5) * 0.05))
+    p = 0.6 * middle[two] + 0.35 * middle[one] + 0.05 * 1e-4
+    weights = fit_weights((3 * BINS + two) * BINS + one, p * 1e6, 1e-4)
+    assert weights.shape == (3, CONTEXT_CLASSES) and np.allclose(weights.sum(axis=0), 1)
+    assert weights[0, 0] == 0
+
+
+def test_odd_rows(odd, none):
+    out = score_language(odd, F.col("doc_id") != 9).collect()
+    assert len(out) == len(ODD)
+    assert all(r["n_tokens"] == 1 for r in out if r["doc_id"] in (1, 2, 3))
+    assert all(r["held_out"] for r in out if r["doc_id"] is None or r["doc_id"] == 9)
+    assert len({r["score"] for r in out if r["doc_id"] == 7}) == 1
+    nothing = score_language(odd, F.lit(False)).collect()
+    assert {r["score"] for r in nothing} == {0.0} and {r["train_tokens"] for r in nothing} == {0}
+    assert score_language(none, F.lit(True)).count() == 0

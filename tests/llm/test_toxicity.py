@@ -1,0 +1,62 @@
+import numpy as np
+
+from millrace.llm.queries import QUERIES, learnable_labels
+from millrace.llm.toxicity import drop_toxic, fit_label_model, fit_linear, score_toxicity
+from tests.llm.conftest import ODD
+
+BIG = "/root/testdata/sf0.01"
+
+
+def test_held_out_rows_are_told_apart(spark):
+    rows = QUERIES["op4_toxicity"](spark, BIG)
+    labels = spark.read.parquet(f"{BIG}/labels.parquet")
+    held = rows.where("held_out").join(labels, "doc_id").select("toxic", "score", "predicted").collect()
+    toxic = np.array([r["score"] for r in held if r["toxic"] == 1])
+    clean = np.array([r["score"] for r in held if r["toxic"] == 0])
+    # Some 280 labelled texts in four languages; over ten times as many it is 0.97.
+    assert (toxic[:, None] > clean[None, :]).mean() > 0.85
+    assert np.mean([r["predicted"] for r in held if r["toxic"] == 0]) < 0.02
+    assert rows.count() == spark.read.parquet(f"{BIG}/documents.parquet").count()
+
+
+def test_labels_and_metadata_are_no_inputs(spark):
+    """Held-out labels, sources and languages may be anything."""
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    labels = learnable_labels(spark, BIG)
+    plain = score_toxicity(docs, labels)
+    moved = score_toxicity(docs.selectExpr("doc_id", "text", "'x' source", "'y' lang"), labels)
+    both = plain.join(moved.withColumnRenamed("score", "other"), "doc_id")
+    assert both.where("abs(score - other) > 1e-9").count() == 0
+
+
+def test_repeating_voters_share_one_voice():
+    """Four copies of one voter and one independent one: the copies count about as one."""
+    rnd = np.random.default_rng(3)
+    truth = rnd.random(30_000) < 0.3
+    draw = lambda a: np.where((rnd.random(len(truth)) < a) == truth, 1, -1)
+    first, second = draw(0.8), draw(0.8)
+    votes = np.stack([first, first, first, first, second], axis=1)
+    patterns, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    labelled = np.stack([np.bincount(which[:2000], ~truth[:2000], len(patterns)), np.bincount(which[:2000], truth[:2000], len(patterns))], axis=1)
+    model = fit_label_model(patterns, counts.astype(float), labelled, rounds=1)
+    weights = model.weights()
+    assert abs(weights[:4].sum() - weights[4]) < 0.2
+
+
+def test_the_linear_classifier_separates():
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(2000, 3))
+    y = (x @ [2.0, -1.0, 0.0] + 0.5 > 0).astype(float)
+    w = fit_linear(x, y)
+    assert ((np.hstack([x, np.ones((2000, 1))]) @ w > 0) == y).mean() > 0.97
+
+
+def test_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(4, 1), (6, 0), (7, 0), (None, 1), (9, None), (77, 1)], "doc_id long, toxic int")
+    out = score_toxicity(odd, labels).collect()
+    assert len(out) == len(ODD) and all(0 <= r["score"] <= 1 for r in out)
+    assert len({r["score"] for r in out if r["doc_id"] == 7}) == 1
+    assert score_toxicity(odd, labels.where("toxic = 0")).where("score > 0").count() == 0
+    assert score_toxicity(none, labels).count() == 0
+    assert drop_toxic(odd, labels).columns == odd.columns
+    assert drop_toxic(odd, labels, most=2.0).count() == len(ODD)
