@@ -198,8 +198,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
 
 
 def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``shingle, id, component, n``: the rarest shingles of each member, so many that two members
-    which are similar enough have one in common. Those of one member only are counted but left out."""
+    """``shingle, id, component, n, rest``: the rarest shingles of each member, so many that two
+    members which are similar enough have one in common; ``rest`` counts it and all that are less
+    rare. Those of one member only are counted but left out."""
     rows = stored(
         sets.join(members, "id").select(
             "id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
@@ -213,16 +214,24 @@ def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     length = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
     left = length - (F.col("n") - F.size("shared"))
-    return ranked.where(left > 0).select(
-        F.explode(F.slice("shared", F.lit(1), left.cast("int"))).alias("x"), "id", "component", "n"
-    ).select(F.col("x.shingle").alias("shingle"), "id", "component", "n")
+    listed = ranked.where(left > 0).select(
+        "id",
+        "component",
+        "n",
+        F.size("shared").alias("m"),
+        F.posexplode(F.slice("shared", F.lit(1), left.cast("int"))).alias("k", "x"),
+    )
+    rest = (F.col("m") - F.col("k")).alias("rest")
+    return listed.select(F.col("x.shingle").alias("shingle"), "id", "component", "n", rest)
 
 
 def _other_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``members`` in different components that can be similar enough.
 
     In a list of members with a rare shingle, those outside the list's most frequent component meet
-    all others; pairs within one component are never made.
+    all others; pairs within one component are never made. What two members have in common from
+    their first common shingle on is at most the smaller ``rest``; it must reach the overlap that
+    their sizes ask for.
     """
     lists = stored(_prefixes(members, sets, percent))
     counts = lists.groupBy("shingle", "component").agg(F.count("*").alias("c"))
@@ -239,7 +248,7 @@ def _other_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("x.top")) | (F.col("x.id") < F.col("y.id")))
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")),
+        & ((100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n"))),
     )
     return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
