@@ -22,6 +22,16 @@ def name_parts(identifier: str) -> list[str]:
     ]
 
 
+def quote_table(identifier: str) -> str:
+    """A table identifier with each part back-quoted."""
+    return quote(*name_parts(identifier))
+
+
+def literal(text: str) -> str:
+    """``text`` for use inside a quoted SQL string."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def require_distinct(names: Iterable[str], what: str) -> None:
     """Raise if two names are equal under Spark's case-insensitive resolution."""
     repeated = sorted(n for n, k in Counter(n.lower() for n in names).items() if k > 1)

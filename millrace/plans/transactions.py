@@ -65,16 +65,17 @@ def parse_transactions(
     """Flat rows of the JSON messages in the binary column ``value``.
 
     Rows without the ``required`` column (a name after flattening) are dropped, which covers
-    all unusable text; ``metrics`` counts all and dropped messages on the way. By default whitespace is
+    all unusable text; ``metrics`` counts all and dropped rows on the way: messages, or where the
+    schema has arrays the rows they explode to. By default whitespace is
     removed everywhere, even inside values; ``strip=False`` keeps it. Works the same on a
     table and on a stream: one stage, no shuffle, no state.
     """
     text = bytes_to_text(F.col(quote(value)))
     texts = messages.select((strip_whitespace(text) if strip else text).alias("json"))
-    records = parse_json(texts, "json", schema)
+    records = explode_arrays(parse_json(texts, "json", schema))
     if metrics is not None:
-        records = observe_rows(records, metrics, required if required in records.columns else None)
-    return drop_missing(explode_arrays(records), required)
+        records = observe_rows(records, metrics, required)
+    return drop_missing(records, required)
 
 
 def ingest_transactions(
@@ -83,17 +84,24 @@ def ingest_transactions(
     checkpoint: str,
     schema: StructType = TRANSACTION_SCHEMA,
     *,
+    value: str = "value",
+    required: str = "transaction_id",
+    strip: bool = True,
     fmt: str = "parquet",
     every: str = "6 seconds",
     until_caught_up: bool = False,
+    name: str | None = None,
     metrics: str | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append the parsed messages to ``table``, which is created if absent.
 
-    See :func:`parse_transactions` for ``metrics`` and :func:`start_append` for the rest.
+    See :func:`parse_transactions` for ``value``, ``required``, ``strip`` and ``metrics``, and
+    :func:`start_append` for the rest.
     """
-    rows = parse_transactions(messages, schema, metrics=metrics)
+    rows = parse_transactions(
+        messages, schema, value=value, required=required, strip=strip, metrics=metrics
+    )
     ensure_table(rows.sparkSession, table, rows.schema, fmt)
     return start_append(
         rows,
@@ -102,5 +110,6 @@ def ingest_transactions(
         fmt=fmt,
         every=every,
         until_caught_up=until_caught_up,
+        name=name,
         files_per_batch=files_per_batch,
     )

@@ -6,10 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet files under ``path``; the schema comes from a file footer unless given."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def read_parquet(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    *,
+    merge_schema: bool = True,
+    **options: object,
+) -> DataFrame:
+    """Parquet files under ``path``, with the columns of all files; null where a file lacks one.
+
+    Unless ``schema`` is given, one job reads the footers of all files and merges their schemas.
+    ``merge_schema=False`` takes the columns of a single footer instead, which is right only where
+    all files are known to agree. A column that is ``int`` in one file and ``bigint`` in another
+    cannot be merged; a given schema with ``bigint`` reads both. ``options`` go to Spark's reader.
+    """
+    reader = spark.read.options(**options)
+    if schema is not None:
+        return reader.schema(schema).parquet(path)
+    return reader.option("mergeSchema", merge_schema).parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, **options: object) -> DataFrame:

@@ -47,11 +47,22 @@ def read_kafka(
 
 
 def read_file_stream(
-    spark: SparkSession, path: str, schema: StructType, source: str = "parquet", **options: object
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    source: str = "parquet",
+    *,
+    max_file_age: str = "36500d",
+    **options: object,
 ) -> DataFrame:
-    """Files that land under ``path``, each read once.
+    """Files that land under ``path``, each read once, however old they look.
+
+    Spark ignores files whose time of change lies ``max_file_age`` and more before the newest
+    one seen, 7 days if it is not told otherwise; a copy that keeps times may look that old. The
+    default here keeps every file, for which the driver remembers each path: give a shorter age
+    where millions of files pass and none comes late.
 
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound the first batch when the
     directory already holds a backlog.
     """
-    return read_stream(spark, source, path=path, schema=schema, **options)
+    return read_stream(spark, source, path=path, schema=schema, **{"maxFileAge": max_file_age} | options)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from millrace.naming import name_parts, quote
+from millrace.naming import literal, name_parts, quote, quote_table
 from millrace.operators.rows import observe_rows
 
 SESSION_CATALOG = "spark_catalog"
@@ -16,15 +17,15 @@ SESSION_CATALOG = "spark_catalog"
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """Create ``namespace`` (``catalog.namespace`` or one part) unless it exists."""
-    clause = "" if location is None else f" LOCATION '{_literal(location)}'"
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_sql_name(namespace)}{clause}")
+    clause = "" if location is None else f" LOCATION '{literal(location)}'"
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quote_table(namespace)}{clause}")
 
 
 @contextmanager
 def current_namespace(spark: SparkSession, namespace: str) -> Iterator[None]:
     """Resolve one-part table names in ``namespace``; switch back afterwards."""
     before = (spark.catalog.currentCatalog(), spark.catalog.currentDatabase())
-    spark.sql(f"USE {_sql_name(namespace)}")
+    spark.sql(f"USE {quote_table(namespace)}")
     try:
         yield
     finally:
@@ -32,12 +33,13 @@ def current_namespace(spark: SparkSession, namespace: str) -> Iterator[None]:
         spark.sql(f"USE {quote(before[0], *name_parts(before[1]))}")
 
 
-def list_namespaces(spark: SparkSession, catalog: str = SESSION_CATALOG) -> DataFrame:
-    return spark.sql(f"SHOW NAMESPACES IN {quote(catalog)}")
+def list_namespaces(spark: SparkSession, catalog: str | None = None) -> DataFrame:
+    """Namespaces of ``catalog``, by default of the current one."""
+    return spark.sql(f"SHOW NAMESPACES IN {quote(catalog or spark.catalog.currentCatalog())}")
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {_sql_name(namespace)}")
+    return spark.sql(f"SHOW TABLES IN {quote_table(namespace)}")
 
 
 def ensure_table(
@@ -50,14 +52,23 @@ def ensure_table(
     """Create an empty ``table`` with ``schema`` unless it exists; never drops one.
 
     A stream that restarts from its checkpoint does not deliver old rows again, so a table
-    emptied at start would lose them. Dropping is a separate, explicit call.
+    emptied at start would lose them. Dropping is a separate, explicit call. An existing table
+    must have the columns of ``schema``, whatever their order and letter case, with the same
+    types; else ``ValueError`` is raised, since columns it lacks would vanish unseen and other
+    types make files that cannot be read together.
     """
+    existed = spark.catalog.tableExists(quote_table(table))
     partitioning = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_sql_name(table)} ({schema.toDDL()}) USING {fmt}{partitioning}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_table(table)} ({schema.toDDL()}) USING {fmt}{partitioning}")
+    if existed:
+        found, wanted = ({f.name.lower(): f.dataType.simpleString() for f in s} for s in (spark.table(table).schema, schema))
+        if found != wanted:
+            differ = sorted(n for n in found.keys() | wanted.keys() if found.get(n) != wanted.get(n))
+            raise ValueError(f"{table} exists with another schema: {', '.join(differ)} differ")
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {_sql_name(table)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quote_table(table)}")
 
 
 def replace_table(
@@ -71,8 +82,10 @@ def replace_table(
     rules arrange the rows, possibly in a stage after ``df``. The rows are therefore counted
     in the written table, which such tables answer from their metadata.
 
-    In the session catalog the old table is dropped before the new one is written, so ``df``
-    must not read it; rows are rebalanced by ``partition_by`` first, which gives each
+    In the session catalog the new content is written beside the old table, which stays readable
+    until that has succeeded and is then dropped and replaced by name. Should the session end
+    between these two, the content is in a table of the same name with a suffix. ``df`` may read
+    the old table. On an object store the renaming copies; rows are rebalanced by ``partition_by`` first, which gives each
     partition few files and lets adaptive execution split a partition value that holds more
     than one task should write. The rows are counted by the tasks that write them.
     """
@@ -89,10 +102,35 @@ def replace_table(
     writer = observe_rows(df, written).write.format(fmt).mode("overwrite")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
+    *parents, last = name_parts(table)
+    beside = quote(*parents, f"{last}_{uuid.uuid4().hex}")
+    try:
+        writer.saveAsTable(beside)
+    except Exception:
+        drop_table(spark, beside)
+        raise
+    drop_table(spark, table)
+    # The new name of a table of the session catalog is given without that catalog.
+    inside = [p for k, p in enumerate(parents) if k or p != SESSION_CATALOG]
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {quote(*inside, last)}")
+    if partition_by is not None:
+        # The catalog may know the partitions by the folders they had before.
+        spark.sql(f"MSCK REPAIR TABLE {quote_table(table)} SYNC PARTITIONS")
     return written.get["rows"]
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a file table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}")
+    # The last such row: a column may have that name too.
+    return described.filter(F.col("col_name") == "Location").tail(1)[0]["data_type"]
+
+
+def holds_files(spark: SparkSession, table: str) -> bool:
+    """Whether ``table`` is of the session catalog, where a table is a folder of files."""
+    return not _is_v2(spark, table)
+
+
 def _is_v2(spark: SparkSession, table: str) -> bool:
     first = name_parts(table)[0]
     if first == SESSION_CATALOG:
@@ -100,11 +138,3 @@ def _is_v2(spark: SparkSession, table: str) -> bool:
     if len(name_parts(table)) > 1 and spark.conf.get(f"spark.sql.catalog.{first}", None) is not None:
         return True
     return spark.catalog.currentCatalog() != SESSION_CATALOG
-
-
-def _sql_name(identifier: str) -> str:
-    return quote(*name_parts(identifier))
-
-
-def _literal(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")

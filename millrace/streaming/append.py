@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.naming import literal, quote_table
+from millrace.sources.tables import ensure_table, holds_files, table_location
+
+# Formats whose sink keeps its own log of files, and where it does.
+LOGGED_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+SINK_LOG = "_spark_metadata"
+OWNER = "streaming.checkpoint"
+
 
 def start_append(
     stream: DataFrame,
@@ -26,10 +34,19 @@ def start_append(
     reach and belong to this query alone; starting again with it continues where the last
     run stopped. The caller waits with ``query.awaitTermination()``.
 
+    Readers of a file table that a stream has filled see only what the stream's own log names:
+    rows written there by anything else would be hidden, and batches of a second checkpoint
+    skipped. Such a table therefore belongs to one checkpoint, which is noted in its properties.
+    Before anything starts, ``ValueError`` is raised if the table already holds other rows, was
+    fed under another checkpoint or under one that is gone, or if a batch job has written into
+    it meanwhile. Tables of a v2 catalog take rows from anyone and are not checked.
+
     Each task of a batch writes one file, so a source of a thousand partitions read every
     few seconds makes millions of small files a day. ``files_per_batch`` shuffles the
     parsed rows of a batch into that many evenly filled files instead.
     """
+    if fmt.lower() in LOGGED_FORMATS and holds_files(stream.sparkSession, table):
+        _claim(stream, table, checkpoint, fmt)
     if files_per_batch is not None:
         stream = stream.repartition(files_per_batch)
     writer = (
@@ -45,3 +62,30 @@ def start_append(
     else:
         writer = writer.trigger(processingTime=every)
     return writer.toTable(table)
+
+
+def _claim(stream: DataFrame, table: str, checkpoint: str, fmt: str) -> None:
+    """Note in the table that ``checkpoint`` feeds it, or raise if that would lose rows."""
+    spark = stream.sparkSession
+    ensure_table(spark, table, stream.schema, fmt)
+    name = quote_table(table)
+    location = table_location(spark, table)
+    streamed = _exists(spark, f"{location}/{SINK_LOG}")
+    noted = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == OWNER).first()
+    owner = noted and noted["value"]
+    if not streamed:
+        if not spark.table(table).isEmpty():
+            raise ValueError(f"{table} holds rows that a stream's log would hide; stream into an empty table")
+    elif owner is not None and owner != checkpoint:
+        raise ValueError(f"{table} is fed under checkpoint {owner}; rows under another would be skipped")
+    elif not _exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{table} was fed by a stream whose checkpoint is not in {checkpoint}")
+    elif _exists(spark, f"{location}/_SUCCESS"):
+        raise ValueError(f"a batch job wrote rows into {table} that its stream's log hides")
+    if owner != checkpoint:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OWNER}' = '{literal(checkpoint)}')")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)

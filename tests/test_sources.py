@@ -1,6 +1,8 @@
 import datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.sources import (
@@ -139,3 +141,22 @@ def test_dates_read_back(spark, tmp_path):
     path = str(tmp_path / "d")
     spark.sql("SELECT DATE'2025-01-02' AS d").write.parquet(path)
     assert rows(read_parquet(spark, path)) == [(datetime.date(2025, 1, 2),)]
+
+
+def test_columns_of_all_files_are_read(spark, tmp_path):
+    for k, extra in enumerate([[], ["x"], []] * 2):
+        df = spark.range(k, k + 1).withColumns({c: F.lit(1) for c in extra})
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    found = read_parquet(spark, f"{tmp_path}/in")
+    assert found.columns == ["id", "x"]
+    assert rows(found) == [(0, None), (1, 1), (2, None), (3, None), (4, 1), (5, None)]
+
+
+def test_a_given_schema_reads_int_and_bigint(spark, tmp_path):
+    spark.range(2).selectExpr("CAST(id AS INT) AS id").coalesce(1).write.parquet(f"{tmp_path}/in")
+    spark.range(2, 4).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    given = StructType.fromDDL("id bigint")
+    assert rows(read_parquet(spark, f"{tmp_path}/in", given)) == [(0,), (1,), (2,), (3,)]
+    files = sorted(Path(f"{tmp_path}/in").glob("*.parquet"))
+    kept = read_parquet(spark, f"{tmp_path}/in", given, pathGlobFilter=files[0].name)
+    assert kept.count() == 2

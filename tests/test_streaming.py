@@ -1,5 +1,7 @@
 import glob
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from millrace import Labels, Role, enrich, ingest_transactions, parse_transactions, start_append
 from millrace.sources import drop_table, ensure_namespace, read_file_stream
+from workload.queries import QUERIES
 from workload.scratch import scratch_folder
 from tests.conftest import plan_text, rows
 
@@ -204,3 +207,103 @@ def test_enrichment_of_a_stream_equals_batch(spark, tmp_path, namespace):
         enriched(stream), f"{namespace}.t", str(tmp_path / "checkpoint"), until_caught_up=True
     ).awaitTermination()
     assert rows(spark.table(f"{namespace}.t")) == rows(enriched(facts))
+
+
+# --- a streamed file table never loses rows ---------------------------------------------
+
+
+def append(spark, source, table, checkpoint, schema="id bigint"):
+    stream = read_file_stream(spark, str(source), StructType.fromDDL(schema))
+    start_append(stream, table, str(checkpoint), until_caught_up=True).awaitTermination()
+
+
+def test_a_table_with_rows_of_its_own_is_refused(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    spark.range(10).write.saveAsTable(table)
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="holds rows"):
+        append(spark, tmp_path / "in", table, tmp_path / "checkpoint")
+    assert spark.table(table).count() == 10
+
+
+def test_a_second_checkpoint_is_refused(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    spark.range(5).write.parquet(str(tmp_path / "a"))
+    spark.range(7).write.parquet(str(tmp_path / "b"))
+    append(spark, tmp_path / "a", table, tmp_path / "first")
+    with pytest.raises(ValueError, match="is fed under checkpoint"):
+        append(spark, tmp_path / "b", table, tmp_path / "second")
+    append(spark, tmp_path / "a", table, tmp_path / "first")
+    assert spark.table(table).count() == 5
+
+
+def test_a_lost_checkpoint_is_refused(spark, tmp_path, namespace):
+    """Its batches would be numbered from 0 again, and skipped."""
+    table = f"{namespace}.t"
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    append(spark, tmp_path / "in", table, tmp_path / "checkpoint")
+    (tmp_path / "checkpoint").rename(tmp_path / "elsewhere")
+    with pytest.raises(ValueError, match="whose checkpoint is not in"):
+        append(spark, tmp_path / "in", table, tmp_path / "checkpoint")
+
+
+def test_rows_of_a_batch_job_between_two_runs_are_noticed(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    append(spark, tmp_path / "in", table, tmp_path / "checkpoint")
+    spark.range(4).write.insertInto(table)
+    with pytest.raises(ValueError, match="a batch job wrote rows"):
+        append(spark, tmp_path / "in", table, tmp_path / "checkpoint")
+
+
+def test_a_stream_of_another_schema_is_refused(spark, tmp_path, namespace):
+    spark.range(3).withColumn("x", F.lit(1)).write.parquet(str(tmp_path / "in"))
+    spark.sql(f"CREATE TABLE {namespace}.narrow (id BIGINT) USING parquet")
+    spark.sql(f"CREATE TABLE {namespace}.text (id STRING, x INT) USING parquet")
+    for name in ("narrow", "text"):
+        with pytest.raises(ValueError, match="another schema"):
+            append(spark, tmp_path / "in", f"{namespace}.{name}", tmp_path / name, "id bigint, x int")
+
+
+def test_late_old_files_are_read(spark, tmp_path, namespace):
+    source, table = tmp_path / "in", f"{namespace}.t"
+    spark.range(5).coalesce(1).write.parquet(str(source))
+    append(spark, source, table, tmp_path / "checkpoint")
+    spark.range(5, 10).coalesce(1).write.parquet(str(tmp_path / "late"))
+    (late,) = glob.glob(f"{tmp_path}/late/*.parquet")
+    os.utime(late, (time.time() - 10 * 86400,) * 2)
+    os.rename(late, source / "late.parquet")
+    append(spark, source, table, tmp_path / "checkpoint")
+    assert rows(spark.table(table)) == [(i,) for i in range(10)]
+
+
+def test_ingestion_of_messages_without_the_usual_id(spark, tmp_path, namespace):
+    """Key inside a struct, another column, blanks kept, a named query; missing keys are counted."""
+    source, table = str(tmp_path / "in"), f"{namespace}.t"
+    texts = ['{"buyer": {"buyer_id": 1, "city": "New York"}}', '{"buyer": {"city": "x"}}', "no"]
+    spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "body binary").write.parquet(source)
+    query = ingest_transactions(
+        read_file_stream(spark, source, StructType.fromDDL("body binary")),
+        table,
+        str(tmp_path / "checkpoint"),
+        StructType.fromDDL("buyer struct<buyer_id: bigint, city: string>"),
+        value="body",
+        required="buyer_buyer_id",
+        strip=False,
+        name="buyers",
+        metrics="m",
+        until_caught_up=True,
+    )
+    query.awaitTermination()
+    assert query.name == "buyers" and rows(spark.table(table)) == [(1, "New York")]
+    seen = [p["observedMetrics"]["m"] for p in query.recentProgress if p["observedMetrics"]]
+    assert sum(s["rows"] for s in seen) == 3 and sum(s["missing"] for s in seen) == 2
+
+
+def test_transaction_queries_agree_on_null_statuses(spark, tmp_path):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    status = F.when(F.col("o_orderkey") % 10 == 0, None).otherwise(F.col("o_orderstatus"))
+    orders.withColumn("o_orderstatus", status).write.parquet(f"{tmp_path}/orders.parquet")
+    names = ("from_json_nested", "stream_transactions", "stream_restart")
+    found = [rows(QUERIES[name](spark, str(tmp_path))) for name in names]
+    assert found[0] == found[1] == found[2] and any(r[4] is None for r in found[0])

@@ -165,10 +165,9 @@ def test_a_hot_date_is_written_by_several_tasks(spark, set_conf):
     assert spark.table(f"{namespace}.t").count() == 60_000
 
 
-def test_replacing_a_table_from_itself_is_refused_and_harmless(spark, namespace):
+def test_replacing_a_table_from_itself_is_harmless(spark, namespace):
     replace_table(spark.range(5), f"{namespace}.self")
-    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
-        replace_table(spark.table(f"{namespace}.self"), f"{namespace}.self")
+    assert replace_table(spark.table(f"{namespace}.self"), f"{namespace}.self") == 5
     assert spark.table(f"{namespace}.self").count() == 5
 
 
@@ -193,3 +192,34 @@ def test_v2_replacement_is_one_commit_without_extra_shuffle(spark, monkeypatch):
     writer.assert_called_once_with("iceberg")
     writer.return_value.partitionedBy.assert_called_once()
     writer.return_value.partitionedBy.return_value.createOrReplace.assert_called_once_with()
+
+
+def test_a_failed_replace_keeps_the_old_rows(spark, namespace):
+    table = f"{namespace}.t"
+    assert replace_table(spark.range(7), table) == 7
+    broken = spark.range(3).withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(1))
+    with pytest.raises(Exception, match="boom"):
+        replace_table(broken, table)
+    assert spark.table(table).count() == 7
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {namespace}").collect()] == ["t"]
+
+
+def test_a_table_can_be_replaced_from_itself(spark, namespace):
+    table = f"{namespace}.t"
+    replace_table(spark.range(7).withColumn("d", F.col("id") % 2), table, partition_by="d")
+    assert replace_table(spark.table(table).where("id > 2"), table, partition_by="d") == 4
+    assert rows(spark.table(table).select("id")) == [(3,), (4,), (5,), (6,)]
+
+
+def test_an_existing_table_must_have_the_schema(spark, namespace):
+    table = f"{namespace}.t"
+    schema = StructType.fromDDL("id bigint, name string")
+    ensure_table(spark, table, schema)
+    ensure_table(spark, table, StructType.fromDDL("NAME string, ID bigint"))
+    for other in ("id bigint", "id int, name string", "id bigint, name string, x int"):
+        with pytest.raises(ValueError, match="another schema"):
+            ensure_table(spark, table, StructType.fromDDL(other))
+
+
+def test_namespaces_of_the_current_catalog(spark, namespace):
+    assert list_namespaces(spark).where(F.col("namespace") == namespace).count() == 1
