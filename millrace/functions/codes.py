@@ -17,6 +17,9 @@ def lookup(mapping: Mapping[Any, Any], code: Column, default: Any = None) -> Col
     unmatched (indexing a literal map would cast the code and overflow under ANSI mode).
     A ``None`` key gives the label of null codes.
 
+    Text codes need text keys: Spark would cast the text to the type of a number key, and one
+    code that is no number would end the job.
+
     Meant for dictionaries that fit in the query text. A dictionary that lives in a table
     is a dimension: use :func:`millrace.operators.join_dimension`.
     """

@@ -27,7 +27,8 @@ def join_dimension(
     No join hint is given. Spark broadcasts the dimension only while it estimates its size
     under ``spark.sql.autoBroadcastJoinThreshold``; beyond that the join shuffles both
     sides, and adaptive execution splits a partition swollen by one hot or null key
-    (``spark.sql.adaptive.skewJoin.enabled``). A dimension that is itself a join is
+    (``spark.sql.adaptive.skewJoin.enabled``); with adaptive execution off nothing splits it.
+    A dimension that is itself a join is
     estimated far too large: pass it through :func:`broadcast_within`.
     """
     require_distinct((*fact.columns, *columns.values()), "joining a dimension")
@@ -45,15 +46,30 @@ def join_dimension(
 def broadcast_within(dimension: DataFrame, limit_bytes: int = 32 * 1024**2) -> DataFrame:
     """``dimension``, marked for broadcast if its rows take at most ``limit_bytes``.
 
-    Measures the rows by running ``dimension`` once, as a distributed sum. That pays off for
-    a computed dimension: Spark multiplies the sizes of joined tables, so two small ones
-    may look too large to broadcast, and the whole fact table would be shuffled for them.
-    A larger dimension is returned as it is. Select the needed columns first.
+    Where Spark's own estimate fits, that is enough. Else the rows are measured by running
+    ``dimension`` once, as a distributed sum. That pays off for a computed dimension: Spark
+    multiplies the sizes of joined tables, so two small ones may look too large to broadcast,
+    and the whole fact table would be shuffled for them. A larger dimension is returned as it
+    is, and so is any while ``spark.sql.autoBroadcastJoinThreshold`` is -1, which forbids
+    broadcasts. Select the needed columns first. A stream cannot be measured and is refused.
     """
+    if dimension.isStreaming:
+        raise ValueError("a stream has no size to measure: broadcast_within takes static dimensions")
+    if dimension.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return dimension
+    if _estimate(dimension) > limit_bytes and _measured(dimension) > limit_bytes:
+        return dimension
+    return F.broadcast(dimension)
+
+
+def _estimate(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _measured(df: DataFrame) -> int:
     # Text of a row, plus a word for each field and for the row itself.
-    text = F.octet_length(F.to_json(F.struct(*[F.col(quote(c)) for c in dimension.columns])))
-    size = dimension.agg(F.sum(text + 8 * (len(dimension.columns) + 1))).first()[0] or 0
-    return F.broadcast(dimension) if size <= limit_bytes else dimension
+    text = F.octet_length(F.to_json(F.struct(*[F.col(quote(c)) for c in df.columns])))
+    return df.agg(F.sum(text + 8 * (len(df.columns) + 1))).first()[0] or 0
 
 
 def duplicate_keys(dimension: DataFrame, key: str) -> DataFrame:

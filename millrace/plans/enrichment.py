@@ -38,24 +38,33 @@ def enrich(
     roles: Sequence[Role],
     labels: Sequence[Labels] = (),
     event_time: str | None = None,
-    date_column: str = "cobdate",
+    date_column: str = "event_date",
 ) -> DataFrame:
     """``facts`` with codes replaced by labels, an event date, and the dimension's columns.
 
     Output: the facts without the coded columns, then the labels, the date, and the columns
     of each role in order. All facts are kept. A zoned ``event_time`` is cut to a date in
     the session time zone; text that is no date gives a null date instead of ending the job.
+    Codes in a text column are compared as text with the keys of their mapping.
+
+    Labels and date are made after the joins, so that what a join shuffles are the short codes.
     """
-    added = {part.label: lookup(part.mapping, F.col(quote(part.code))) for part in labels}
-    if event_time is not None:
-        added[date_column] = F.try_to_date(F.col(quote(event_time)))
+    names = [part.label for part in labels] + ([] if event_time is None else [date_column])
     # A label may carry the name of a code column, as long as that code column goes away.
     coded = {part.code.lower() for part in labels}
     kept = [c for c in facts.columns if c.lower() not in coded]
-    require_distinct((*kept, *added), "enriching")
-    result = facts.select(
-        *[F.col(quote(c)) for c in kept], *[value.alias(name) for name, value in added.items()]
-    )
+    require_distinct((*kept, *names), "enriching")
+    joined = [name for role in roles for name in role.columns.values()]
+    require_distinct((*kept, *names, *joined), "joining a dimension")
+    # Until they are decoded, codes travel under names that nothing else has.
+    taken = {name.lower() for name in (*facts.columns, *names, *joined)}
+    prefix = "code_"
+    while any(name.startswith(prefix) for name in taken):
+        prefix += "_"
+    travelling = [F.col(quote(part.code)).alias(f"{prefix}{k}") for k, part in enumerate(labels)]
+    time = [] if event_time is None else [F.col(quote(event_time)).alias(f"{prefix}time")]
+    types = {c.lower(): kind for c, kind in facts.dtypes}
+    result = facts.select(*[F.col(quote(c)) for c in kept], *travelling, *time)
     for role in roles:
         result = join_dimension(
             result,
@@ -64,7 +73,17 @@ def enrich(
             dimension_key=dimension_key,
             columns=role.columns,
         )
-    return result
+    added = []
+    for k, part in enumerate(labels):
+        mapping = part.mapping
+        if types[part.code.lower()] == "string":
+            mapping = {key if key is None else str(key): value for key, value in mapping.items()}
+        added.append(lookup(mapping, F.col(f"{prefix}{k}")).alias(part.label))
+    if event_time is not None:
+        added.append(F.try_to_date(F.col(f"{prefix}time")).alias(date_column))
+    return result.select(
+        *[F.col(quote(c)) for c in kept], *added, *[F.col(quote(c)) for c in joined]
+    )
 
 
 # Column names of the trip and zone inputs and of the enriched output.
@@ -75,6 +94,7 @@ TRIP_LABELS = {
     "store_and_fwd_flag": "storeFwd",
 }
 TRIP_TIME = "tpep_pickup_datetime"
+TRIP_DATE = "cobdate"
 ZONE_KEY = "LocationID"
 ZONE_SCHEMA = StructType(
     [
@@ -118,6 +138,7 @@ def enrich_trips(
         roles=ZONE_ROLES,
         labels=[Labels(code, label, mappings[code]) for code, label in TRIP_LABELS.items()],
         event_time=TRIP_TIME,
+        date_column=TRIP_DATE,
     )
 
 
@@ -129,9 +150,15 @@ def load_trips(
     mappings: Mapping[str, Mapping[Any, Any]],
     *,
     fmt: str = "parquet",
+    schema: StructType | None = None,
+    csv_options: Mapping[str, object] | None = None,
 ) -> int:
-    """Replace ``table``, partitioned by date, with the enriched trips; rows written."""
-    trips = enrich_trips(
-        read_parquet(spark, trips_path), read_csv(spark, zones_path, ZONE_SCHEMA), mappings
-    )
-    return replace_table(trips, table, partition_by="cobdate", fmt=fmt)
+    """Replace ``table``, partitioned by date, with the enriched trips; rows written.
+
+    Columns that only some months have are kept, null in the others; ``schema`` reads months
+    whose types differ. ``csv_options`` are passed to the reader of the zones.
+    """
+    trips = read_parquet(spark, trips_path, schema)
+    zones = read_csv(spark, zones_path, ZONE_SCHEMA, **(csv_options or {}))
+    enriched = enrich_trips(trips, zones, mappings)
+    return replace_table(enriched, table, partition_by=TRIP_DATE, fmt=fmt)

@@ -144,3 +144,15 @@ def test_measured_size_of_empty_wide_and_null_rows(spark):
     assert not is_hinted(spark.createDataFrame([(None, None, None)], schema), 31)
     wide = spark.createDataFrame([(1, "é" * 1000, bytearray(1000))], schema)
     assert is_hinted(wide, 4_000) and not is_hinted(wide, 3_000)
+
+
+def test_broadcast_within_obeys_the_session(spark, set_conf):
+    facts = spark.range(100)
+    small = spark.range(10).selectExpr("id AS key")
+    joined = lambda d: plan_text(facts.join(d, facts.id == d.key))
+    set_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert "BroadcastHashJoin" not in joined(broadcast_within(small))
+    set_conf(spark__sql__autoBroadcastJoinThreshold="1")
+    assert "BroadcastHashJoin" in joined(broadcast_within(small))
+    with pytest.raises(ValueError, match="stream"):
+        broadcast_within(spark.readStream.format("rate").load())

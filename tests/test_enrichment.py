@@ -96,7 +96,7 @@ def test_event_time_as_text_or_zoned(spark, zones, set_conf):
         [(1, "2025-02-03 23:30:00"), (2, "2025-02-30"), (3, "soon"), (4, None)], "id int, t string"
     )
     dated = enrich(facts, zones, dimension_key="LocationID", roles=[], event_time="t")
-    assert rows(dated.select("id", "cobdate")) == sorted(
+    assert rows(dated.select("id", "event_date")) == sorted(
         [(1, dt.date(2025, 2, 3)), (2, None), (3, None), (4, None)], key=repr
     )
     set_conf(spark__sql__session__timeZone="America/New_York")
@@ -143,3 +143,44 @@ def test_only_needed_columns_are_read(spark, trips, zones, tmp_path):
     plan = plan_text(out)
     assert "ReadSchema: struct<VendorID:int,PULocationID:int,DOLocationID:int>" in plan
     assert plan.count("BroadcastHashJoin LeftOuter") == 2
+
+
+def test_labels_are_made_after_the_joins(spark, set_conf):
+    """What a shuffled join carries are the codes."""
+    set_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    facts = spark.range(50).selectExpr("id", "id % 3 AS code", "id % 4 AS place", "TIMESTAMP'2025-01-01' AS t")
+    places = spark.range(4).selectExpr("id AS key", "'n' AS name")
+    out = enrich(
+        facts,
+        places,
+        dimension_key="key",
+        roles=[Role("place", {"name": "place_name"})],
+        labels=[Labels("code", "label", {0: "zero", 1: "one"})],
+        event_time="t",
+    )
+    assert out.columns == ["id", "place", "t", "label", "event_date", "place_name"]
+    plan = plan_text(out, "simple")
+    assert "SortMergeJoin" in plan
+    assert "label" not in plan[plan.index("SortMergeJoin") :] and "zero" not in plan[plan.index("SortMergeJoin") :]
+
+
+def test_text_codes_meet_number_keys_as_text(spark):
+    facts = spark.createDataFrame([("1",), ("x",), (None,)], "code string")
+    places = spark.range(1).selectExpr("id AS key")
+    out = enrich(facts, places, dimension_key="key", roles=[], labels=[Labels("code", "label", {1: "one", None: "none"})])
+    assert rows(out) == sorted([("one",), (None,), ("none",)], key=repr)
+
+
+def test_months_that_gain_a_column(spark, tmp_path, namespace):
+    """The extra column of one month survives, and zones may come with reader options."""
+    names = "VendorID int, RatecodeID int, payment_type int, store_and_fwd_flag string, tpep_pickup_datetime timestamp, PULocationID int, DOLocationID int"
+    row = (1, 1, 1, "N", dt.datetime(2025, 1, 2), 1, 1)
+    spark.createDataFrame([row], names).write.parquet(f"{tmp_path}/trips")
+    spark.createDataFrame([(*row, 2.5)], names + ", fee double").write.mode("append").parquet(f"{tmp_path}/trips")
+    (tmp_path / "zones.csv").write_text("LocationID;Borough;Zone;service_zone\n1;B;Z;S\n")
+    maps = {c: {} for c in ("VendorID", "RatecodeID", "payment_type", "store_and_fwd_flag")}
+    table = f"{namespace}.trips"
+    written = load_trips(spark, f"{tmp_path}/trips", f"{tmp_path}/zones.csv", table, maps, csv_options={"sep": ";"})
+    out = spark.table(table)
+    assert written == 2 and sorted(map(repr, (r.fee for r in out.collect()))) == ["2.5", "None"]
+    assert {r.Pickup_Zone for r in out.collect()} == {"Z"}

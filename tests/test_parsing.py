@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace import TRANSACTION_SCHEMA, parse_json, parse_transactions
 from tests.conftest import plan_text, rows
@@ -183,3 +184,14 @@ def test_parsing_equals_brute_force(spark, records):
     out = parsed(spark, *[json.dumps(r, ensure_ascii=False) for r in records])
     expected = [flat(r) for r in records if r["transaction_id"] is not None]
     assert rows(out) == sorted(expected, key=repr)
+
+
+def test_only_named_fields_are_parsed(spark):
+    schema = StructType.fromDDL("a int, b string, c struct<d: int>")
+    texts = spark.createDataFrame([('{"a": 1, "b": "x", "c": {"d": 2}}',), ("no",)], "json string")
+    found = parse_json(texts, "json", schema, fields=["c", "a"])
+    assert found.columns == ["a", "c"] and rows(found) == rows(parse_json(texts, "json", schema).select("a", "c"))
+    plan = plan_text(found)
+    assert plan.count("from_json") == 1 and "StructField(b" not in plan
+    with pytest.raises(ValueError, match="not in the schema"):
+        parse_json(texts, "json", schema, fields=["z"])
