@@ -39,6 +39,7 @@ SQL_TYPES = {
     "double": "DOUBLE",
     "float": "FLOAT",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }

@@ -23,7 +23,7 @@ TRANSACTIONS = """
            o_orderstatus AS transaction_details_merchant,
            strftime(o_orderdate, '%Y-%m-%d%H:%M:%S') AS transaction_details_transaction_time
     FROM orders
-    WHERE o_orderpriority <> '3-MEDIUM' AND o_orderstatus <> 'P'
+    WHERE o_orderpriority <> '3-MEDIUM' AND o_orderstatus IS DISTINCT FROM 'P'
 """
 
 SHIPMENTS = """
@@ -59,6 +59,9 @@ STRIP = r"regexp_replace(text, '[ \t\n\x0B\f\r]+', '', 'g')"
 
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * FROM lineitem",
+    "scan_parquet_evolving": """
+        SELECT * REPLACE (CASE WHEN l_returnflag <> 'R' THEN l_tax END AS l_tax) FROM lineitem
+    """,
     "scan_csv": "SELECT * FROM customer",
     "table_count_sql": "SELECT count(*) AS n FROM orders",
     "table_scan_current_namespace": "SELECT * FROM customer",

@@ -26,6 +26,7 @@ from millrace import (
     start_append,
     strip_whitespace,
 )
+from millrace.naming import literal
 from millrace.sources import (
     current_namespace,
     drop_table,
@@ -49,7 +50,7 @@ PROPS_SCHEMA = StructType([StructField("k", LongType())])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", merge_schema=False)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +121,7 @@ def enriched_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
             Labels("l_returnflag", "return_label", RETURN_LABELS),
         ],
         event_time="l_shipdate",
+        date_column="cobdate",
     )
 
 
@@ -165,6 +167,16 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
+def scan_parquet_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two vintages: the older ones, of returned or unknown items, lack the tax."""
+    lines = table(spark, sf_dir, "lineitem")
+    old = F.coalesce(F.col("l_returnflag") == "R", F.lit(True))
+    folder = scratch_folder(spark)
+    lines.filter(old).drop("l_tax").write.mode("append").parquet(folder)
+    lines.filter(~old).write.mode("append").parquet(folder)
+    return read_parquet(spark, folder)
+
+
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     folder = scratch_folder(spark)
@@ -175,7 +187,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     namespace = scratch_namespace(spark)
     spark.sql(
-        f"CREATE TABLE {namespace}.orders USING parquet LOCATION '{sf_dir}/orders.parquet'"
+        f"CREATE TABLE {namespace}.orders USING parquet LOCATION '{literal(sf_dir)}/orders.parquet'"
     )
     return spark.sql(f"SELECT count(*) AS n FROM spark_catalog.{namespace}.orders")
 
@@ -183,7 +195,7 @@ def table_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_scan_current_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     namespace = scratch_namespace(spark)
     spark.sql(
-        f"CREATE TABLE {namespace}.customer USING parquet LOCATION '{sf_dir}/customer.parquet'"
+        f"CREATE TABLE {namespace}.customer USING parquet LOCATION '{literal(sf_dir)}/customer.parquet'"
     )
     with current_namespace(spark, namespace):
         return spark.sql("SELECT * FROM customer")
@@ -441,6 +453,7 @@ def batch_enrichment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         labels=[Labels("event_type", "event_label", EVENT_LABELS)],
         event_time="ts",
+        date_column="cobdate",
     )
     name = f"{scratch_namespace(spark)}.events"
     replace_table(result, name, partition_by="cobdate")
@@ -473,12 +486,13 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """More messages land between two runs that share a checkpoint; each arrives once."""
     folder, name = scratch_folder(spark), f"{scratch_namespace(spark)}.restarted"
     orders = table(spark, sf_dir, "orders")
-    finished = F.col("o_orderstatus") == "F"
+    # An order without a status is not finished.
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     for part in (orders.filter(finished), orders.filter(~finished)):
         transaction_messages(part).write.mode("append").parquet(f"{folder}/landing")
         landed = StructType.fromDDL("value binary")
         ingest_transactions(
-            read_file_stream(spark, f"{folder}/landing", landed),
+            read_file_stream(spark, f"{folder}/landing", landed, maxBytesPerTrigger=10**12),
             name,
             f"{folder}/checkpoint",
             until_caught_up=True,
@@ -500,6 +514,7 @@ def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": scan_parquet,
+    "scan_parquet_evolving": scan_parquet_evolving,
     "scan_csv": scan_csv,
     "table_count_sql": table_count_sql,
     "table_scan_current_namespace": table_scan_current_namespace,
