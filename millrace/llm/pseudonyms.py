@@ -14,7 +14,8 @@ FORMATS = {
     "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}",
-    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
+    "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
     r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "card": r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}",
@@ -343,7 +344,7 @@ def pseudonymize(
     secret = F.lit(key)
     old = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     new = F.transform(old, lambda v: F.struct(v.alias("old"), pseudonym(v, secret).alias("new")))
-    found = F.when(text.rlike(f"[0-9@]"), new)
+    found = F.when(text.rlike("[0-9@]"), new)
     name = "_found"
     while name in docs.columns:
         name += "_"

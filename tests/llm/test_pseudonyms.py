@@ -70,6 +70,13 @@ def test_equal_values_stay_linked_in_any_writing(new):
     assert new["02/29/1980"] == f"{month}/{day}/{year}"
 
 
+def test_numbers_that_follow_each_other_are_values_of_their_own(spark, new):
+    row = "+1 (017) 555-7713 1234, 4845168114407329 4845168114407329"
+    out = pseudonymize(spark.createDataFrame([(1, row)], "doc_id long, text string"), "secret").first()
+    card = new["4845168114407329"]
+    assert out["text"] == f"{new['+1 (017) 555-7713']} 1234, {card} {card}" and out["n_replaced"] == 3
+
+
 def test_no_two_values_share_a_pseudonym(spark):
     """A permutation: all days of 400 years, and all phone numbers of a block, stay apart."""
     days = spark.range(146_097).selectExpr("id AS doc_id", "CAST(date_add(DATE'1800-01-01', CAST(id AS INT)) AS STRING) AS text")
