@@ -25,7 +25,7 @@ from millrace.llm.bpe import small_batches
 from millrace.llm.common import stored
 from millrace.llm.minhash import _mix
 
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 8_000_000
 TOKENS_PER_BUCKET = 2_000_000
 # Parts of the corpus: counts come from MAIN, mixture weights from DELETED; OTHER is only scored.
 MAIN, DELETED, OTHER = 0, 1, 2
