@@ -50,6 +50,19 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lowest_hashes(df: DataFrame, key: str, most: int, rows: int, *ties: str) -> DataFrame:
+    """Up to ``most`` of the ``rows`` rows of ``df``: those with the lowest hashes of ``key``.
+
+    All but a few more than ``most`` are left out by their hash before any row is sorted, as the
+    last step of a sort with a limit is one task.
+    """
+    hashed = F.xxhash64(key)
+    share = (most + 6 * most**0.5 + 100) / max(rows, 1)
+    if share < 1:
+        df = df.where(hashed < int(share * 2**64) - 2**63)
+    return df.orderBy(hashed, key, *ties).limit(most)
+
+
 def shards_for(rows: int, *, each: int, most: int = 65536) -> int:
     """How many hash shards keep about ``each`` rows, and never more than ``most`` shards."""
     return max(1, min(most, -(-rows // each)))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import stored
+from millrace.llm.common import lowest_hashes, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"\b[^\W\d_][*#@$]{2,}[^\W\d_]*")
@@ -281,11 +281,12 @@ def score_toxicity(
     rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     known = labels.select(labels[id_column].alias("id"), labels[label_column].cast("int").alias("toxic"))
     known = known.where("id IS NOT NULL AND toxic IN (0, 1)")
-    sample = None
-    for label in (0, 1):
-        some = known.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(labelled_texts)
-        sample = some if sample is None else sample.unionByName(some)
-    sample = stored(sample.dropDuplicates(["id"]))
+    shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    clean, toxic = (
+        lowest_hashes(known.where(F.col("toxic") == label), "id", labelled_texts, shares.get(label, 0))
+        for label in (0, 1)
+    )
+    sample = stored(clean.unionByName(toxic).dropDuplicates(["id"]))
     labelled = stored(rows.join(F.broadcast(sample), "id"))
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
@@ -303,7 +304,6 @@ def score_toxicity(
     for r in judged.join(F.broadcast(sample), "id").groupBy("votes", "toxic").count().collect():
         seen.setdefault(tuple(r["votes"]), [0, 0.0, 0.0])[1 + r["toxic"]] += r["count"]
     # Labelled texts are chosen by label; their sums are brought back to the share of toxic labels.
-    shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     table = np.array([*seen.values()], float)
     table[:, 1] *= shares[0] / sizes[0]
     table[:, 2] *= shares[1] / sizes[1]
@@ -315,7 +315,8 @@ def score_toxicity(
     )
     counted = counted.join(F.broadcast(posterior), "votes", "left")
     features = F.array(*inputs()).alias("x")
-    chosen = counted.orderBy(F.xxhash64("id"), "id", *COUNTS).limit(training_rows).select(features, "label").collect()
+    n_rows = sum(r["count"] for r in patterns)
+    chosen = lowest_hashes(counted, "id", training_rows, n_rows, *COUNTS).select(features, "label").collect()
     if not chosen:
         return counted.select(F.col("id").alias(id_column), "text_hash", F.lit(0.0).alias("score"), "label")
     weights = fit_linear(np.array([r["x"] for r in chosen]), np.array([r["label"] for r in chosen]))
