@@ -140,11 +140,33 @@ def _scan(rows: DataFrame, lexicons: Lexicons) -> DataFrame:
     return rows.mapInArrow(scan, schema)
 
 
-def voters() -> dict[str, Column]:
+def _hits() -> Column:
+    return F.col("word_sure") + F.col("prefix_sure") + F.col("word_hint") + F.col("prefix_hint")
+
+
+class Rates(NamedTuple):
+    """Hits of the lexicons per word in labelled texts of both kinds."""
+
+    clean: float
+    toxic: float
+
+    def odds(self) -> Column:
+        """Log odds of the hits of a text of its length, as counts of rare events."""
+        gain = float(np.log(self.toxic / self.clean))
+        return _hits() * gain - F.col("n_words") * (self.toxic - self.clean)
+
+
+def estimate_rates(judged: DataFrame) -> Rates:
+    """From rows with COUNTS and ``toxic``; without words both are the same, and odds are 0."""
+    sums = judged.groupBy("toxic").agg(F.sum(_hits()).alias("hits"), F.sum("n_words").alias("words")).collect()
+    rates = {r["toxic"]: (r["hits"] + 0.5) / (r["words"] + 1000) for r in sums}
+    return Rates(rates.get(0, 0.0005), rates.get(1, 0.0005))
+
+
+def voters(rates: Rates) -> dict[str, Column]:
     """Votes on the COUNTS: 1 toxic, -1 clean, 0 abstains."""
     words, letters = F.greatest("n_words", F.lit(1)), F.greatest("n_letters", F.lit(1))
-    sure = F.col("word_sure") + F.col("prefix_sure")
-    hits = sure + F.col("word_hint") + F.col("prefix_hint")
+    hits, odds = _hits(), rates.odds()
 
     def vote(toxic: Column, clean: Column | None = None) -> Column:
         out = F.when(toxic, 1)
@@ -159,6 +181,7 @@ def voters() -> dict[str, Column]:
         "hinting beginnings": vote(counts["prefix_hint"] >= 2, counts["prefix_hint"] == 0),
         "many beginnings": vote(counts["prefix_hint"] >= 4),
         "dense": vote(hits / words >= 0.02, hits / words < 0.002),
+        "more than chance": vote(odds >= 2, odds <= -1),
         "different words": vote(counts["n_distinct"] >= 2, counts["n_distinct"] == 0),
         "shouting": vote((counts["n_upper"] / letters > 0.5) & (counts["n_marks"] / words > 0.3)),
         "masked words": vote(counts["n_masked"] >= 2),
@@ -226,13 +249,15 @@ def fit_label_model(
     return model
 
 
-def inputs() -> list[Column]:
+def inputs(rates: Rates) -> list[Column]:
     """What the classifier sees of a document, from its COUNTS."""
     words, letters = F.greatest("n_words", F.lit(1)), F.greatest("n_letters", F.lit(1))
     out = []
     for c in (*LEXICONS, "n_distinct"):
         out += [F.log1p(F.col(c)), F.least(F.col(c), F.lit(1)), (F.col(c) >= 2).cast("int"), F.least(100 * F.col(c) / words, F.lit(10))]
     out += [F.log1p("n_words"), F.col("n_upper") / letters, F.least(F.col("n_marks") / words, F.lit(1)), F.log1p("n_masked")]
+    odds = rates.odds()
+    out += [F.greatest(F.least(odds, F.lit(high)), F.lit(low)) for low, high in ((-10, 20), (-3, 5))]
     return [c.cast("double") for c in out]
 
 
@@ -267,10 +292,10 @@ def score_toxicity(
     posterior) of every document.
 
     ``labels`` holds the rows from which may be learned: id and label. Of these, up to
-    ``labelled_texts`` per label, chosen by the hash of their ids, give the lexicons and the start of
-    the label model. All documents are then counted in whole by the lexicons and patterns; all vote
-    patterns are counted by Spark (ten voters with two or three outcomes: at most 23,328) and give
-    the label model. A logistic regression is fitted to its posteriors on up to ``training_rows``
+    ``labelled_texts`` per label, chosen by the hash of their ids, give the lexicons, how often they
+    hit by chance, and the start of the label model. All documents are then counted in whole by the
+    lexicons and patterns; all vote patterns are counted by Spark (eleven voters with two or three
+    outcomes: at most 34,992) and give the label model. A logistic regression is fitted to its posteriors on up to ``training_rows``
     documents, chosen by hash, and scores all of them. Both bounds concern fitting only.
 
     Scores depend on the text alone. Defined cases: null and empty texts are texts without words and
@@ -296,12 +321,13 @@ def score_toxicity(
         return rows.select(F.col("id").alias(id_column), text_hash, *same)
     lexicons = mine_lexicons(labelled)
 
-    votes = F.array(*voters().values()).alias("votes")
+    judged = stored(_scan(labelled.select("id", "text"), lexicons).join(F.broadcast(sample), "id"))
+    rates = estimate_rates(judged)
+    votes = F.array(*voters(rates).values()).alias("votes")
     counted = stored(_scan(rows, lexicons).select("*", votes))
     patterns = counted.groupBy("votes").count().collect()
     seen = {tuple(r["votes"]): [r["count"], 0.0, 0.0] for r in patterns}
-    judged = _scan(labelled.select("id", "text"), lexicons).select("id", votes)
-    for r in judged.join(F.broadcast(sample), "id").groupBy("votes", "toxic").count().collect():
+    for r in judged.select("toxic", votes).groupBy("votes", "toxic").count().collect():
         seen.setdefault(tuple(r["votes"]), [0, 0.0, 0.0])[1 + r["toxic"]] += r["count"]
     # Labelled texts are chosen by label; their sums are brought back to the share of toxic labels.
     table = np.array([*seen.values()], float)
@@ -314,14 +340,14 @@ def score_toxicity(
         "votes array<int>, label double",
     )
     counted = counted.join(F.broadcast(posterior), "votes", "left")
-    features = F.array(*inputs()).alias("x")
+    features = F.array(*inputs(rates)).alias("x")
     n_rows = sum(r["count"] for r in patterns)
     chosen = lowest_hashes(counted, "id", training_rows, n_rows, *COUNTS).select(features, "label").collect()
     if not chosen:
         return counted.select(F.col("id").alias(id_column), "text_hash", F.lit(0.0).alias("score"), "label")
     weights = fit_linear(np.array([r["x"] for r in chosen]), np.array([r["label"] for r in chosen]))
     logit = F.lit(float(weights[-1]))
-    for w, column in zip(weights, inputs()):
+    for w, column in zip(weights, inputs(rates)):
         logit = logit + column * float(w)
     score = (1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))))).cast(DoubleType())
     return counted.select(F.col("id").alias(id_column), "text_hash", score.alias("score"), "label")
