@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from workload.scratch import scratch_folder
 
@@ -50,6 +50,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of numbers and names up to which a table from the driver is sent to all tasks.
+BROADCAST_ROWS = 100_000
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table from the driver, broadcast where its rows are few; beyond that Spark may shuffle."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+
+
 def lowest_hashes(df: DataFrame, key: str, most: int, rows: int, *ties: str) -> DataFrame:
     """Up to ``most`` of the ``rows`` rows of ``df``: those with the lowest hashes of ``key``.
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.common import WORDS, count_words, shards_for, stored
+from millrace.llm.common import WORDS, count_words, shards_for, small_table, stored
 
 BLOCK_WORDS = 64
 DOCS_PER_SHARD = 256
@@ -122,8 +122,8 @@ def mix(
     table = [
         (j, name, size, target) for j, (name, size, target) in enumerate(zip(names, sizes, targets))
     ]
-    sources = spark.createDataFrame(table, "number int, name string, source_size long, target double")
-    rows = rows.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("name")))
+    sources = small_table(spark, table, "number int, name string, source_size long, target double")
+    rows = rows.join(sources, F.col("source").eqNullSafe(F.col("name")))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(shards)).cast("int"))
     rows = rows.withColumn("order", F.xxhash64("id", F.lit(seed + 1)))
 
@@ -134,9 +134,7 @@ def mix(
     # Targets in blocks: a source's blocks hold fewer words than block_words where some are short.
     wanted = [t * b / s if s else 0.0 for t, b, s in zip(targets, blocks, sizes)]
     seats = sainte_lague(round(sum(wanted)), wanted, [int(most * b) for b in blocks])
-    quotas = spark.createDataFrame(
-        [(j, int(q)) for j, q in enumerate(seats)], "number int, seats long"
-    )
+    quotas = small_table(spark, [(j, int(q)) for j, q in enumerate(seats)], "number int, seats long")
     schema = StructType([*pairs.schema.fields, StructField("quota", LongType())])
 
     def apportion(frame: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +144,7 @@ def mix(
         frame["quota"] = sainte_lague(int(frame["seats"].iloc[0]), frame["words"].to_numpy(), caps)
         return frame[schema.fieldNames()]
 
-    quotas = pairs.join(F.broadcast(quotas), "number").groupBy("number").applyInPandas(apportion, schema)
+    quotas = pairs.join(quotas, "number").groupBy("number").applyInPandas(apportion, schema)
     quotas = stored(quotas)
 
     inner = Window.partitionBy("number", "shard").orderBy("order", "id", "size")
