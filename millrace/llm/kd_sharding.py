@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from millrace.llm.common import running_start, shards_for, stored
+from millrace.llm.common import running_start, shards_for, small_table, stored
 
-BINS = 4096
+# Bins of a node, and of all nodes of a round together while each has 16.
+BINS, LEAST_BINS, ALL_BINS = 4096, 16, 1 << 20
 # A bin with at most this share of its node's bytes is fine enough to cut beside it.
 TOLERANCE = 0.0005
 ROWS_PER_SLOT_SHARD = 256
@@ -29,11 +30,12 @@ class Search:
     high: int
     fixed: tuple[int, ...] = ()
     before: int = 0
+    bins: int = BINS
     cut: tuple[int, int, int] | None = None
 
     @property
     def step(self) -> int:
-        return -(-(self.high - self.low + 1) // BINS)
+        return -(-(self.high - self.low + 1) // self.bins)
 
     def narrow(self, bins: list[Row]) -> None:
         """Takes the sums of the bins and settles the bin with the median, or the cut."""
@@ -67,17 +69,20 @@ def _key_parts(dimensions: list[str], number: Column) -> list[Column]:
 
 
 def _search(rows: DataFrame, dimensions: list[str], searches: list[Search]) -> None:
-    """All nodes of a level at once: each round sums at most BINS bins per node."""
+    """All nodes of a level at once: each round sums at most BINS bins per node, and fewer where there
+    are many nodes, so that what the driver sees stays small."""
     spark = rows.sparkSession
     while waiting := {s.node: s for s in searches if s.cut is None}:
+        for s in waiting.values():
+            s.bins = max(LEAST_BINS, min(BINS, ALL_BINS // len(waiting)))
         table = [
             (s.node, s.dimension, len(s.fixed), *(*s.fixed, 0, 0)[:2], s.low, s.high, s.step)
             for s in waiting.values()
         ]
-        asked = spark.createDataFrame(
-            table, "node int, dim int, level int, f0 long, f1 long, low long, high long, step long"
+        asked = small_table(
+            spark, table, "node int, dim int, level int, f0 long, f1 long, low long, high long, step long"
         )
-        met = rows.join(F.broadcast(asked), "node")
+        met = rows.join(asked, "node")
         x, t, h = _key_parts(dimensions, F.col("dim"))
         met = met.where(((F.col("level") < 1) | (x == F.col("f0"))) & ((F.col("level") < 2) | (t == F.col("f1"))))
         part = F.when(F.col("level") == 0, x).when(F.col("level") == 1, t).otherwise(h)
@@ -115,8 +120,8 @@ def kd_shards(
     a third of all rows, are cut by the hash of their text and then of their id, so that leaves are
     near equal in bytes and equal texts stay together wherever no cut falls on them.
 
-    Medians are found by sums of at most 4,096 bins per node and round; the driver sees those sums
-    and the cuts, never rows. ``slot`` numbers the documents of a shard from 0 without gaps, in hash
+    Medians are found by sums of at most 4,096 bins per node and round, and of about a million in all
+    (16 a node beyond 65,536 nodes); the driver sees those sums and the cuts, never rows. ``slot`` numbers the documents of a shard from 0 without gaps, in hash
     order, over many tasks per shard.
 
     Defined cases: a null text has size 1 and the crc of the empty text; null categories are a place
@@ -173,13 +178,12 @@ def kd_shards(
                 below[first] = n
                 table.append((node, first, 0, TOP, 0, 0))
         leaves = below
-        moves = rows.sparkSession.createDataFrame(
-            table, "node int, first int, dim int, c0 long, c1 long, c2 long"
-        )
+        columns = "node int, first int, dim int, c0 long, c1 long, c2 long"
+        moves = small_table(rows.sparkSession, table, columns)
         x, t, h = _key_parts(dimensions, F.col("dim"))
         c0, c1, c2 = F.col("c0"), F.col("c1"), F.col("c2")
         left = (x < c0) | ((x == c0) & ((t < c1) | ((t == c1) & (h < c2))))
-        moved = rows.join(F.broadcast(moves), "node")
+        moved = rows.join(moves, "node")
         side = F.when(left, F.col("first")).otherwise(F.col("first") + 1).cast("int").alias("node")
         rows = stored(moved.select(*[c for c in rows.columns if c != "node"], side))
 
