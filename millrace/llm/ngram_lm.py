@@ -27,6 +27,8 @@ from millrace.llm.minhash import _mix
 
 BATCH_BYTES = 8_000_000
 TOKENS_PER_BUCKET = 2_000_000
+# From here on 32 bits of a word's hash say in which bucket it is, below it 16.
+MANY_BUCKETS = 1 << 14
 # Parts of the corpus: counts come from MAIN, mixture weights from DELETED; OTHER is only scored.
 MAIN, DELETED, OTHER = 0, 1, 2
 END = np.uint64(0x1F83D9ABFB41BD6B)
@@ -72,16 +74,20 @@ class Batch(NamedTuple):
 
 
 def _word_bucket(short: np.ndarray, buckets: int) -> np.ndarray:
-    return (short % np.uint64(buckets)).astype(np.int64)
+    return (_mix(short) % np.uint64(buckets)).astype(np.int64)
 
 
 def _pair_bucket(first: np.ndarray, second: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(first * np.uint64(65537) + second) % np.uint64(buckets)).astype(np.int64)
+    return (_mix(_mix(first) + second) % np.uint64(buckets)).astype(np.int64)
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
+def _short_type(buckets: int) -> type:
+    return np.uint16 if buckets < MANY_BUCKETS else np.uint32
+
+
+def _short(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """The bits of a word's hash that say in which bucket it is."""
-    return hashes >> np.uint64(48)
+    return hashes >> np.uint64(64 - 8 * np.dtype(_short_type(buckets)).itemsize)
 
 
 def _forward(rows: DataFrame) -> DataFrame:
@@ -143,7 +149,9 @@ def _batch_of(row: dict, hashes: np.ndarray) -> Batch:
 
 
 ASKED = "bucket int, batch long, part int, n long, keys binary, counts binary"
-TOLD = "batch long, bucket int, n long, main binary, train binary"
+TOLD = "batch long, bucket int, n long, total long, main binary, train binary"
+# Rows of a bucket's own sums stand under these numbers in place of a batch.
+MAIN_SUMS, TRAIN_SUMS = -1, -2
 
 
 def _ask(forward: DataFrame, buckets: int, pairs: bool) -> DataFrame:
@@ -154,7 +162,7 @@ def _ask(forward: DataFrame, buckets: int, pairs: bool) -> DataFrame:
             for row in many.to_pylist():
                 hashes = np.frombuffer(row["hashes"], np.uint64)
                 batch = _batch_of(row, hashes)
-                short = _short(hashes)
+                short = _short(hashes, buckets)
                 if pairs:
                     first, second, _, counts = batch.pairs()
                     keys = _mix(_mix(hashes[first]) + hashes[second])
@@ -190,8 +198,8 @@ def _tell(asked: DataFrame) -> DataFrame:
     """The counts of all batches for each batch's keys, in the order of its keys.
 
     A bucket holds each key of a batch once, so a frequent word is as many entries as there are
-    batches, not tokens. A last row per bucket, of batch -1, has the number of distinct keys and the
-    sum of counts, of MAIN and of MAIN and DELETED together.
+    batches, not tokens. Two more rows per bucket have the number ``n`` of distinct keys and the
+    ``total`` of counts, of MAIN, and of MAIN and DELETED together.
     """
 
     def tell(table: pa.Table) -> pa.Table:
@@ -215,13 +223,19 @@ def _tell(asked: DataFrame) -> DataFrame:
                     "train": _pack(train[own]),
                 }
             )
-        sums = [np.array([(c > 0).sum(), c.sum()]) for c in (main, train)]
-        bucket = rows[0]["bucket"]
-        out.append({"batch": -1, "bucket": bucket, "n": 2, "main": _pack(sums[0]), "train": _pack(sums[1])})
+        for number, sums in ((MAIN_SUMS, main), (TRAIN_SUMS, train)):
+            out.append({"batch": number, "bucket": rows[0]["bucket"], "n": int((sums > 0).sum()), "total": int(sums.sum())})
         return pa.Table.from_pylist(out, schema=told)
 
     told = pa.schema(
-        [("batch", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("main", pa.binary()), ("train", pa.binary())]
+        [
+            ("batch", pa.int64()),
+            ("bucket", pa.int32()),
+            ("n", pa.int64()),
+            ("total", pa.int64()),
+            ("main", pa.binary()),
+            ("train", pa.binary()),
+        ]
     )
     return asked.groupBy("bucket").applyInArrow(tell, TOLD)
 
@@ -246,7 +260,7 @@ def _gathered(told: list[dict], order: np.ndarray, buckets: np.ndarray, column:
 
 def _components(row: dict, words: list[dict], pairs: list[dict], buckets: int, column: str):
     """Of each token: counts of the pair, of the token before, and of the token; and the batch."""
-    short = np.frombuffer(row["short"], np.uint16).astype(np.uint64)
+    short = np.frombuffer(row["short"], _short_type(buckets)).astype(np.uint64)
     batch = _batch_of(row, short)
     bucket = _word_bucket(short, buckets)
     counts = _gathered(words, np.argsort(bucket, kind="stable"), bucket, column)
@@ -321,7 +335,7 @@ def score_language(
     words and pairs, by the bucket of their 64-bit hashes, and every bucket answers each batch: what is
     shuffled are distinct keys of batches and counts, no token more than once per batch, and the text
     never. A word or pair of a third of all tokens is one entry per batch. Everything that is counted
-    grows with the corpus and is spread over buckets; the driver sees sums per bucket and the held-out
+    grows with the corpus and is spread over buckets; the driver sees four sums and the held-out
     tokens by bins, of which there are at most ``40 * 320 * 320``.
 
     Defined cases: null and empty texts are the end token alone; without learning documents all
@@ -339,27 +353,27 @@ def score_language(
     )
     forward = stored(_forward(rows))
     total = forward.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = int(min(65536, max(64, total // TOKENS_PER_BUCKET)))
+    buckets = int(max(64, total // TOKENS_PER_BUCKET))
 
     words = stored(_tell(_ask(forward, buckets, pairs=False)))
     pairs = stored(_tell(_ask(forward, buckets, pairs=True)))
-    sums = np.zeros(4, np.int64)
-    for r in words.where("batch = -1").collect():
-        sums += np.concatenate([_unpack(r["main"], 2), _unpack(r["train"], 2)])
-    totals = Totals(*map(int, sums))
+    sums = words.where("batch < 0").groupBy("batch").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    found = {r["batch"]: (r["n"], r["total"]) for r in sums.collect()}
+    totals = Totals(*found.get(MAIN_SUMS, (0, 0)), *found.get(TRAIN_SUMS, (0, 0)))
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of the hashes only the bits that say where the answers are."""
         for many in batches:
             at = many.schema.get_field_index("hashes")
-            short = [_short(np.frombuffer(h, np.uint64)).astype(np.uint16).tobytes() for h in many.column(at).to_pylist()]
+            hashes = [np.frombuffer(h, np.uint64) for h in many.column(at).to_pylist()]
+            short = [_short(h, buckets).astype(_short_type(buckets)).tobytes() for h in hashes]
             columns = [c for k, c in enumerate(many.columns) if k != at]
             names = [n for n in many.schema.names if n != "hashes"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(short, pa.binary())], [*names, "short"])
 
     fields = [f for f in forward.schema.fields if f.name != "hashes"]
     slim = forward.mapInArrow(shorten, StructType([*fields, StructField("short", BinaryType())]))
-    told = words.withColumn("kind", F.lit(1)).unionByName(pairs.withColumn("kind", F.lit(2))).where("batch >= 0")
+    told = words.withColumn("kind", F.lit(1)).unionByName(pairs.withColumn("kind", F.lit(2))).where("batch >= 0").drop("total")
 
     def joined(batches: pa.Table, answers: pa.Table, column: str):
         row = batches.to_pylist()[0]

@@ -6,7 +6,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm.ngram_lm import BINS, CONTEXT_CLASSES, _bin, _context_class, fit_weights, score_language
+from millrace.llm.ngram_lm import (
+    BINS,
+    CONTEXT_CLASSES,
+    _bin,
+    _context_class,
+    _pair_bucket,
+    _short,
+    _short_type,
+    _word_bucket,
+    fit_weights,
+    score_language,
+)
 from millrace.llm.queries import QUERIES
 from tests.llm.conftest import DATA, ODD
 
@@ -65,6 +76,19 @@ def test_scores_match_the_definition(spark, texts):
         assert r["score"] == pytest.approx(np.log10(p).sum(), rel=1e-5)
 
 
+@pytest.mark.parametrize("buckets", [64, 20_000, 5_000_000])
+def test_buckets_are_found_again_and_even(buckets):
+    """The shortened hashes that a batch keeps lead to the same buckets, however many there are."""
+    hashes = np.random.default_rng(1).integers(0, 2**64, 200_000, dtype=np.uint64)
+    short = _short(hashes, buckets)
+    kept = np.frombuffer(short.astype(_short_type(buckets)).tobytes(), _short_type(buckets)).astype(np.uint64)
+    assert (kept == short).all()
+    for found in (_word_bucket(short, buckets), _pair_bucket(short[:-1], short[1:], buckets)):
+        assert found.min() >= 0 and found.max() < buckets
+        mean = len(found) / buckets
+        assert np.bincount(found).max() < 4 * mean + 30
+
+
 def test_weights_are_found():
     """Tokens drawn from a known mixture."""
     rnd = np.random.default_rng(5)
