@@ -26,6 +26,8 @@ NUMBERS = "|".join(form for kind, form in FORMATS.items() if kind != "email")
 ANY = (
     rf"(?<![A-Za-z0-9])(?:{FORMATS['email']}|(?<![0-9][.-])(?:{NUMBERS})(?![.-][0-9]))(?![A-Za-z0-9])"
 )
+# Country codes of one and two digits as assigned by the ITU; all others have three.
+COUNTRY_CODE = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy")
 # The Gregorian calendar repeats after 400 years of 146,097 = 189 * 773 days.
 FIRST_DAY, DAYS, DAY_PARTS = "1800-01-01", 146_097, (189, 773)
@@ -179,12 +181,19 @@ def _card(text: Column, key: Column) -> Column:
 
 
 def _phone(text: Column, key: Column) -> Column:
-    """The country code after a plus stays, so that the number remains one of that country."""
-    code = F.when(text.startswith("+"), F.regexp_extract(text, r"^\+([0-9]{1,3})", 1)).otherwise("")
+    """The country code after a plus stays, so that the number remains one of that country.
+
+    It is read from the digits alone, whatever blanks the number is written with. A zero in brackets
+    after it, which is not dialled, stays and is no part of the number.
+    """
     digits = _digits(text)
-    rest = F.substring(digits, F.length(code) + 1, F.length(digits))
-    valid = F.length(digits).between(8, 15) & (F.length(rest) >= 4)
-    new = F.concat(code, permute_digits(rest, key, F.concat(F.lit("phone"), code)))
+    plus = text.startswith("+")
+    code = F.when(plus, F.regexp_extract(digits, f"^(?:{COUNTRY_CODE})", 0)).otherwise("")
+    trunk = F.when(text.rlike(rf"^\+(?:{COUNTRY_CODE})[ .-]?\(0\)"), "0").otherwise("")
+    start = F.length(code) + F.length(trunk)
+    rest = F.substring(digits, start + 1, F.length(digits))
+    valid = (F.length(digits) - F.length(trunk)).between(8, 15) & (F.length(rest) >= 4)
+    new = F.concat(code, trunk, permute_digits(rest, key, F.concat(F.lit("phone"), code)))
     return F.when(valid, _refill(text, "[0-9]", new)).otherwise(text)
 
 

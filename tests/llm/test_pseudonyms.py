@@ -70,6 +70,28 @@ def test_equal_values_stay_linked_in_any_writing(new):
     assert new["02/29/1980"] == f"{month}/{day}/{year}"
 
 
+def replaced(spark, cases):
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    return [r["text"] for r in pseudonymize(rows, "secret").orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize(
+    "code, writings",
+    [
+        ("49", ["+49 30 1234567", "+49301234567", "+49-30-123-4567", "+49 (30) 123 4567"]),
+        ("1", ["+1 555 123 4567", "+15551234567", "+1 (555) 123-4567", "+1-555-123-4567"]),
+        ("44", ["+44 20 7946 0958", "+442079460958", "+44.20.7946.0958"]),
+        ("353", ["+353 21 234 5678", "+353212345678"]),
+    ],
+)
+def test_one_phone_number_has_one_pseudonym_in_any_writing(spark, code, writings):
+    out = replaced(spark, writings)
+    digits = {re.sub("[^0-9]", "", t) for t in out}
+    assert len(digits) == 1 and digits != {re.sub("[^0-9]", "", writings[0])}
+    assert digits.pop().startswith(code)
+    assert [re.sub("[0-9]", "9", t) for t in out] == [re.sub("[0-9]", "9", t) for t in writings]
+
+
 def test_numbers_that_follow_each_other_are_values_of_their_own(spark, new):
     row = "+1 (017) 555-7713 1234, 4845168114407329 4845168114407329"
     out = pseudonymize(spark.createDataFrame([(1, row)], "doc_id long, text string"), "secret").first()
