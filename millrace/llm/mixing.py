@@ -89,7 +89,7 @@ def mix(
 
     Returns id, ``size`` (words), ``source_size``, ``target``, ``taken``, and what ``cut_texts``
     needs: ``start`` (words before it in its source's shard), ``blocks``, ``quota`` and ``turn`` of
-    that shard. ``weights`` gives a weight for each source in the order given to it (by code point,
+    that shard, and ``digest`` of the text. ``weights`` gives a weight for each source in the order given to it (by code point,
     null last).
 
     The words of all documents times ``share`` are shared among the sources by weight; none gets
@@ -109,6 +109,7 @@ def mix(
         docs[id_column].alias("id"),
         docs[source_column].alias("source"),
         count_words(docs[text_column]).alias("size"),
+        _digest(docs[text_column]).alias("digest"),
     )
     rows = stored(rows)
     totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()
@@ -147,7 +148,7 @@ def mix(
     quotas = pairs.join(quotas, "number").groupBy("number").applyInPandas(apportion, schema)
     quotas = stored(quotas)
 
-    inner = Window.partitionBy("number", "shard").orderBy("order", "id", "size")
+    inner = Window.partitionBy("number", "shard").orderBy("order", "id", "size", "digest")
     before = F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumn("start", F.coalesce(before, F.lit(0)))
     quotas = quotas.select("number", "shard", "blocks", "quota")
@@ -167,9 +168,15 @@ def mix(
         "blocks",
         "quota",
         "turn",
+        "digest",
     )
 
 
+def _digest(text: Column) -> Column:
+    """What tells the texts of rows with one id apart; null for null."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def _times_before(block: Column) -> Column:
     """How many blocks the first ``block`` blocks of a shard give, repeats counted."""
     return F.expr("1L") * F.floor((block * F.col("quota") + F.col("turn")) / F.col("blocks"))
@@ -194,13 +201,16 @@ def cut_texts(
 
     The text of a row is made of the blocks taken in that turn, with the white space between their
     words; a document taken whole once keeps its text as it is. Documents that give nothing go.
-    Other columns stay. Rows that repeat an id are cut alike.
+    Other columns stay. Rows that share an id, or have none, are told apart by their texts; those
+    that repeat both are cut alike, by the span that starts first among those that give words.
     """
-    spans = mixed.where("taken > 0").select(
-        F.col(id_column).alias("_mix_id"), *[F.col(c).alias(f"_mix_{c}") for c in ("start", "size", "blocks", "quota", "turn")]
-    )
-    spans = stored(spans.dropDuplicates(["_mix_id"]))
-    joined = docs.join(spans, docs[id_column].eqNullSafe(spans["_mix_id"]))
+    fields = ("start", "size", "blocks", "quota", "turn")
+    keys = (F.col(id_column).alias("_mix_id"), F.col("digest").alias("_mix_digest"))
+    spans = mixed.where("taken > 0").groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_span"))
+    spans = stored(spans.select("_mix_id", "_mix_digest", *[F.col(f"_span.{c}").alias(f"_mix_{c}") for c in fields]))
+    # The join is by text too, as a span fits no other text than the one it was counted on.
+    same = docs[id_column].eqNullSafe(spans["_mix_id"]) & (_digest(docs[text_column]) == spans["_mix_digest"])
+    joined = docs.join(spans, same)
 
     @F.pandas_udf("array<string>")
     def cut(text: pd.Series, start: pd.Series, size: pd.Series, blocks: pd.Series, quota: pd.Series, turn: pd.Series) -> pd.Series:
@@ -208,7 +218,7 @@ def cut_texts(
             [cut_text(*row, block_words) for row in zip(text, start, size, blocks, quota, turn)]
         )
 
-    turns = cut(docs[text_column], *[spans[f"_mix_{c}"] for c in ("start", "size", "blocks", "quota", "turn")])
+    turns = cut(docs[text_column], *[spans[f"_mix_{c}"] for c in fields])
     return joined.select(
         *[F.explode(turns).alias(c) if c == text_column else docs[c] for c in docs.columns]
     )

@@ -65,6 +65,23 @@ def test_texts_are_cut_as_counted(odd):
     assert {1, 2, 3}.isdisjoint(words)
 
 
+def test_rows_of_one_id_are_cut_by_their_own_spans(spark):
+    """Null ids and repeated ids with texts of very different length, and quotas below the blocks."""
+    rows = [(None, 900), (None, 50), (None, 333), (1, None), (1, 700), (1, 20), (2, 70), (2, 640)]
+    text = lambda n: None if n is None else " ".join(f"{n}_{k}" for k in range(n))
+    docs = spark.createDataFrame([(i, text(n), "s") for i, n in rows], "doc_id long, text string, source string")
+    mixed = mix(docs, weights_of, share=0.6)
+    found = mixed.collect()
+    assert all(r["quota"] < r["blocks"] for r in found if r["size"])
+    expected = {(r["doc_id"], r["size"]): r["taken"] for r in found if r["taken"]}
+    assert len(expected) > 3
+    words = defaultdict(int)
+    for r in cut_texts(docs, mixed).collect():
+        for word in r["text"].split():
+            words[r["doc_id"], int(word.split("_")[0])] += 1
+    assert words == expected
+
+
 def test_a_cut_text_holds_its_blocks():
     text = " ".join(f"w{k}" for k in range(10))
     # Blocks of 4 words over words 2 to 11 of the shard; 3 of 4 blocks are taken once.
