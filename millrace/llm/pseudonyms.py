@@ -8,24 +8,95 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
 
+# Lengths of IBANs by country, from the IBAN registry.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ DJ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI FR GR IT MC SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+# Digits of telephone numbers after the country code, fewest and most, where they are known; else
+# numbers have 8 to 15 digits in all.
+PHONE_LENGTHS = {
+    (8, 8): "45 47 53 65",
+    (8, 9): "31 32 36 41 66",
+    (9, 9): "33 34 40 48 51 56 61 93 94",
+    (6, 10): "20 27 30 44 46 52 54 55 57 58 60 63 64 81 82 84 90 91 92 95 98",
+    (6, 11): "39 49 86",
+    (6, 12): "43 62",
+    (10, 10): "1 7",
+}
+
+
+def _iban_form() -> str:
+    """IBANs as long as their country has them; of 15 to 34 characters where it is unknown."""
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        whole, part = divmod(length - 4, 4)
+        tail = f" [A-Z0-9]{{{part}}}" if part else ""
+        start = f"(?:{countries.replace(' ', '|')})[0-9]{{2}}"
+        forms.append(f"{start}(?:[A-Z0-9]{{{length - 4}}}|(?: [A-Z0-9]{{4}}){{{whole}}}{tail})")
+    known = " ".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?)"
+    return "|".join([*forms, other])
+
+
+def _phone_form() -> str:
+    """Numbers with a plus end where those of their country do, others after 8 to 15 digits."""
+    digit = r"[ .-]?\(?[0-9](?:\)(?=[ .-]?[0-9]))?"
+    trunk = r"(?:[ .-]?\(0\))?"
+    forms = [
+        rf"\+(?:{codes.replace(' ', '|')}){trunk}(?:{digit}){{{least},{most}}}(?![A-Za-z0-9])(?![.-][0-9])"
+        for (least, most), codes in PHONE_LENGTHS.items()
+    ]
+    plain = (
+        r"1-[0-9]{3}-[0-9]{3}-[0-9]{4}",
+        r"1[ -]?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}",
+        r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}",
+        r"[0-9]{3}-[0-9]{3}-[0-9]{4}",
+    )
+    return "|".join([*forms, rf"\+[0-9]{trunk}(?:{digit}){{7,14}}", *plain])
+
+
 # The formats that are recognised, in the order in which they are tried.
 FORMATS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
+    "iban": _iban_form(),
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}",
-    "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
-    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
-    r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}",
+    "phone": _phone_form(),
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "card": r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}",
 }
-# A value stands alone: no letter or digit touches it; a number is no part of a longer one with
-# dots or dashes.
-NUMBERS = "|".join(form for kind, form in FORMATS.items() if kind != "email")
+# A value stands alone: no letter or digit touches it, but for the time after a date; a number is no
+# part of a longer one with dots or dashes.
+END = r"(?:(?![A-Za-z0-9])(?![.-][0-9])|(?<=[0-9]{4}-[0-9]{2}-[0-9]{2})(?=T[0-9]{2}))"
+# Whether an IBAN or a card is valid only its check tells. What follows is taken along, so that
+# where the check fails values are sought from each later part on.
+CHAIN = (
+    rf"(?:{FORMATS['iban']}|{FORMATS['card']}){END}"
+    r"(?:[ -](?![A-Za-z0-9._%+-]*@)[A-Z0-9]++(?![a-z]|[.,/][0-9]))*+"
+)
+NUMBERS = "|".join(f"(?:{FORMATS[kind]}){END}" for kind in ("ip", "date", "phone", "ssn"))
 ANY = (
-    rf"(?<![A-Za-z0-9])(?:{FORMATS['email']}|(?<![0-9][.-])(?:{NUMBERS})(?![.-][0-9]))(?![A-Za-z0-9])"
+    rf"(?<![A-Za-z0-9])(?:{FORMATS['email']}(?![A-Za-z0-9])|(?<![0-9][.-])(?:{CHAIN}|{NUMBERS}))"
 )
+# A chain is searched part by part; no value has more parts than this.
+CHAIN_PARTS = 12
 # Country codes of one and two digits as assigned by the ITU; all others have three.
 COUNTRY_CODE = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy")
@@ -188,7 +259,9 @@ def _phone(text: Column, key: Column) -> Column:
     """
     digits = _digits(text)
     plus = text.startswith("+")
-    code = F.when(plus, F.regexp_extract(digits, f"^(?:{COUNTRY_CODE})", 0)).otherwise("")
+    code = F.when(plus, F.regexp_extract(digits, f"^(?:{COUNTRY_CODE})", 0)).otherwise(
+        F.when(F.length(digits) == 11, "1").otherwise("")
+    )
     trunk = F.when(text.rlike(rf"^\+(?:{COUNTRY_CODE})[ .-]?\(0\)"), "0").otherwise("")
     start = F.length(code) + F.length(trunk)
     rest = F.substring(digits, start + 1, F.length(digits))
@@ -322,14 +395,66 @@ CHANGES = {
 }
 
 
-def pseudonym(value: Column, key: Column) -> Column:
+def pseudonym(value: Column, key: Column, kinds: tuple[str, ...] = tuple(FORMATS)) -> Column:
     """The pseudonym of one value of a known format; other and invalid values stay as they are."""
     out = value
-    for kind in reversed(FORMATS):
+    for kind in reversed(kinds):
         out = F.when(value.rlike(f"^(?:{FORMATS[kind]})$"), CHANGES[kind](value, key)).otherwise(out)
     return out
 
 
+def _found(text: Column, key: Column) -> Column:
+    """Struct ``new, n``: a match of ``ANY`` with its values replaced, and their number."""
+
+    def alone(new: Column) -> Column:
+        return F.struct(new.alias("new"), (new != text).cast("int").alias("n"))
+
+    chained = text.rlike(f"^(?:{CHAIN})$") & ~text.rlike("^[A-Z0-9]+$")
+    return F.when(chained, _chain(text, key)).otherwise(_let(pseudonym(text, key), alone))
+
+
+def _chain(text: Column, key: Column) -> Column:
+    """Struct ``new, n``: parts from left to right, each the start of a value if a valid one is there."""
+    parts = F.regexp_extract_all(text, F.lit("[A-Z0-9]+[ -]?"), F.lit(0))
+    kinds = tuple(k for k in FORMATS if k not in ("email", "ip"))
+
+    def walk(all_parts: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            part = F.element_at(all_parts, i)
+            before = F.when(i > 1, F.element_at(all_parts, F.greatest(i - 1, F.lit(1)))).otherwise("")
+            rest = F.array_join(F.slice(all_parts, i, F.lit(CHAIN_PARTS)), "")
+            plain = F.struct(F.concat(state["new"], part).alias("new"), state["n"].alias("n"), (i + 1).alias("next"))
+
+            def tried(rest: Column) -> Column:
+                none = F.struct(F.lit("").alias("old"), F.lit("").alias("new"))
+                values = F.array(*[F.regexp_extract(rest, f"^(?:{FORMATS[k]}){END}", 0) for k in kinds])
+                pairs = F.transform(
+                    F.filter(values, lambda v: v != ""),
+                    lambda v: F.struct(v.alias("old"), pseudonym(v, key, kinds).alias("new")),
+                )
+                changed = F.filter(pairs, lambda p: p["old"] != p["new"])
+                return F.element_at(F.concat(changed, F.array(none)), 1)
+
+            def put(hit: Column) -> Column:
+                # What of its last part is no part of the value stays.
+                count = F.regexp_count(hit["old"], F.lit("[A-Z0-9]+"))
+                covered = F.array_join(F.slice(all_parts, i, F.greatest(count, F.lit(1))), "")
+                gap = F.substring(covered, F.length(hit["old"]) + 1, F.length(covered))
+                return F.when(hit["old"] == "", plain).otherwise(
+                    F.struct(F.concat(state["new"], hit["new"], gap).alias("new"), (state["n"] + 1).alias("n"), (i + count).alias("next"))
+                )
+
+            inside = before.rlike("[0-9]-$")
+            return F.when(i < state["next"], state).otherwise(
+                F.when(inside, plain).otherwise(_let(_let(rest, tried), put))
+            )
+
+        start = F.struct(F.lit("").alias("new"), F.lit(0).alias("n"), F.lit(1).alias("next"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(all_parts)), start, step)
+
+    return _let(_let(parts, walk), lambda s: F.struct(s["new"].alias("new"), s["n"].alias("n")))
+
+
 def pseudonymize(
     docs: DataFrame, key: str, *, text_column: str = "text", count_column: str = "n_replaced"
 ) -> DataFrame:
@@ -341,7 +466,8 @@ def pseudonymize(
     its own format with ``key``: a card number stays a valid card number, a date a date, and layout
     and letter case stay. The same value gets the same pseudonym in every document, written with or
     without blanks, and different values never share one. Numbers that are not valid stay.
-    Dates with slashes are read month first, else day first.
+    Dates with slashes are read month first, else day first. IBANs and telephone numbers end where
+    those of their country do; where a check fails, values are sought again from the next part on.
 
     All is built from SQL expressions: one scan, no shuffle, no Python. Texts without a digit or an
     at sign are passed by. Defined cases: null stays null with 0 replaced; empty texts stay; repeated
@@ -352,7 +478,7 @@ def pseudonymize(
     text = docs[text_column]
     secret = F.lit(key)
     old = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    new = F.transform(old, lambda v: F.struct(v.alias("old"), pseudonym(v, secret).alias("new")))
+    new = F.transform(old, lambda v: _found(v, secret))
     found = F.when(text.rlike("[0-9@]"), new)
     name = "_found"
     while name in docs.columns:
@@ -362,7 +488,7 @@ def pseudonymize(
     changed = F.array_join(
         F.zip_with(gaps, F.col(name), lambda gap, v: F.concat(gap, F.coalesce(v["new"], F.lit("")))), ""
     )
-    count = F.size(F.filter(name, lambda v: v["old"] != v["new"]))
+    count = F.aggregate(name, F.lit(0), lambda total, v: total + v["n"])
     some = F.col(name).isNotNull() & (F.size(name) > 0)
     return rows.select(
         *[F.when(some, changed).otherwise(text).alias(c) if c == text_column else rows[c] for c in docs.columns],

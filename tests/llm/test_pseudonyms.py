@@ -92,6 +92,39 @@ def test_one_phone_number_has_one_pseudonym_in_any_writing(spark, code, writings
     assert [re.sub("[0-9]", "9", t) for t in out] == [re.sub("[0-9]", "9", t) for t in writings]
 
 
+def test_values_next_to_numbers_and_capitals(spark):
+    """Each row is a value among other text, which stays; the value has the pseudonym it has alone."""
+    rows = [
+        ("", "BE68 5390 0754 7034", " USA"),
+        ("USA ", "BE68 5390 0754 7034", " 2024"),
+        ("", "GB82 WEST 1234 5698 7654 32", " AB 12"),
+        ("", "+33 6 12 34 56 78", " 2024"),
+        ("", "+39 06 12 34 56 78", ""),
+        ("", "+44 2079 4609 5812", " 2024"),
+        ("", "+1 555 123 4567", " 2020"),
+        ("", "+49 30 1234567", " 2020."),
+        ("call ", "1-800-555-1234", ""),
+        ("", "2024-05-06", "T12:00:00Z"),
+        ("1234 ", "4845 1681 1440 7329", ""),
+        ("1234 5678 ", "4845 1681 1440 7329", " 12."),
+        ("DE12 ", "4845 1681 1440 7329", " 12"),
+        ("AB12 ", "BE68 5390 0754 7034", " USA"),
+        ("4845168114407328 ", "078-05-1120", " X"),
+        ("1234567890123 ", "1980-02-29", "T12:00:00"),
+    ]
+    alone = replaced(spark, [value for _, value, _ in rows])
+    together = replaced(spark, ["".join(row) for row in rows])
+    for (before, value, after), new, text in zip(rows, alone, together):
+        assert new != value and text == before + new + after, (value, text)
+
+
+def test_every_value_of_a_chain_is_counted(spark):
+    row = "4845168114407329 078-05-1120 1234 4845 1681 1440 7329 JO.81@MAIL7.EXAMPLE.COM"
+    out = pseudonymize(spark.createDataFrame([(1, row)], "doc_id long, text string"), "secret").first()
+    parts = replaced(spark, ["4845168114407329", "078-05-1120", "4845 1681 1440 7329", "JO.81@MAIL7.EXAMPLE.COM"])
+    assert out["text"] == f"{parts[0]} {parts[1]} 1234 {parts[2]} {parts[3]}" and out["n_replaced"] == 4
+
+
 def test_numbers_that_follow_each_other_are_values_of_their_own(spark, new):
     row = "+1 (017) 555-7713 1234, 4845168114407329 4845168114407329"
     out = pseudonymize(spark.createDataFrame([(1, row)], "doc_id long, text string"), "secret").first()
