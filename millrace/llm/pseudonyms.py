@@ -163,6 +163,23 @@ def permute_digits(digits: Column, key: Column, tweak: Column) -> Column:
     )
 
 
+def permute_numbers(digits: Column, key: Column, tweak: Column) -> Column:
+    """Digits of any number, permuted in chunks of up to 36 among the strings of their length."""
+    chunks = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.floor(F.length(digits) / 36).cast("int")),
+            lambda k: F.struct(k.alias("k"), F.substring(digits, k * 36 + 1, F.lit(36)).alias("s")),
+        ),
+        lambda c: F.length(c["s"]) > 0,
+    )
+
+    def one(chunk: Column) -> Column:
+        own = F.when(chunk["k"] == 0, tweak).otherwise(F.concat_ws("/", tweak, chunk["k"].cast("string")))
+        return permute_digits(chunk["s"], key, own)
+
+    return F.array_join(F.transform(chunks, one), "")
+
+
 def _letters_value(letters: Column) -> Column:
     """Lower-case letters as a number of base 26."""
     codes = F.transform(_characters(letters), lambda c: F.ascii(c).cast("long") - ord("a"))
@@ -336,7 +353,7 @@ def _email(text: Column, key: Column) -> Column:
     local = F.substring_index(text, "@", 1)
     domain = F.lower(F.substring_index(text, "@", -1))
     letters = F.lower(F.regexp_replace(local, "[^A-Za-z]", ""))
-    digits = F.substring(_digits(local), 1, 36)
+    digits = _digits(local)
     old = F.regexp_extract_all(local, F.lit("[A-Za-z]"), F.lit(0))
 
     def with_letters(new: Column) -> Column:
@@ -344,10 +361,10 @@ def _email(text: Column, key: Column) -> Column:
             F.zip_with(old, _characters(new), lambda o, c: F.when(o.rlike("[A-Z]"), F.upper(c)).otherwise(c)), ""
         )
         changed = _let(cased, lambda c: _refill(local, "[A-Za-z]", c))
-        numbers = F.when(F.length(digits) > 0, permute_digits(digits, key, F.concat(F.lit("email"), domain, new)))
+        numbers = F.when(F.length(digits) > 0, permute_numbers(digits, key, F.concat(F.lit("email"), domain, new)))
         return F.when(
             F.length(digits) > 0,
-            _let(F.struct(changed.alias("t"), numbers.alias("d")), lambda x: _refill(x["t"], "[0-9]", F.rpad(x["d"], F.length(_digits(local)), F.lit("0")))),
+            _let(F.struct(changed.alias("t"), numbers.alias("d")), lambda x: _refill(x["t"], "[0-9]", x["d"])),
         ).otherwise(changed)
 
     mixed = permute_letters(letters, key, F.concat_ws("/", F.lit("email"), domain, digits))

@@ -142,6 +142,12 @@ def test_no_two_values_share_a_pseudonym(spark):
     assert pseudonymize(phones, "secret").select("text").distinct().count() == 10_000
 
 
+def test_mail_addresses_of_many_digits_stay_apart(spark):
+    """Also where they differ only after the 36th digit, whose followers are permuted too."""
+    out = replaced(spark, [f"a{'7' * 40}{k:02}@example.com" for k in range(100)])
+    assert len(set(out)) == 100 and all(re.fullmatch(r"[a-z][0-9]{42}@example\.com", t) for t in out)
+
+
 def test_another_key_gives_other_pseudonyms(spark, new):
     row = spark.createDataFrame([(1, CASES[3])], "doc_id long, text string")
     assert pseudonymize(row, "other").first()["text"] != new[CASES[3]]
