@@ -7,19 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm.alignment import align_documents, link_statistics
 from millrace.llm.bpe import encode_documents
 from millrace.llm.common import fold_of
+from millrace.llm.conversations import repair_conversations
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.kd_sharding import kd_shards
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_lm import score_language
+from millrace.llm.pieces import encode_pieces
 from millrace.llm.pseudonyms import pseudonymize
 from millrace.llm.quality import judge_quality
 from millrace.llm.token_counts import count_section_tokens
 from millrace.llm.toxicity import score_toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +101,11 @@ def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text decoded from them, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    coded = encode_documents(docs, VOCABULARY, decoded_column="decoded")
+    return coding_digests(encode_documents(docs, VOCABULARY, decoded_column="decoded"))
+
+
+def coding_digests(coded: DataFrame) -> DataFrame:
+    """Numbers and digests of ``ids`` and ``decoded``."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -111,6 +119,52 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_section_tokens(documents(spark, sf_dir), VOCABULARY)
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every text and the text decoded from them, as digests."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return coding_digests(encode_pieces(docs, PIECES, decoded_column="decoded"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` with faults that follow from the checksum of conversation and
+    turn: of twenty, 0 drops the row, 1 empties its text, 2 takes the ends of its sentences, 3 repeats
+    it, and 4 makes it the user's. Nulls read as one space."""
+    turns = conversations.select(
+        "conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")]
+    )
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    turns = turns.withColumn("fault", F.pmod(F.crc32(name.cast("binary")), F.lit(20)))
+    fault = F.col("fault")
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(fault == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(fault == 3, 2).otherwise(1))).alias("copy")
+    return turns.where(fault != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies).drop("copy")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the damage, those without rows too."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = repair_conversations(damaged(conversations))
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    joined = every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies in every text."""
+    aligned = align_documents(documents(spark, sf_dir), VOCABULARY, PIECES)
+    groups = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    found = link_statistics(aligned.withColumn("groups_sha256", groups).drop("groups"))
+    counts = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return found.select(F.col("id").alias("doc_id"), *counts, "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_mixing": op2_mixing,
@@ -122,4 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_lm": op8_ngram_lm,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
+    "op11_pieces": op11_pieces,
+    "op12_conversations": op12_conversations,
+    "op13_alignment": op13_alignment,
 }

@@ -1,0 +1,85 @@
+"""SentencePiece encoding against the library."""
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from sentencepiece import SentencePieceProcessor
+
+from millrace.llm.pieces import decode_pieces, encode_pieces, piece_codec
+from millrace.llm.queries import PIECES, op11_pieces
+from tests.llm.conftest import DATA, PROSE
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=PIECES)
+
+
+def encoded(texts):
+    ids, bounds = piece_codec(PIECES).encode(texts)
+    return [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])]
+
+
+@given(st.lists(st.text(alphabet="ab e▁é漢\U0001f600=.\n the rin", max_size=60) | st.text(max_size=30), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_ids_and_text_equal_the_library(library, texts):
+    ids = encoded(texts)
+    assert ids == [library.encode(t) for t in texts]
+    assert [piece_codec(PIECES).decode(i) for i in ids] == [library.decode(i) for i in ids]
+
+
+def test_joined_pieces(library):
+    """Pieces side by side make pairs that merge earlier than the pieces did."""
+    some = random.Random(1)
+    names = [library.id_to_piece(k) for k in range(300, 32000)]
+    texts = ["".join(some.choices(names, k=some.randint(1, 12))) for _ in range(5000)]
+    assert encoded(texts) == library.encode(texts)
+
+
+def test_long_runs(library):
+    some = random.Random(2)
+    texts = ["a" * 200_000, "ab" * 50_000, " " * 5_000, "".join(some.choices("etaoinshrdlu漢", k=100_000)), PROSE * 3000]
+    assert encoded(texts) == library.encode(texts)
+
+
+def test_memory_may_start_afresh(library, monkeypatch):
+    monkeypatch.setattr("millrace.llm.pieces.MEMORY_BYTES", 1000)
+    for text in (PROSE, PROSE.upper(), "x" * 100 + " y", PROSE + "more words"):
+        assert encoded([text, text + " tail"]) == library.encode([text, text + " tail"])
+
+
+def test_any_ids_decode_as_in_the_library(library):
+    some = np.random.default_rng(3)
+    own = piece_codec(PIECES)
+    for _ in range(3000):
+        ids = some.integers(0, some.choice([300, 32000]), some.integers(0, 12))
+        assert own.decode(ids) == library.decode(ids.tolist())
+
+
+def test_odd_rows(spark, odd, none, library):
+    found = encode_pieces(odd, PIECES, decoded_column="decoded").collect()
+    assert len(found) == odd.count()
+    for row in found:
+        assert row["ids"] == library.encode(row["text"] or "")
+        assert row["decoded"] == library.decode(row["ids"])
+    assert set(odd.columns) < set(found[0].asDict())
+    assert encode_pieces(none, PIECES).count() == 0
+    with pytest.raises(ValueError, match="already there"):
+        encode_pieces(odd, PIECES, ids_column="Lang")
+    coded = encode_pieces(odd.select("doc_id", "text"), PIECES).drop("text")
+    texts = {r["text"] for r in decode_pieces(coded, PIECES).collect()}
+    assert texts == {r["text"] or "" for r in odd.collect()}
+
+
+def test_the_query_on_the_whole_table(spark, texts, library):
+    from hashlib import sha256
+
+    found = {r["doc_id"]: r for r in op11_pieces(spark, str(DATA)).collect()}
+    assert found.keys() == texts.keys()
+    for key, text in texts.items():
+        ids = library.encode(text or "")
+        assert found[key]["n_tokens"] == len(ids)
+        assert found[key]["ids_sha256"] == sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert found[key]["decoded_sha256"] == sha256(library.decode(ids).encode()).hexdigest()
