@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -11,8 +12,13 @@ from pyspark.sql.types import StructType
 
 from millrace.naming import literal, name_parts, quote, quote_table
 from millrace.operators.rows import observe_rows
+from millrace.sources.storage import child_names, delete_folder
 
 SESSION_CATALOG = "spark_catalog"
+# The property that names the folder of a table's versions.
+VERSIONS = "replace.versions"
+# More rows than the description of any table has.
+DESCRIBED_ROWS = 100_000
 
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
@@ -68,24 +74,43 @@ def ensure_table(
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop ``table`` if it exists, with all versions that :func:`replace_table` has kept of it."""
+    versions = _property(spark, table, VERSIONS) if holds_files(spark, table) else None
     spark.sql(f"DROP TABLE IF EXISTS {quote_table(table)}")
+    if versions is not None:
+        delete_folder(spark, versions)
 
 
 def replace_table(
-    df: DataFrame, table: str, *, partition_by: str | None = None, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    *,
+    partition_by: str | None = None,
+    fmt: str = "parquet",
+    keep: int = 2,
 ) -> int:
     """Create or replace ``table`` with ``df`` and return the number of rows written.
 
-    ``df`` runs once; a retried task is never counted twice.
+    ``df`` runs once; a retried task is never counted twice. It may read the old table.
 
     In a v2 catalog the replacement is one atomic commit, and the table's own distribution
     rules arrange the rows, possibly in a stage after ``df``. The rows are therefore counted
     in the written table, which such tables answer from their metadata.
 
-    In the session catalog the new content is written beside the old table, which stays readable
-    until that has succeeded and is then dropped and replaced by name. Should the session end
-    between these two, the content is in a table of the same name with a suffix. ``df`` may read
-    the old table. On an object store the renaming copies; rows are rebalanced by ``partition_by`` first, which gives each
+    In the session catalog each replacement writes a version, a folder of its own beside the
+    namespace's tables, and then points the table to it, which is one change in the catalog: who
+    reads sees the old version or the new one, whole, and nothing is renamed or copied. A failed
+    write leaves the table as it was. The ``keep`` versions before the new one stay for queries that
+    still read them; older ones are deleted. Partitions are found by their folders, so none is
+    registered anywhere.
+
+    Only where columns, partitioning or format differ from the old table, or where the old table was
+    not made here, is it dropped and created anew, three quick changes in a row, between which the
+    table is missing or, with partitions, empty. Another session may go on with what it remembers of
+    the table until it refreshes it. A table of versions is dropped by :func:`drop_table`; a plain
+    ``DROP TABLE`` leaves its folders.
+
+    Rows are rebalanced by ``partition_by`` first, which gives each
     partition few files and lets adaptive execution split a partition value that holds more
     than one task should write. The rows are counted by the tasks that write them.
     """
@@ -96,29 +121,100 @@ def replace_table(
             target = target.partitionedBy(F.col(quote(partition_by)))
         target.createOrReplace()
         return spark.table(table).count()
+    versions = _property(spark, table, VERSIONS)
+    same = versions is not None and _same_shape(spark, table, df.schema, partition_by, fmt)
+    if versions is None:
+        versions = f"{_namespace_folder(spark, table)}/{name_parts(table)[-1]}.versions"
+    # Names rise with time.
+    version = f"{versions}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     if partition_by is not None:
         df = df.hint("rebalance", quote(partition_by))
     written = Observation()
-    writer = observe_rows(df, written).write.format(fmt).mode("overwrite")
+    writer = observe_rows(df, written).write.format(fmt)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    *parents, last = name_parts(table)
-    beside = quote(*parents, f"{last}_{uuid.uuid4().hex}")
     try:
-        writer.saveAsTable(beside)
+        writer.save(version)
     except Exception:
-        drop_table(spark, beside)
+        delete_folder(spark, version)
         raise
-    drop_table(spark, table)
-    # The new name of a table of the session catalog is given without that catalog.
-    inside = [p for k, p in enumerate(parents) if k or p != SESSION_CATALOG]
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {quote(*inside, last)}")
-    if partition_by is not None:
-        # The catalog may know the partitions by the folders they had before.
-        spark.sql(f"MSCK REPAIR TABLE {quote_table(table)} SYNC PARTITIONS")
+    if not same:
+        _create_anew(spark, table, df.schema, partition_by, fmt, version, versions)
+    spark.sql(f"ALTER TABLE {quote_table(table)} SET LOCATION '{literal(version)}'")
+    # Later names are those of replacements that are still being written.
+    older = [name for name in child_names(spark, versions) if name < version.rsplit("/", 1)[1]]
+    for name in older[: max(0, len(older) - keep)]:
+        delete_folder(spark, f"{versions}/{name}")
+    # A reader that resolved the table during the change may have put the old version back into the
+    # session's memory. Another change of the table takes it out, and lists no files for that.
+    last = literal(version.rsplit("/", 1)[1])
+    spark.sql(f"ALTER TABLE {quote_table(table)} SET TBLPROPERTIES ('{VERSIONS}.last' = '{last}')")
     return written.get["rows"]
 
 
+def _create_anew(
+    spark: SparkSession,
+    table: str,
+    schema: StructType,
+    partition_by: str | None,
+    fmt: str,
+    version: str,
+    versions: str,
+) -> None:
+    """Create ``table`` in place of any other of that name: over its version, or, with partitions,
+    over none yet, as Spark lists all folders of a partitioned table while it creates one."""
+    name = quote_table(table)
+    partitioning, folder = "", version
+    if partition_by is not None:
+        partitioning, folder = f" PARTITIONED BY ({quote(partition_by)})", f"{versions}/none"
+    # Partitions that the catalog kept would have to be changed one by one.
+    setting = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(
+            f"CREATE TABLE {name} ({schema.toNullable().toDDL()}) USING {fmt}{partitioning} "
+            f"LOCATION '{literal(folder)}' TBLPROPERTIES ('{VERSIONS}' = '{literal(versions)}')"
+        )
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _same_shape(
+    spark: SparkSession, table: str, schema: StructType, partition_by: str | None, fmt: str
+) -> bool:
+    """Whether ``table`` has just these columns in their order, this partitioning and this format."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").tail(DESCRIBED_ROWS)
+    provider = next((r["data_type"] for r in reversed(described) if r["col_name"] == "Provider"), None)
+    wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    partitions = [] if partition_by is None else [c for c in wanted if c[0].lower() == partition_by.lower()]
+    wanted = [c for c in wanted if c not in partitions] + partitions
+    found = [(f.name, f.dataType.simpleString()) for f in spark.table(quote_table(table)).schema.fields]
+    # Partition columns stand once more behind a heading of their own, names and types as above.
+    titles = [k for k, r in enumerate(described) if r["col_name"] == "# Partition Information"]
+    parted = titles and described[titles[-1] + 2]["col_name"]
+    return found == wanted and (parted or None) == (partitions[0][0] if partitions else None) and (
+        provider is not None and provider.lower() == fmt.lower()
+    )
+
+
+def _namespace_folder(spark: SparkSession, table: str) -> str:
+    """The folder in which the namespace of ``table`` has its tables."""
+    parents = name_parts(table)[:-1]
+    name = quote(*parents) if parents else quote(*name_parts(spark.catalog.currentDatabase()))
+    described = spark.sql(f"DESCRIBE NAMESPACE {name}").where("info_name = 'Location'")
+    return described.first()["info_value"].rstrip("/")
+
+
+def _property(spark: SparkSession, table: str, key: str) -> str | None:
+    """A property of a table; none if either does not exist."""
+    if not spark.catalog.tableExists(quote_table(table)):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {quote_table(table)}").where(F.col("key") == key).first()
+    return found and found["value"]
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     """The folder of a file table."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}")

@@ -1,4 +1,5 @@
 import glob
+import threading
 from unittest import mock
 
 import pytest
@@ -158,7 +159,7 @@ def test_a_hot_date_is_written_by_several_tasks(spark, set_conf):
         F.sha2(n.cast("string"), 256).alias("payload"), day.alias("d")
     )
     assert replace_table(df, f"{namespace}.t", partition_by="d") == 60_000
-    files = sorted(len(glob.glob(f"{date}/*.parquet")) for date in glob.glob(f"{folder}/t/d=*"))
+    files = sorted(len(glob.glob(f"{date}/*.parquet")) for date in glob.glob(f"{folder}/t.versions/*/d=*"))
     assert len(files) == 10
     assert files[-1] >= 8
     assert files[5] <= 2
@@ -223,3 +224,84 @@ def test_an_existing_table_must_have_the_schema(spark, namespace):
 
 def test_namespaces_of_the_current_catalog(spark, namespace):
     assert list_namespaces(spark).where(F.col("namespace") == namespace).count() == 1
+
+
+# --- versions ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("partition_by", [None, "d"])
+def test_readers_see_whole_versions_while_the_table_is_replaced(spark, namespace, partition_by):
+    table, stop, seen, failed = f"{namespace}.busy", threading.Event(), [], []
+
+    def content(k):
+        return spark.range(50).select("id", F.lit(k).alias("version"), (F.col("id") % 3).alias("d"))
+
+    def read():
+        while not stop.is_set():
+            try:
+                found = spark.table(table).groupBy("version").agg(F.count("*"), F.sum("id")).collect()
+                seen.append([tuple(r) for r in found])
+            except Exception as error:
+                failed.append(error)
+                return
+
+    replace_table(content(0), table, partition_by=partition_by)
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for k in range(1, 21):
+            assert replace_table(content(k), table, partition_by=partition_by) == 50
+            assert spark.table(table).select("version").distinct().collect() == [(k,)]
+    finally:
+        stop.set()
+        reader.join()
+    assert not failed, failed[0]
+    versions = [found[0][0] for found in seen]
+    assert all(found == [(found[0][0], 50, 49 * 25)] for found in seen)
+    assert versions == sorted(versions) and len(set(versions)) > 3
+
+
+def test_old_versions_go_and_a_drop_takes_all(spark, namespace):
+    table, folder = f"{namespace}.t", tables._namespace_folder(spark, f"{namespace}.t").removeprefix("file:")
+    for k in range(5):
+        replace_table(spark.range(k), table, keep=1)
+    assert len(glob.glob(f"{folder}/t.versions/*")) == 2
+    spark.sql(f"DROP TABLE {table}")
+    assert replace_table(spark.range(3), table, keep=0) == 3 and spark.table(table).count() == 3
+    assert len(glob.glob(f"{folder}/t.versions/*")) == 1
+    drop_table(spark, table)
+    assert not glob.glob(f"{folder}/t.versions*") and not spark.catalog.tableExists(table)
+
+
+def test_a_query_planned_before_a_replace_ends_on_its_version(spark, namespace):
+    table = f"{namespace}.t"
+    replace_table(dated(spark, 30), table, partition_by="d")
+    old = spark.table(table)
+    for n in (40, 50):
+        replace_table(dated(spark, n), table, partition_by="d")
+    assert old.count() == 30 and spark.table(table).count() == 50
+
+
+def test_another_shape_makes_the_table_anew(spark, namespace):
+    """Columns, types, order, partitioning, format, or a table that was not made here."""
+    table = f"{namespace}.t"
+    spark.range(9).write.saveAsTable(table)
+    steps = [
+        (spark.range(5), None, "parquet"),
+        (spark.range(5).withColumn("x", F.lit("01")), None, "parquet"),
+        (spark.range(5).withColumn("x", F.lit("01")), "x", "parquet"),
+        (spark.range(5).select(F.lit("01").alias("x"), "id"), "x", "parquet"),
+        (spark.range(5).withColumn("x", F.lit(1)), "x", "parquet"),
+        (spark.range(5).withColumn("x", F.lit(1)), "x", "json"),
+    ]
+    for df, partition_by, fmt in steps * 2:
+        replace_table(df, table, partition_by=partition_by, fmt=fmt)
+        found = spark.table(table).select(*df.columns)
+        assert found.dtypes == df.dtypes and rows(found) == rows(df)
+
+
+def test_odd_columns_survive(spark, namespace):
+    df = spark.sql("SELECT 1 AS `a b`, named_struct('x.y', 2) AS `s;t`, map('k', 1.5D) AS m, 'it''s' AS `d'`")
+    for _ in range(2):
+        assert replace_table(df, f"{namespace}.odd", partition_by="d'") == 1
+    assert rows(spark.table(f"{namespace}.odd")) == rows(df)
