@@ -21,13 +21,15 @@ from millrace.plans import (
     ingest_transactions,
     load_trips,
     parse_transactions,
+    split_transactions,
 )
-from millrace.streaming import start_append
+from millrace.streaming import append_once, start_append, start_batches
 
 __all__ = [
     "Labels",
     "Role",
     "TRANSACTION_SCHEMA",
+    "append_once",
     "broadcast_within",
     "bytes_to_text",
     "count_rows",
@@ -44,6 +46,8 @@ __all__ = [
     "observe_rows",
     "parse_json",
     "parse_transactions",
+    "split_transactions",
     "start_append",
+    "start_batches",
     "strip_whitespace",
 ]

@@ -5,6 +5,7 @@ from millrace.plans.transactions import (
     TRANSACTION_SCHEMA,
     ingest_transactions,
     parse_transactions,
+    split_transactions,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "ingest_transactions",
     "load_trips",
     "parse_transactions",
+    "split_transactions",
 ]

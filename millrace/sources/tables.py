@@ -17,6 +17,8 @@ from millrace.sources.storage import child_names, delete_folder
 SESSION_CATALOG = "spark_catalog"
 # The property that names the folder of a table's versions.
 VERSIONS = "replace.versions"
+# The property of a table that takes batches of several writers.
+SHARED = "append.shared"
 # More rows than the description of any table has.
 DESCRIBED_ROWS = 100_000
 
@@ -54,6 +56,9 @@ def ensure_table(
     schema: StructType,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    *,
+    shared: bool = False,
+    add_columns: bool = False,
 ) -> None:
     """Create an empty ``table`` with ``schema`` unless it exists; never drops one.
 
@@ -61,21 +66,38 @@ def ensure_table(
     emptied at start would lose them. Dropping is a separate, explicit call. An existing table
     must have the columns of ``schema``, whatever their order and letter case, with the same
     types; else ``ValueError`` is raised, since columns it lacks would vanish unseen and other
-    types make files that cannot be read together.
+    types make files that cannot be read together. With ``add_columns`` columns that the table lacks
+    are added to it, null in all rows it holds; types never change, and no column goes.
+
+    A ``shared`` table is a file table of the session catalog, without partitions, that takes whole
+    batches of several writers (see :func:`millrace.streaming.append_once`) beside ordinary inserts.
+    An existing table must have been created so.
     """
+    if shared and (partition_by or not holds_files(spark, table)):
+        raise ValueError(f"{table} cannot be shared: that needs a table of files without partitions")
     existed = spark.catalog.tableExists(quote_table(table))
-    partitioning = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_table(table)} ({schema.toDDL()}) USING {fmt}{partitioning}")
+    extras = f" PARTITIONED BY ({', '.join(map(quote, partition_by))})" if partition_by else ""
+    if shared:
+        # Batches lie in folders of their own below the table's.
+        extras += f" OPTIONS (recursiveFileLookup 'true') TBLPROPERTIES ('{SHARED}' = 'true')"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quote_table(table)} ({schema.toDDL()}) USING {fmt}{extras}")
     if existed:
+        if shared and table_property(spark, table, SHARED) is None:
+            raise ValueError(f"{table} exists and was not created for several writers")
         found, wanted = ({f.name.lower(): f.dataType.simpleString() for f in s} for s in (spark.table(table).schema, schema))
-        if found != wanted:
-            differ = sorted(n for n in found.keys() | wanted.keys() if found.get(n) != wanted.get(n))
+        missing = [f for f in schema.fields if f.name.lower() not in found] if add_columns else []
+        differ = sorted(n for n in found.keys() | wanted.keys() if found.get(n) != wanted.get(n))
+        differ = [n for n in differ if n not in {f.name.lower() for f in missing}]
+        if differ:
             raise ValueError(f"{table} exists with another schema: {', '.join(differ)} differ")
+        if missing:
+            new = StructType(missing).toNullable().toDDL()
+            spark.sql(f"ALTER TABLE {quote_table(table)} ADD COLUMNS ({new})")
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drop ``table`` if it exists, with all versions that :func:`replace_table` has kept of it."""
-    versions = _property(spark, table, VERSIONS) if holds_files(spark, table) else None
+    versions = table_property(spark, table, VERSIONS) if holds_files(spark, table) else None
     spark.sql(f"DROP TABLE IF EXISTS {quote_table(table)}")
     if versions is not None:
         delete_folder(spark, versions)
@@ -121,7 +143,7 @@ def replace_table(
             target = target.partitionedBy(F.col(quote(partition_by)))
         target.createOrReplace()
         return spark.table(table).count()
-    versions = _property(spark, table, VERSIONS)
+    versions = table_property(spark, table, VERSIONS)
     same = versions is not None and _same_shape(spark, table, df.schema, partition_by, fmt)
     if versions is None:
         versions = f"{_namespace_folder(spark, table)}/{name_parts(table)[-1]}.versions"
@@ -207,7 +229,7 @@ def _namespace_folder(spark: SparkSession, table: str) -> str:
     return described.first()["info_value"].rstrip("/")
 
 
-def _property(spark: SparkSession, table: str, key: str) -> str | None:
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
     """A property of a table; none if either does not exist."""
     if not spark.catalog.tableExists(quote_table(table)):
         return None

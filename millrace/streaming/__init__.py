@@ -1,5 +1,5 @@
 """Running streams."""
 
-from millrace.streaming.append import start_append
+from millrace.streaming.append import append_once, start_append, start_batches
 
-__all__ = ["start_append"]
+__all__ = ["append_once", "start_append", "start_batches"]

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace import Labels, Role, enrich, ingest_transactions, parse_transactions, start_append
-from millrace.sources import drop_table, ensure_namespace, read_file_stream
+from millrace import Labels, Role, append_once, enrich, ingest_transactions, parse_transactions, start_append
+from millrace.sources import drop_table, ensure_namespace, ensure_table, read_file_stream
+from millrace.sources.tables import table_location
 from workload.queries import QUERIES
 from workload.scratch import scratch_folder
 from tests.conftest import plan_text, rows
@@ -307,3 +308,141 @@ def test_transaction_queries_agree_on_null_statuses(spark, tmp_path):
     names = ("from_json_nested", "stream_transactions", "stream_restart")
     found = [rows(QUERIES[name](spark, str(tmp_path))) for name in names]
     assert found[0] == found[1] == found[2] and any(r[4] is None for r in found[0])
+
+
+# --- several writers, rejected messages -------------------------------------------------
+
+
+def forget_last_commit(checkpoint, number):
+    """As after a crash between the delivery of a batch and its entry in the checkpoint."""
+    (checkpoint / "commits" / str(number)).unlink()
+    (checkpoint / "commits" / f".{number}.crc").unlink(missing_ok=True)
+
+
+def shared_stream(spark, source, table, checkpoint, schema="id bigint", **options):
+    stream = read_file_stream(spark, str(source), StructType.fromDDL(schema), **options)
+    query = start_append(stream, table, str(checkpoint), until_caught_up=True, shared=True)
+    query.awaitTermination()
+    return query
+
+
+def test_two_streams_and_batches_share_a_table(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    for name, start in (("a", 0), ("b", 100)):
+        spark.range(start, start + 10).repartition(3).write.parquet(str(tmp_path / name))
+    for _ in range(2):
+        for name in "ab":
+            # The same folder in another spelling is the same checkpoint.
+            shared_stream(spark, tmp_path / name, table, f"{tmp_path}//c{name}/", maxFilesPerTrigger=1)
+    spark.range(200, 210).write.insertInto(table)
+    for _ in range(2):
+        append_once(spark.range(300, 310), table, "nightly", 7)
+    assert append_once(spark.range(0), table, "nightly", 8) == 0
+    spark.range(10, 15).write.mode("append").parquet(str(tmp_path / "a"))
+    shared_stream(spark, tmp_path / "a", table, tmp_path / "ca")
+    expected = [*range(15), *range(100, 110), *range(200, 210), *range(300, 310)]
+    assert rows(spark.table(table)) == sorted(((i,) for i in expected), key=repr)
+
+
+def test_a_batch_run_twice_adds_none(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    spark.range(10).repartition(2).write.parquet(str(tmp_path / "in"))
+    query = shared_stream(spark, tmp_path / "in", table, tmp_path / "c", maxFilesPerTrigger=1)
+    forget_last_commit(tmp_path / "c", 1)
+    again = shared_stream(spark, tmp_path / "in", table, tmp_path / "c", maxFilesPerTrigger=1)
+    assert again.id == query.id
+    assert rows(spark.table(table)) == [(i,) for i in range(10)]
+
+
+def test_a_batch_that_dies_is_not_seen_and_delivered_later(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    ensure_table(spark, table, StructType.fromDDL("id bigint"), shared=True)
+    broken = spark.range(0, 100, numPartitions=4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).cast("bigint").alias("id")
+    )
+    with pytest.raises(Exception, match="boom"):
+        append_once(broken, table, "w", 1)
+    assert spark.table(table).count() == 0
+    assert append_once(spark.range(100), table, "w", 1) == 100
+    assert spark.table(table).count() == 100
+
+
+def test_shared_and_single_streams_do_not_mix(spark, tmp_path, namespace):
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    append(spark, tmp_path / "in", f"{namespace}.single", tmp_path / "c1")
+    with pytest.raises(ValueError, match="not created for several writers"):
+        shared_stream(spark, tmp_path / "in", f"{namespace}.single", tmp_path / "c2")
+    shared_stream(spark, tmp_path / "in", f"{namespace}.shared", tmp_path / "c3")
+    with pytest.raises(ValueError, match="several writers"):
+        append(spark, tmp_path / "in", f"{namespace}.shared", tmp_path / "c4")
+    with pytest.raises(ValueError, match="cannot be shared"):
+        ensure_table(spark, f"{namespace}.p", StructType.fromDDL("id bigint, d int"), partition_by=["d"], shared=True)
+    with pytest.raises(ValueError, match="no writer options"):
+        start_append(spark.readStream.format("rate").load(), f"{namespace}.x", str(tmp_path / "c5"), shared=True, compression="zstd")
+
+
+def test_another_spelling_of_the_checkpoint_is_accepted(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    append(spark, tmp_path / "in", table, tmp_path / "c")
+    spark.range(5, 8).write.mode("append").parquet(str(tmp_path / "in"))
+    append(spark, tmp_path / "in", table, f"file:{tmp_path}//c/")
+    assert spark.table(table).count() == 8
+
+
+def test_the_way_back_after_a_stray_insert(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    append(spark, tmp_path / "in", table, tmp_path / "c")
+    before = set(glob.glob(f"{table_location(spark, table).removeprefix('file:')}/*.parquet"))
+    spark.range(90, 94).coalesce(1).write.insertInto(table)
+    with pytest.raises(ValueError, match="a batch job wrote rows into .* in 1 files") as refused:
+        append(spark, tmp_path / "in", table, tmp_path / "c")
+    (stray,) = set(glob.glob(f"{table_location(spark, table).removeprefix('file:')}/*.parquet")) - before
+    assert stray.rsplit("/", 1)[1] in str(refused.value)
+    assert rows(spark.read.parquet(stray)) == [(i,) for i in range(90, 94)]
+    os.remove(stray)
+    append(spark, tmp_path / "in", table, tmp_path / "c")
+    assert spark.table(table).count() == 5
+
+
+def test_rejected_messages_are_kept_byte_for_byte(spark, landing, tmp_path, namespace):
+    good, bad = f"{namespace}.good", f"{namespace}.bad"
+    odd = [b"\xff\xfe not text", b"", None, b'{"transaction_id": null}', b'{"buyer": {"city": "x"}', b"[1, 2]"]
+    land(spark, landing, "a", "b")
+    spark.createDataFrame([(x and bytearray(x) if x is not None else None,) for x in odd], MESSAGE).write.mode("append").parquet(landing)
+
+    def run():
+        query = ingest(spark, landing, good, tmp_path, rejects=bad, until_caught_up=True)
+        query.awaitTermination()
+
+    run()
+    land(spark, landing, "c", bad=1)
+    run()
+    forget_last_commit(tmp_path / "checkpoint", 1)
+    run()
+    assert ids(spark, good) == ["a", "b", "c"]
+    found = [r.value if r.value is None else bytes(r.value) for r in spark.table(bad).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, [*odd, b"not json"]))
+    # Both tables take other rows too.
+    land(spark, f"{landing}-2", "d", bad=2)
+    ingest_transactions(
+        read_file_stream(spark, f"{landing}-2", MESSAGE), good, str(tmp_path / "second"), rejects=bad, until_caught_up=True
+    ).awaitTermination()
+    assert ids(spark, good) == ["a", "b", "c", "d"] and spark.table(bad).count() == len(odd) + 3
+
+
+def test_columns_are_added_only_when_asked(spark, tmp_path, namespace):
+    table = f"{namespace}.t"
+    ensure_table(spark, table, StructType.fromDDL("id bigint"), shared=True)
+    append_once(spark.range(2), table, "old", 1)
+    wider = StructType.fromDDL("id bigint, x struct<a: int> not null, `y z` string")
+    with pytest.raises(ValueError, match="another schema: x, y z differ"):
+        ensure_table(spark, table, wider, shared=True)
+    ensure_table(spark, table, wider, shared=True, add_columns=True)
+    ensure_table(spark, table, wider, shared=True)
+    append_once(spark.sql("SELECT 5L AS id, named_struct('a', 1) AS x, 'q' AS `y z`"), table, "new", 1)
+    assert [(r[0], r[1] and tuple(r[1]), r[2]) for r in spark.table(table).orderBy("id").collect()] == [(0, None, None), (1, None, None), (5, (1,), "q")]
+    for other in ("id int, x struct<a: int>, `y z` string", "x struct<a: int>, `y z` string, w int"):
+        with pytest.raises(ValueError, match="id differ"):
+            ensure_table(spark, table, StructType.fromDDL(other), add_columns=True)
