@@ -9,8 +9,10 @@ from millrace.operators import (
     explode_arrays,
     flatten,
     join_dimension,
+    label_codes,
     observe_rows,
     parse_json,
+    unique_keys,
 )
 from millrace.plans import (
     TRANSACTION_SCHEMA,
@@ -41,6 +43,7 @@ __all__ = [
     "flatten",
     "ingest_transactions",
     "join_dimension",
+    "label_codes",
     "load_trips",
     "lookup",
     "observe_rows",
@@ -50,4 +53,5 @@ __all__ = [
     "start_append",
     "start_batches",
     "strip_whitespace",
+    "unique_keys",
 ]

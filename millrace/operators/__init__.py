@@ -1,6 +1,12 @@
 """DataFrame-to-DataFrame operators, usable on tables and on streams alike."""
 
-from millrace.operators.dimension import broadcast_within, duplicate_keys, join_dimension
+from millrace.operators.dimension import (
+    broadcast_within,
+    duplicate_keys,
+    join_dimension,
+    label_codes,
+    unique_keys,
+)
 from millrace.operators.nested import explode_arrays, flatten
 from millrace.operators.parsing import parse_json
 from millrace.operators.rows import count_rows, drop_missing, observe_rows
@@ -13,6 +19,8 @@ __all__ = [
     "explode_arrays",
     "flatten",
     "join_dimension",
+    "label_codes",
     "observe_rows",
     "parse_json",
+    "unique_keys",
 ]

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from millrace.functions import lookup
-from millrace.naming import quote, require_distinct
-from millrace.operators import join_dimension
-from millrace.sources.files import read_csv, read_parquet
-from millrace.sources.tables import replace_table
+from millrace.naming import quote, quote_table, require_distinct
+from millrace.operators import join_dimension, label_codes
+from millrace.operators.dimension import CASE_ENTRIES
+from millrace.sources.files import read_csv, read_parquet, split_csv
+from millrace.sources.tables import replace_partitions, replace_table
 
 
 class Role(NamedTuple):
@@ -39,6 +40,7 @@ def enrich(
     labels: Sequence[Labels] = (),
     event_time: str | None = None,
     date_column: str = "event_date",
+    unique: bool = False,
 ) -> DataFrame:
     """``facts`` with codes replaced by labels, an event date, and the dimension's columns.
 
@@ -48,6 +50,8 @@ def enrich(
     Codes in a text column are compared as text with the keys of their mapping.
 
     Labels and date are made after the joins, so that what a join shuffles are the short codes.
+    Mappings of many entries are joined, not tested one by one (see :func:`label_codes`). With
+    ``unique`` a key that the dimension holds twice ends the job instead of doubling facts.
     """
     names = [part.label for part in labels] + ([] if event_time is None else [date_column])
     # A label may carry the name of a code column, as long as that code column goes away.
@@ -72,13 +76,18 @@ def enrich(
             fact_key=role.fact_key,
             dimension_key=dimension_key,
             columns=role.columns,
+            unique=unique,
         )
     added = []
     for k, part in enumerate(labels):
         mapping = part.mapping
         if types[part.code.lower()] == "string":
             mapping = {key if key is None else str(key): value for key, value in mapping.items()}
-        added.append(lookup(mapping, F.col(f"{prefix}{k}")).alias(part.label))
+        if len(mapping) > CASE_ENTRIES:
+            result = label_codes(result, f"{prefix}{k}", mapping, f"{prefix}{k}_label")
+            added.append(F.col(f"{prefix}{k}_label").alias(part.label))
+        else:
+            added.append(lookup(mapping, F.col(f"{prefix}{k}")).alias(part.label))
     if event_time is not None:
         added.append(F.try_to_date(F.col(f"{prefix}time")).alias(date_column))
     return result.select(
@@ -125,11 +134,16 @@ ZONE_ROLES = (
 
 
 def enrich_trips(
-    trips: DataFrame, zones: DataFrame, mappings: Mapping[str, Mapping[Any, Any]]
+    trips: DataFrame,
+    zones: DataFrame,
+    mappings: Mapping[str, Mapping[Any, Any]],
+    *,
+    unique: bool = False,
 ) -> DataFrame:
     """Taxi trips with vendor, rate, payment and store labels, date, and both zones.
 
-    ``mappings`` holds one code dictionary per coded column, under the column's name.
+    ``mappings`` holds one code dictionary per coded column, under the column's name; ``unique`` is
+    that of :func:`enrich`.
     """
     return enrich(
         trips,
@@ -139,6 +153,7 @@ def enrich_trips(
         labels=[Labels(code, label, mappings[code]) for code, label in TRIP_LABELS.items()],
         event_time=TRIP_TIME,
         date_column=TRIP_DATE,
+        unique=unique,
     )
 
 
@@ -152,13 +167,28 @@ def load_trips(
     fmt: str = "parquet",
     schema: StructType | None = None,
     csv_options: Mapping[str, object] | None = None,
+    zone_rejects: str | None = None,
+    unique: bool = False,
+    reload_dates: bool = False,
 ) -> int:
     """Replace ``table``, partitioned by date, with the enriched trips; rows written.
 
     Columns that only some months have are kept, null in the others; ``schema`` reads months
     whose types differ. ``csv_options`` are passed to the reader of the zones.
+
+    A line of the zones that does not fit ends the job before anything is written, as its zone would
+    match no trip; with ``zone_rejects`` such lines replace that table, and the job goes on without
+    them. ``unique`` ends the job at a zone that is there twice. With ``reload_dates`` an existing
+    table keeps all dates that the trips do not have (see :func:`replace_partitions`).
     """
     trips = read_parquet(spark, trips_path, schema)
-    zones = read_csv(spark, zones_path, ZONE_SCHEMA, **(csv_options or {}))
-    enriched = enrich_trips(trips, zones, mappings)
+    options = csv_options or {}
+    if zone_rejects is None:
+        zones = read_csv(spark, zones_path, ZONE_SCHEMA, strict=True, **options)
+    else:
+        zones, rejected = split_csv(spark, zones_path, ZONE_SCHEMA, **options)
+        replace_table(rejected, zone_rejects, fmt=fmt)
+    enriched = enrich_trips(trips, zones, mappings, unique=unique)
+    if reload_dates and spark.catalog.tableExists(quote_table(table)):
+        return replace_partitions(enriched, table)
     return replace_table(enriched, table, partition_by=TRIP_DATE, fmt=fmt)

@@ -1,6 +1,6 @@
 """Where data comes from and where tables live."""
 
-from millrace.sources.files import read_csv, read_parquet
+from millrace.sources.files import CsvRows, read_csv, read_parquet, split_csv
 from millrace.sources.messages import read_file_stream, read_kafka, read_stream
 from millrace.sources.session import (
     build_session,
@@ -15,10 +15,12 @@ from millrace.sources.tables import (
     ensure_table,
     list_namespaces,
     list_tables,
+    replace_partitions,
     replace_table,
 )
 
 __all__ = [
+    "CsvRows",
     "build_session",
     "current_namespace",
     "drop_table",
@@ -32,7 +34,9 @@ __all__ = [
     "read_kafka",
     "read_parquet",
     "read_stream",
+    "replace_partitions",
     "replace_table",
     "rest_catalog_conf",
     "scale_conf",
+    "split_csv",
 ]

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.naming import literal, name_parts, quote, quote_table
@@ -174,6 +174,48 @@ def replace_table(
     return written.get["rows"]
 
 
+def replace_partitions(df: DataFrame, table: str) -> int:
+    """Replace those partitions of ``table`` that ``df`` has rows for; return the rows written.
+
+    All other partitions stay. The table must exist, with partitions and with the columns of ``df``
+    in any order. ``df`` may not read the table. In a v2 catalog this is one atomic commit, whose rows
+    are counted by its writing tasks. In the session catalog Spark moves the new files into place
+    partition by partition once all are written, within the table's current version: a query that
+    reads such a partition at that time may miss it or fail, one that reads others does not. Rows are
+    rebalanced by the partition columns, as in :func:`replace_table`.
+    """
+    spark = df.sparkSession
+    written = Observation()
+    if _is_v2(spark, table):
+        observe_rows(df, written).writeTo(table).overwritePartitions()
+        return written.get["rows"]
+    columns, described = spark.table(quote_table(table)).columns, _described(spark, table)
+    parted, known = _partition_columns(described), {r["col_name"]: r["data_type"] for r in described}
+    if not parted:
+        raise ValueError(f"{table} has no partitions")
+    if sorted(c.lower() for c in columns) != sorted(c.lower() for c in df.columns):
+        raise ValueError(f"{table} has the columns {columns}, not {df.columns}")
+    rows = df.select(*[F.col(quote(c)) for c in columns]).hint("rebalance", *[quote(c) for c in parted])
+    # An insert would take that mode from the session alone, for all that runs in it.
+    writer = observe_rows(rows, written).write.format(known["Provider"]).partitionBy(*parted)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(known["Location"])
+    if table_property(spark, table, VERSIONS) is None:
+        spark.sql(f"MSCK REPAIR TABLE {quote_table(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(quote_table(table))
+    return written.get["rows"]
+
+
+def _described(spark: SparkSession, table: str) -> list[Row]:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").tail(DESCRIBED_ROWS)
+
+
+def _partition_columns(described: list[Row]) -> list[str]:
+    """They stand, below the columns, under two titles of their own, up to an empty row or the next title."""
+    titles = [k for k, row in enumerate(described) if row["col_name"] == "# Partition Information"]
+    names = [row["col_name"] for row in described[titles[-1] + 2 :]] if titles else []
+    return names[: next((k for k, name in enumerate(names) if not name or name.startswith("# ")), len(names))]
+
+
 def _create_anew(
     spark: SparkSession,
     table: str,
@@ -207,18 +249,14 @@ def _same_shape(
     spark: SparkSession, table: str, schema: StructType, partition_by: str | None, fmt: str
 ) -> bool:
     """Whether ``table`` has just these columns in their order, this partitioning and this format."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}").tail(DESCRIBED_ROWS)
+    described = _described(spark, table)
     provider = next((r["data_type"] for r in reversed(described) if r["col_name"] == "Provider"), None)
     wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields]
     partitions = [] if partition_by is None else [c for c in wanted if c[0].lower() == partition_by.lower()]
     wanted = [c for c in wanted if c not in partitions] + partitions
     found = [(f.name, f.dataType.simpleString()) for f in spark.table(quote_table(table)).schema.fields]
-    # Partition columns stand once more behind a heading of their own, names and types as above.
-    titles = [k for k, r in enumerate(described) if r["col_name"] == "# Partition Information"]
-    parted = titles and described[titles[-1] + 2]["col_name"]
-    return found == wanted and (parted or None) == (partitions[0][0] if partitions else None) and (
-        provider is not None and provider.lower() == fmt.lower()
-    )
+    parted = [c[0] for c in partitions]
+    return found == wanted and _partition_columns(described) == parted and (provider or "").lower() == fmt.lower()
 
 
 def _namespace_folder(spark: SparkSession, table: str) -> str:

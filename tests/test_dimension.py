@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace import broadcast_within, duplicate_keys, join_dimension
+from millrace import broadcast_within, duplicate_keys, join_dimension, label_codes, unique_keys
 from tests.conftest import plan_text, rows
 
 
@@ -156,3 +156,72 @@ def test_broadcast_within_obeys_the_session(spark, set_conf):
     assert "BroadcastHashJoin" in joined(broadcast_within(small))
     with pytest.raises(ValueError, match="stream"):
         broadcast_within(spark.readStream.format("rate").load())
+
+
+# --- unique keys, long dictionaries -----------------------------------------------------
+
+
+def test_a_repeated_key_ends_the_job_when_asked(spark):
+    dim = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (2, "c", 7), (None, "d", 8), (None, "e", 9)], "id int, name string, v int")
+    fact = spark.createDataFrame([(1,), (None,)], "k int")
+    with pytest.raises(Exception, match="holds this id more than once: 2"):
+        join_dimension(fact, dim, fact_key="k", dimension_key="id", columns={"name": "k_name"}, unique=True).collect()
+    good = dim.filter("name <> 'c'")
+    out = join_dimension(fact, good, fact_key="k", dimension_key="id", columns={"v": "w", "name": "k_name"}, unique=True)
+    assert rows(out) == sorted([(1, 5, "a"), (None, None, None)], key=repr)
+    assert "BroadcastHashJoin" in plan_text(out)
+
+
+def test_the_check_stays_whatever_is_used_of_the_join(spark):
+    dim = spark.createDataFrame([(2, "b"), (2, "c")], "id int, name string")
+    out = join_dimension(spark.range(3), dim, fact_key="id", dimension_key="id", columns={"id": "id2", "name": "n"}, unique=True)
+    for use in (out.select("id2"), out.filter("n = 'b'"), out.groupBy("n").count()):
+        with pytest.raises(Exception, match="more than once"):
+            use.collect()
+
+
+def test_roles_share_one_checked_dimension(spark, tmp_path):
+    spark.range(50).selectExpr("id", "concat('n', id) AS name").write.parquet(str(tmp_path / "d"))
+    dim = spark.read.parquet(str(tmp_path / "d"))
+    fact = spark.range(20).selectExpr("id AS x", "id + 40 AS y")
+    for key in "xy":
+        fact = join_dimension(fact, dim, fact_key=key, dimension_key="id", columns={"name": f"{key}_name"}, unique=True)
+    assert fact.filter("y_name IS NULL").count() == 10 and fact.filter("x_name = concat('n', x)").count() == 20
+    out = fact.collect()
+    assert len(out) == 20
+
+
+def test_the_newest_version_of_a_key(spark):
+    rows_of = [(1, "old", 1, None), (1, "new", 3, None), (1, "newest by name", 3, None), (2, "only", None, 5), (2, None, None, 4), (None, "x", 9, 9)]
+    dim = spark.createDataFrame(rows_of, "ID int, name string, t int, v int")
+    out = unique_keys(dim, "id", newest_by="t")
+    assert out.columns == dim.columns
+    assert rows(out) == [(1, "newest by name", 3, None), (2, "only", None, 5)]
+    assert rows(unique_keys(dim.filter("name IN ('old', 'only')"), "id")) == [(1, "old", 1, None), (2, "only", None, 5)]
+
+
+@pytest.mark.parametrize("default", [None, "other"])
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "string"])
+@pytest.mark.parametrize("null_key", [False, True])
+def test_a_long_dictionary_decodes_as_a_case(spark, default, kind, null_key):
+    keys = [*map(str, range(30))] if kind == "string" else [*range(30)]
+    mapping = {k: None if int(k) == 7 else f"label {k}" for k in keys} | ({None: "nothing"} if null_key else {})
+    df = spark.createDataFrame([(None,), *[(str(k),) for k in (0, 3, 7, 29, 30, 1000)]], "c string").select(F.col("c").cast(kind))
+    by_case = label_codes(df, "c", mapping, "label", default=default)
+    by_join = label_codes(df, "c", mapping, "label", default=default, case_entries=10)
+    assert "Join" not in plan_text(by_case) and "BroadcastHashJoin" in plan_text(by_join)
+    assert rows(by_join) == rows(by_case) and by_join.columns == by_case.columns
+
+
+def test_twenty_thousand_codes(spark):
+    mapping = {k: f"label {k}" for k in range(20_000)} | {None: "nothing"}
+    df = spark.range(100_000).select(F.when(F.col("id") % 1000 > 0, F.col("id") % 30_000).alias("entry_key"))
+    out = label_codes(df, "entry_key", mapping, "label", default="unknown")
+    wanted = F.when(F.col("entry_key").isNull(), "nothing").when(F.col("entry_key") >= 20_000, "unknown").otherwise(F.concat(F.lit("label "), F.col("entry_key").cast("string")))
+    assert out.filter(F.col("label") != wanted).count() == 0 and out.count() == 100_000
+
+
+def test_a_dictionary_beyond_the_limit_is_not_broadcast(spark, set_conf):
+    set_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    out = label_codes(spark.range(100), "id", {k: str(k) for k in range(200)}, "label")
+    assert "SortMergeJoin" in plan_text(out, "simple") and out.filter("label = id").count() == 100

@@ -1,4 +1,5 @@
 import datetime as dt
+from functools import partial
 
 import pytest
 
@@ -184,3 +185,67 @@ def test_months_that_gain_a_column(spark, tmp_path, namespace):
     out = spark.table(table)
     assert written == 2 and sorted(map(repr, (r.fee for r in out.collect()))) == ["2.5", "None"]
     assert {r.Pickup_Zone for r in out.collect()} == {"Z"}
+
+
+# --- what load_trips does with zones and dates ------------------------------------------
+
+
+def trips_of(spark, folder, *rows_of):
+    schema = "VendorID int, RatecodeID int, payment_type int, store_and_fwd_flag string, tpep_pickup_datetime timestamp, PULocationID int, DOLocationID int"
+    spark.createDataFrame([(1, 1, 1, "Y", t, a, b) for t, a, b in rows_of], schema).write.mode("overwrite").parquet(folder)
+
+
+SHORT_MAPPINGS = {"VendorID": {1: "v"}, "RatecodeID": {1: "r"}, "payment_type": {1: "p"}, "store_and_fwd_flag": {"Y": "yes"}}
+
+
+def zones_of(tmp_path, *lines):
+    (tmp_path / "zones").mkdir(exist_ok=True)
+    (tmp_path / "zones" / "z.csv").write_text("\n".join(["LocationID,Borough,Zone,service_zone", *lines, ""]))
+    return str(tmp_path / "zones")
+
+
+def test_zone_lines_that_do_not_fit(spark, tmp_path, namespace):
+    day = dt.datetime(2025, 1, 1, 9)
+    trips_of(spark, str(tmp_path / "trips"), (day, 1, 2))
+    zones = zones_of(tmp_path, "1,a,b,c", "x2,a,b,c")
+    load = partial(load_trips, spark, str(tmp_path / "trips"), zones, f"{namespace}.t", SHORT_MAPPINGS)
+    with pytest.raises(Exception, match="does not fit the schema: x2,a,b,c"):
+        load()
+    assert not spark.catalog.tableExists(f"{namespace}.t")
+    assert load(zone_rejects=f"{namespace}.bad") == 1
+    assert rows(spark.table(f"{namespace}.bad")) == [("x2,a,b,c",)]
+    assert rows(spark.table(f"{namespace}.t").select("Pickup_Zone", "DropOff_Zone")) == [("b", None)]
+
+
+def test_a_zone_that_is_there_twice(spark, tmp_path, namespace):
+    day = dt.datetime(2025, 1, 1, 9)
+    trips_of(spark, str(tmp_path / "trips"), (day, 1, 2))
+    zones = zones_of(tmp_path, "1,a,b,c", "1,a,other,c")
+    load = partial(load_trips, spark, str(tmp_path / "trips"), zones, f"{namespace}.t", SHORT_MAPPINGS)
+    assert load() == 2
+    with pytest.raises(Exception, match="LocationID more than once: 1"):
+        load(unique=True)
+    assert spark.table(f"{namespace}.t").count() == 2
+
+
+def test_months_are_loaded_one_by_one(spark, tmp_path, namespace):
+    january, february = dt.datetime(2025, 1, 5, 9), dt.datetime(2025, 2, 5, 9)
+    zones = zones_of(tmp_path, "1,a,b,c")
+    load = partial(load_trips, spark, str(tmp_path / "trips"), zones, f"{namespace}.t", SHORT_MAPPINGS, reload_dates=True)
+    for content, total in (([(january, 1, 1)], 1), ([(february, 1, 1)] * 2, 3), ([(january, 1, 2)] * 3, 5)):
+        trips_of(spark, str(tmp_path / "trips"), *content)
+        assert load() == len(content)
+        assert spark.table(f"{namespace}.t").count() == total
+    found = spark.table(f"{namespace}.t").groupBy("cobdate", "DOLocationID").count()
+    assert rows(found) == [(january.date(), 2, 3), (february.date(), 1, 2)]
+
+
+def test_long_mappings_are_joined(spark):
+    facts = spark.createDataFrame([(k, "1" if k else None) for k in (None, 0, 1, 500, 99999)], "id int, place string")
+    places = spark.createDataFrame([("1", "one")], "key string, name string")
+    mapping = {k: f"label {k}" for k in range(1000)} | {None: "none"}
+    out = enrich(
+        facts, places, dimension_key="key", roles=[Role("place", {"name": "place_name"})], labels=[Labels("id", "id", mapping)]
+    )
+    assert rows(out.select("id")) == sorted([("none",), ("label 0",), ("label 1",), ("label 500",), (None,)], key=repr)
+    assert "BroadcastHashJoin" in plan_text(out) and "CASE WHEN (id" not in plan_text(out)

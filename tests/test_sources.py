@@ -2,7 +2,7 @@ import datetime
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 from pyspark.sql.types import StructType
 
 from millrace.sources import (
@@ -14,6 +14,7 @@ from millrace.sources import (
     read_parquet,
     rest_catalog_conf,
     scale_conf,
+    split_csv,
 )
 from millrace.plans.enrichment import ZONE_SCHEMA
 from tests.conftest import plan_text, rows
@@ -160,3 +161,48 @@ def test_a_given_schema_reads_int_and_bigint(spark, tmp_path):
     files = sorted(Path(f"{tmp_path}/in").glob("*.parquet"))
     kept = read_parquet(spark, f"{tmp_path}/in", given, pathGlobFilter=files[0].name)
     assert kept.count() == 2
+
+
+# --- lines that do not fit --------------------------------------------------------------
+
+ODD_LINES = ["x2,b,c,d", "3,b,c,d,e", "4,b", '5,"b,c,d', "99999999999,b,c,d"]
+
+
+@pytest.fixture
+def odd_zones(tmp_path):
+    good = ['1,EWR,"Newark, Airport",EWR', "2,,N/A,", ",,,", '"7",b,c,d']
+    for k, lines in enumerate(([good[0], *ODD_LINES[:2]], [*ODD_LINES[2:], *good[1:]])):
+        (tmp_path / f"{k}.csv").write_text("\n".join(["LocationID,Borough,Zone,service_zone", *lines, ""]))
+    return str(tmp_path)
+
+
+GOOD_ZONES = [(1, "EWR", "Newark, Airport", "EWR"), (2, None, "N/A", None), (None, None, None, None), (7, "b", "c", "d")]
+
+
+def test_every_csv_line_is_a_row_or_rejected(spark, odd_zones):
+    seen = Observation()
+    found = split_csv(spark, odd_zones, ZONE_SCHEMA, metrics=seen)
+    assert rows(found.rows) == sorted(GOOD_ZONES, key=repr)
+    assert sorted(r.line for r in found.rejected.collect()) == sorted(ODD_LINES)
+    assert seen.get == {"rows": 9, "rejected": 5}
+    # The same lines, whatever is used of them.
+    assert found.rejected.count() == 5 and found.rows.count() == 4
+    assert rows(found.rows.select("Zone")) == sorted([(r[2],) for r in GOOD_ZONES], key=repr)
+
+
+def test_strict_csv_ends_at_a_line_that_does_not_fit(spark, odd_zones, tmp_path):
+    for use in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("Zone").collect()):
+        with pytest.raises(Exception, match="a CSV line does not fit the schema: "):
+            use(read_csv(spark, odd_zones, ZONE_SCHEMA, strict=True))
+    (tmp_path / "good").mkdir()
+    (tmp_path / "good" / "z.csv").write_text("LocationID,Borough,Zone,service_zone\n1,a,b,c\n\n2,a,b,\n")
+    out = read_csv(spark, str(tmp_path / "good"), ZONE_SCHEMA, strict=True)
+    assert rows(out) == [(1, "a", "b", "c"), (2, "a", "b", None)] and out.columns == ZONE_SCHEMA.fieldNames()
+
+
+def test_split_csv_checks_the_header_and_its_options(spark, tmp_path):
+    (tmp_path / "zones.csv").write_text("LocationID,Zone,Borough,service_zone\n1,a,b,c\n")
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        split_csv(spark, str(tmp_path), ZONE_SCHEMA).rows.collect()
+    with pytest.raises(ValueError, match="mode"):
+        split_csv(spark, str(tmp_path), ZONE_SCHEMA, Mode="DROPMALFORMED")

@@ -63,6 +63,13 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN l_returnflag <> 'R' THEN l_tax END AS l_tax) FROM lineitem
     """,
     "scan_csv": "SELECT * FROM customer",
+    "scan_csv_rejects": """
+        SELECT CASE WHEN c_nationkey IN (3, 7) THEN NULL ELSE c_custkey END AS c_custkey,
+               CASE WHEN c_nationkey IN (3, 7) THEN NULL ELSE c_nationkey END AS c_nationkey,
+               CASE c_nationkey WHEN 3 THEN 'no ' || c_custkey || ',' || c_nationkey
+                                WHEN 7 THEN c_custkey || ',' || c_nationkey || ',more' END AS line
+        FROM customer
+    """,
     "table_count_sql": "SELECT count(*) AS n FROM orders",
     "table_scan_current_namespace": "SELECT * FROM customer",
     "table_lifecycle": f"""
@@ -70,8 +77,15 @@ ORACLE: dict[str, str] = {
     """,
     "partitioned_replace": DATED_EVENTS,
     "replace_row_count": "SELECT count(*) AS n_table, count(*) AS n_written FROM events",
+    "partition_reload": DATED_EVENTS,
     "partition_prune": f"SELECT * FROM ({DATED_EVENTS}) WHERE cobdate >= DATE '2024-01-11'",
     "enrich_int_code": f"SELECT l_orderkey, l_linenumber, {LINE_LABEL} AS line_label FROM lineitem",
+    "enrich_many_codes": """
+        SELECT l_orderkey, l_linenumber, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS date)) AS integer) AS day,
+               CASE WHEN day IS NULL THEN 'no date' WHEN day BETWEEN 0 AND 3999 AND day % 2 = 0 THEN 'day ' || day
+                    ELSE 'odd day' END AS day_label
+        FROM lineitem
+    """,
     "enrich_string_code": f"""
         SELECT l_orderkey, l_returnflag, {RETURN_LABEL} AS return_label,
                coalesce({RETURN_LABEL}, 'unknown') AS return_label_or_default
@@ -83,6 +97,19 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, lang, source, quality, toxic
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     """,
+    "left_join_unique": """
+        SELECT d.doc_id, lang, source, quality, toxic
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+    """,
+    "left_join_newest": """
+        WITH newest AS (
+            SELECT user_id, ts, event_id,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k
+            FROM events
+        )
+        SELECT s_suppkey, s_name, ts AS last_ts, event_id AS last_event
+        FROM supplier LEFT JOIN newest ON s_suppkey = user_id AND k = 1
+    """,
     "role_playing_dim": f"""
         WITH shipments AS ({SHIPMENTS}), places AS ({PLACES})
         SELECT l_orderkey, l_linenumber, from_nationkey, to_nationkey,
@@ -156,4 +183,13 @@ ORACLE: dict[str, str] = {
     "stream_interval": "SELECT * FROM events",
     "stream_restart": TRANSACTIONS,
     "stream_transactions": TRANSACTIONS,
+    "stream_two_writers": "SELECT * FROM events",
+    "stream_rejects": """
+        WITH sent AS (
+            SELECT *, o_orderpriority <> '3-MEDIUM' AND o_orderstatus IS DISTINCT FROM 'P' AS usable FROM orders
+        )
+        SELECT CASE WHEN usable THEN 'tx' || o_orderkey END AS transaction_id, o_custkey AS buyer_id,
+               o_orderkey + o_custkey AS seller_id, NOT usable AS rejected
+        FROM sent
+    """,
 }

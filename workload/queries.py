@@ -11,6 +11,7 @@ from millrace import (
     TRANSACTION_SCHEMA,
     Labels,
     Role,
+    append_once,
     broadcast_within,
     bytes_to_text,
     count_rows,
@@ -20,11 +21,13 @@ from millrace import (
     flatten,
     ingest_transactions,
     join_dimension,
+    label_codes,
     lookup,
     parse_json,
     parse_transactions,
     start_append,
     strip_whitespace,
+    unique_keys,
 )
 from millrace.naming import literal
 from millrace.sources import (
@@ -37,7 +40,9 @@ from millrace.sources import (
     read_csv,
     read_file_stream,
     read_parquet,
+    replace_partitions,
     replace_table,
+    split_csv,
 )
 from workload.scratch import scratch_folder, scratch_namespace
 
@@ -184,6 +189,22 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, folder, customers.schema)
 
 
+def scan_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines of text, of which those of two nations do not fit; nothing is lost."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    line = (
+        F.when(F.col("c_nationkey") == 3, F.concat(F.lit("no "), key, F.lit(","), nation))
+        .when(F.col("c_nationkey") == 7, F.concat_ws(",", key, nation, F.lit("more")))
+        .otherwise(F.concat(key, F.lit(","), F.coalesce(nation, F.lit(""))))
+    )
+    folder = scratch_folder(spark)
+    customers.select(line.alias("value")).write.text(folder)
+    found = split_csv(spark, folder, customers.schema, header=False)
+    rows = found.rows.withColumn("line", F.lit(None).cast("string"))
+    return rows.unionByName(found.rejected, allowMissingColumns=True)
+
+
 def table_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     namespace = scratch_namespace(spark)
     spark.sql(
@@ -248,6 +269,17 @@ def replace_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rows(spark.table(name), "n_table").withColumn("n_written", F.lit(written).cast("bigint"))
 
 
+def partition_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates are loaded, later ones follow, then the first are loaded again with what they should hold."""
+    name = f"{scratch_namespace(spark)}.reloaded"
+    events = dated_events(spark, sf_dir)
+    early = F.coalesce(F.col("cobdate") < F.lit("2024-01-11").cast("date"), F.lit(True))
+    replace_table(events.filter(early).withColumn("event_type", F.lit("old")), name, partition_by="cobdate")
+    replace_partitions(events.filter(~early), name)
+    replace_partitions(events.filter(early), name)
+    return spark.table(name)
+
+
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_by_date(spark, sf_dir).filter(F.col("cobdate") >= F.lit("2024-01-11").cast("date"))
 
@@ -262,6 +294,14 @@ def enrich_int_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def enrich_many_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of all even days since 1992, too long for a CASE expression."""
+    days = {d: f"day {d}" for d in range(0, 4000, 2)} | {None: "no date"}
+    day = F.datediff("l_shipdate", F.lit("1992-01-01").cast("date")).alias("day")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", day)
+    return label_codes(lines, "day", days, "day_label", default="odd day")
+
+
 def enrich_string_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
     return table(spark, sf_dir, "lineitem").select(
@@ -420,6 +460,30 @@ def role_playing_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def left_join_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and their labels; a document labelled twice would end the job."""
+    return join_dimension(
+        table(spark, sf_dir, "documents").select("doc_id", "lang", "source"),
+        table(spark, sf_dir, "labels"),
+        fact_key="doc_id",
+        dimension_key="doc_id",
+        columns={"quality": "quality", "toxic": "toxic"},
+        unique=True,
+    )
+
+
+def left_join_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and the newest event of the user with their number; most users have many."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    return join_dimension(
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+        unique_keys(events, "user_id", newest_by="ts"),
+        fact_key="s_suppkey",
+        dimension_key="user_id",
+        columns={"ts": "last_ts", "event_id": "last_event"},
+    )
+
+
 # --- complete jobs ----------------------------------------------------------------------
 
 
@@ -512,21 +576,70 @@ def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def stream_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, an insert and a batch job fill one table; all but the insert run twice."""
+    folder, name = scratch_folder(spark), f"{scratch_namespace(spark)}.shared"
+    kind = F.coalesce("event_type", F.lit("none"))
+    for number in (1, 2):
+        for part in ("view", "click"):
+            events = table_stream(spark, sf_dir, "events").filter(kind == part)
+            start_append(events, name, f"{folder}/{part}", until_caught_up=True, shared=True).awaitTermination()
+        rest = table(spark, sf_dir, "events").filter(~kind.isin("view", "click", "none"))
+        append_once(rest, name, "batch", 1)
+        if number == 1:
+            table(spark, sf_dir, "events").filter(kind == "none").write.insertInto(name)
+    return spark.table(name)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages, in two runs with one checkpoint: rows, and what is known of the rejected ones."""
+    folder, namespace = scratch_folder(spark), scratch_namespace(spark)
+    orders = table(spark, sf_dir, "orders")
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    for part in (orders.filter(finished), orders.filter(~finished)):
+        transaction_messages(part).write.mode("append").parquet(f"{folder}/landing")
+        landed = StructType.fromDDL("value binary")
+        ingest_transactions(
+            read_file_stream(spark, f"{folder}/landing", landed, maxBytesPerTrigger=10**12),
+            f"{namespace}.transactions",
+            f"{folder}/checkpoint",
+            until_caught_up=True,
+            rejects=f"{namespace}.rejects",
+        ).awaitTermination()
+    rows = spark.table(f"{namespace}.transactions").select(
+        "transaction_id",
+        F.col("buyer_buyer_id").alias("buyer_id"),
+        F.col("seller_seller_id").alias("seller_id"),
+        F.lit(False).alias("rejected"),
+    )
+    text = F.decode("value", "UTF-8")
+    number = {n: F.regexp_extract(text, f'"{n}":([0-9]+)', 1).cast("bigint").alias(n) for n in ("buyer_id", "seller_id")}
+    rejects = spark.table(f"{namespace}.rejects").select(
+        F.lit(None).cast("string").alias("transaction_id"), *number.values(), F.lit(True).alias("rejected")
+    )
+    return rows.unionByName(rejects)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": scan_parquet,
     "scan_parquet_evolving": scan_parquet_evolving,
     "scan_csv": scan_csv,
+    "scan_csv_rejects": scan_csv_rejects,
     "table_count_sql": table_count_sql,
     "table_scan_current_namespace": table_scan_current_namespace,
     "table_lifecycle": table_lifecycle,
     "partitioned_replace": partitioned_replace,
     "replace_row_count": replace_row_count,
+    "partition_reload": partition_reload,
     "partition_prune": partition_prune,
     "enrich_int_code": enrich_int_code,
+    "enrich_many_codes": enrich_many_codes,
     "enrich_string_code": enrich_string_code,
     "to_date": to_date,
     "drop_columns": drop_columns,
     "left_join_dim": left_join_dim,
+    "left_join_unique": left_join_unique,
+    "left_join_newest": left_join_newest,
     "role_playing_dim": role_playing_dim,
     "count_rows": count_all_rows,
     "filter_not_null": filter_not_null,
@@ -546,4 +659,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_interval": stream_interval,
     "stream_restart": stream_restart,
     "stream_transactions": stream_transactions,
+    "stream_two_writers": stream_two_writers,
+    "stream_rejects": stream_rejects,
 }
