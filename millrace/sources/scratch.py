@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from millrace.sources import ensure_namespace
+from millrace.sources.tables import ensure_namespace
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -57,7 +57,7 @@ def set_conf(spark):
 
 @pytest.fixture
 def namespace(spark):
-    from workload.scratch import scratch_namespace
+    from millrace.sources.scratch import scratch_namespace
 
     return scratch_namespace(spark)
 

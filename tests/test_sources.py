@@ -18,7 +18,7 @@ from millrace.sources import (
 )
 from millrace.plans.enrichment import ZONE_SCHEMA
 from tests.conftest import plan_text, rows
-from workload.scratch import scratch_folder
+from millrace.sources.scratch import scratch_folder
 
 
 def test_csv_header_quotes_empty_and_na(spark, tmp_path):

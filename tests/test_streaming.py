@@ -11,7 +11,7 @@ from millrace import Labels, Role, append_once, enrich, ingest_transactions, par
 from millrace.sources import drop_table, ensure_namespace, ensure_table, read_file_stream
 from millrace.sources.tables import table_location
 from workload.queries import QUERIES
-from workload.scratch import scratch_folder
+from millrace.sources.scratch import scratch_folder
 from tests.conftest import plan_text, rows
 
 MESSAGE = StructType().add("value", "binary")

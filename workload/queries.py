@@ -44,7 +44,7 @@ from millrace.sources import (
     replace_table,
     split_csv,
 )
-from workload.scratch import scratch_folder, scratch_namespace
+from millrace.sources.scratch import scratch_folder, scratch_namespace
 
 # 5 and 7 occur in the data but not here, so that unknown codes are met.
 LINE_LABELS = {1: "first", 2: "second", 3: "third", 4: "fourth", 6: "sixth"}
