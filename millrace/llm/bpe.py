@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 # Fragments up to this length are remembered, and so many of them; then memory starts afresh.
 MEMORY_BYTES = 64
-MEMORY_ENTRIES = 300_000
+MEMORY_ENTRIES = 120_000
 # White space outside ASCII: such a text is cut at fewer places.
 WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -55,7 +55,20 @@ class Codec:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            added = json.load(file)["added_tokens"]
+            model = json.load(file)
+        added, bpe, splitter = model["added_tokens"], model["model"], model["pre_tokenizer"] or {}
+        # What would make ids depend on more than the bytes on both sides of a cut.
+        wrong = {
+            "a model other than BPE": bpe.get("type") != "BPE",
+            "a normalizer": bool(model.get("normalizer")),
+            "a splitter other than the byte-level one": splitter.get("type") != "ByteLevel" or not splitter.get("use_regex", True),
+            "a space before each text": bool(splitter.get("add_prefix_space")),
+            "whole words before merges": bool(bpe.get("ignore_merges")),
+            "dropout": bool(bpe.get("dropout")),
+            "marks at words": bool(bpe.get("continuing_subword_prefix") or bpe.get("end_of_word_suffix")),
+        }
+        if any(wrong.values()):
+            raise ValueError(f"not supported: {', '.join(what for what, so in wrong.items() if so)}")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
             raise ValueError("special tokens that take their surroundings are not supported")
         self.tokenizer = Tokenizer.from_file(path)

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from workload.scratch import scratch_folder
+from millrace.sources.scratch import scratch_folder
 
 # White space between words, and the letters that are lower-cased.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,6 +73,35 @@ def lowest_hashes(df: DataFrame, key: str, most: int, rows: int, *ties: str) ->
     return df.orderBy(hashed, key, *ties).limit(most)
 
 
+# A bitmap of fixed size, 2**20 rows of 64 bits, tells a scan which keys are of interest: 16 MB.
+FILTER_WORDS = 1 << 20
+
+
+def slot_of(key: Column) -> Column:
+    """The bit of a key."""
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS * 64))
+
+
+def bitmap(keys: DataFrame, slot: Column) -> DataFrame:
+    """Bits of the slots of ``keys`` by word; at most FILTER_WORDS rows."""
+    return (
+        keys.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("bits"))
+    )
+
+
+def flagged(rows: DataFrame, key: Column, bits: DataFrame) -> DataFrame:
+    """Rows whose key may be in the bitmap: all that are, and a few others."""
+    columns = rows.columns
+    rows = rows.withColumn("_slot", slot_of(key)).withColumn("word", F.shiftright("_slot", 6))
+    return (
+        rows.join(F.broadcast(bits), "word")
+        .where("getbit(bits, CAST(_slot % 64 AS INT)) = 1")
+        .select(*columns)
+    )
+
+
 def shards_for(rows: int, *, each: int, most: int = 65536) -> int:
     """How many hash shards keep about ``each`` rows, and never more than ``most`` shards."""
     return max(1, min(most, -(-rows // each)))

@@ -9,16 +9,15 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import stored
+from millrace.llm.common import bitmap, flagged, slot_of, stored
 from millrace.llm.components import connected_components
 
-MEMORY_ENTRIES = 300_000
-# A bitmap of fixed size, 2**20 rows of 64 bits, tells a scan which keys are of interest: 16 MB.
-FILTER_WORDS = 1 << 20
+# Words whose hashes a worker remembers.
+MEMORY_ENTRIES = 60_000
 
 
 class Banding(NamedTuple):
@@ -29,8 +28,8 @@ class Banding(NamedTuple):
 
     keys: int = 12
     rows: int = 3
-    # Pairs that agree in less than this share of the minhashes are not compared on their sets. At a
-    # similarity of 0.8 a pair falls below it with a chance of about 2e-5.
+    # Pairs from the tables that agree in less than this share of the minhashes are not compared on
+    # their sets. At a similarity of 0.8 a pair falls below it with a chance of about 2e-5.
     least_agreement: float = 0.6
 
     @property
@@ -98,35 +97,13 @@ def _keys(signatures: np.ndarray, banding: Banding) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _bitmap(keys: DataFrame, slot: Column) -> DataFrame:
-    """Bits of the slots of ``keys`` by word; at most FILTER_WORDS rows."""
-    return (
-        keys.select(slot.alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("bits"))
-    )
-
-
-def _slot(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS * 64))
-
-
-def _flagged(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
-    """Rows whose key may be in the bitmap: all that are, and a few others."""
-    columns = rows.columns
-    rows = rows.withColumn("_slot", _slot(key)).withColumn("word", F.shiftright("_slot", 6))
-    return (
-        rows.join(F.broadcast(bitmap), "word")
-        .where("getbit(bits, CAST(_slot % 64 AS INT)) = 1")
-        .select(*columns)
-    )
-
-
 def _scan(docs: DataFrame, size: int, banding: Banding) -> DataFrame:
-    """``id, n, digest, signature, keys`` of every row; digest and the rest null for empty sets."""
+    """``id, text_hash, n, digest, signature, keys`` of every row ``id, text, text_hash``; digest and
+    the rest null for empty sets."""
     schema = StructType(
         [
             StructField("id", docs.schema["id"].dataType),
+            StructField("text_hash", LongType()),
             StructField("n", LongType()),
             StructField("digest", BinaryType()),
             StructField("signature", ArrayType(IntegerType(), False)),
@@ -146,12 +123,12 @@ def _scan(docs: DataFrame, size: int, banding: Banding) -> DataFrame:
                     found = _signatures([sets[k] for k in filled], banding)
                     for k, s, u in zip(filled, found.view(np.int32), _keys(found, banding)):
                         signature[k], keys[k] = s, u
-                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
+                        batch.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(digests, pa.binary()),
+                        pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.array(signature, pa.list_(pa.int32())),
                         pa.array(keys, pa.list_(pa.int64())),
                     ],
@@ -161,33 +138,46 @@ def _scan(docs: DataFrame, size: int, banding: Banding) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
+def _digest(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
 def _whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``id, shingles`` of rows with ``id, text``."""
-    schema = StructType([docs.schema["id"], StructField("shingles", ArrayType(LongType(), False))])
+    """``digest, shingles`` of rows with ``text``, as far as they have words."""
+    schema = StructType([StructField("digest", BinaryType()), StructField("shingles", ArrayType(LongType(), False))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         for whole in batches:
             for batch in small_batches(whole, "text", 1_000_000):
-                sets = [shingler.shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
+                sets = [s for t in batch.column(0).to_pylist() if len(s := shingler.shingles(t))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema.names
+                    [
+                        pa.array([_digest(s) for s in sets], pa.binary()),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    schema.names,
                 )
 
-    return docs.mapInArrow(scan, schema)
+    return docs.select("text").mapInArrow(scan, schema)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, banding: Banding) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) whose sets are similar enough: first by minhashes, which
-    are short, then by the whole sets."""
+def _sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``) whose sizes allow the similarity, with the minhashes of both."""
     for end in ("a", "b"):
         side = classes.select(F.col("id").alias(end), F.col("signature").alias(f"s{end}"), F.col("n").alias(f"n{end}"))
         pairs = pairs.join(side, end)
+    return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+
+
+def _agreeing(pairs: DataFrame, banding: Banding) -> DataFrame:
+    """Those of ``pairs`` with minhashes ``sa`` and ``sb`` that agree in enough of them."""
     agree = F.expr("aggregate(zip_with(sa, sb, (x, y) -> IF(x = y, 1, 0)), 0, (t, v) -> t + v)")
-    pairs = pairs.where(
-        (agree >= int(banding.least_agreement * banding.minhashes))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    )
+    return pairs.where(agree >= int(banding.least_agreement * banding.minhashes))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` whose whole sets are similar enough."""
     pairs = stored(pairs.select("a", "b"))
     for end in ("a", "b"):
         side = sets.select(F.col("id").alias(end), F.col("shingles").alias(f"x{end}"))
@@ -268,41 +258,52 @@ def near_duplicates(
     shingles (A-Z lower-cased). Documents with equal sets form a class, and only one of each class
     goes on. Classes meet in the tables of the tensored banding: rows are first grouped by the keys
     of the first collection alone, and only those that share one get the pairs with the second. In
-    each table every class is compared with the most central one, not with all. Tables whose members
-    then still lie in several components are finished exactly: their members are joined on the
-    rarest shingles of each, which finds every pair that is similar enough, and pairs of different
-    components are compared. All comparisons end with the whole sets. Nothing is capped.
+    each table every class is compared with the most central one, not with all, first by their
+    minhashes. Tables whose members then still lie in several components are finished exactly: their
+    members are joined on the rarest shingles of each, which finds every pair that is similar enough,
+    and pairs of different components are compared, by size and set alone. All comparisons end with
+    the whole sets. Nothing is capped.
 
     Defined cases: a document without words has an empty set and is alone; fewer words than a
-    shingle make one shingle of them all. ``component_id`` is the smallest id reachable. Rows with a
-    null id are alone, with a null component, and kept. Rows that repeat an id are compared row by
-    row. An empty table gives no rows; other columns are ignored.
+    shingle make one shingle of them all. Documents are told by their sets, not by their ids: rows
+    that repeat an id with another text, and rows without an id, are compared like all others.
+    ``component_id`` is the smallest id reachable, null where no row of the component has one.
+    Where all are null, those with the smallest set digest and text hash are kept. Very long texts
+    are taken whole. An empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
+    found = _judged(docs, id_column, text_column, shingle_words, percent, banding)
+    return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def _judged(
+    docs: DataFrame, id_column: str, text_column: str, shingle_words: int, percent: int, banding: Banding
+) -> DataFrame:
+    """``id, text_hash, n, component_id, kept`` of every row."""
+    text = docs[text_column]
+    rows = docs.select(docs[id_column].alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     thin = stored(_scan(rows, shingle_words, banding))
-    present = thin.where("digest IS NOT NULL AND id IS NOT NULL")
+    present = thin.where("digest IS NOT NULL")
+    # A class of equal sets is a node, with a number of its own; written at once, numbers stay.
     classes = stored(
-        present.groupBy("digest").agg(
-            F.min("id").alias("id"),
+        present.groupBy("digest")
+        .agg(
+            F.min("id").alias("first_id"),
+            F.min("text_hash").alias("text_hash"),
             F.first("n").alias("n"),
             F.first("signature").alias("signature"),
             F.first("keys").alias("keys"),
         )
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    # Equal ids of different texts: the smaller digest stands for the id from here on.
-    single = classes.groupBy("id").agg(
-        F.min_by(F.struct("n", "signature", "keys"), "digest").alias("x")
-    )
-    single = stored(single.select("id", "x.*"))
 
     # Tables: the first collection alone, then the pairs of those that share a key of it.
-    first = single.select(
+    first = classes.select(
         "id",
         F.explode(F.slice("keys", 1, banding.keys)).alias("u"),
         F.slice("keys", banding.keys + 1, banding.keys).alias("v"),
     )
     shared = first.groupBy("u").agg(F.count("*").alias("c")).where("c > 1")
-    first = _flagged(first, F.col("u"), _bitmap(shared, _slot(F.col("u"))))
+    first = flagged(first, F.col("u"), bitmap(shared, slot_of(F.col("u"))))
     second = first.select("id", "u", F.explode("v").alias("v"))
     table = stored(second.select("id", F.xxhash64("u", "v").alias("key")))
     sizes = stored(table.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
@@ -320,14 +321,14 @@ def near_duplicates(
         .select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b"))
         .distinct()
     )
-    wanted = _bitmap(central.select("id"), _slot(F.col("id")))
+    # One text of each class is read again; what its words make tells the class.
+    met = stored(central.select("id").join(classes.select("id", "digest", "text_hash"), "id"))
+    wanted = bitmap(met.select("text_hash"), slot_of(F.col("text_hash")))
+    again = flagged(rows.select("text", "text_hash"), F.col("text_hash"), wanted)
     sets = stored(
-        _whole_sets(_flagged(rows.where("id IS NOT NULL"), F.col("id"), wanted), shingle_words)
-        .where("size(shingles) > 0")
-        .join(central.select("id"), "id", "left_semi")
-        .dropDuplicates(["id", "shingles"])
+        _whole_sets(again, shingle_words).join(met.select("id", "digest"), "digest").dropDuplicates(["id"]).select("id", "shingles")
     )
-    links = stored(_confirmed(star, single, sets, percent, banding))
+    links = stored(_confirmed(_agreeing(_sized(star, classes, percent), banding), sets, percent))
     labels = connected_components(links)
 
     # What the stars leave open: tables of three and more whose members are not yet together.
@@ -343,31 +344,44 @@ def near_duplicates(
         .select("key")
     )
     members = stored(placed.join(open_keys, "key").select("id", "component").distinct())
-    more = _confirmed(_other_pairs(members, sets, percent), single, sets, percent, banding)
+    more = _confirmed(_sized(_other_pairs(members, sets, percent), classes, percent), sets, percent)
     links = stored(links.unionByName(more))
     labels = connected_components(links)
 
-    merged = (
-        classes.select("digest", "id")
+    placed = stored(
+        classes.select("digest", "id", "first_id", "text_hash")
         .join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .select("digest", F.coalesce("component", "id").alias("component_id"))
+        .select("digest", "first_id", "text_hash", F.coalesce("component", "id").alias("component"))
     )
-    grouped = present.select("id", "n", "digest").join(stored(merged), "digest").select("id", "n", "component_id")
-    alone = thin.where("digest IS NULL OR id IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return grouped.unionByName(alone).select(
-        F.col("id").alias(id_column),
-        F.col("n").alias("n_shingles"),
-        "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    # The smallest id of a component; one without ids is told by its first digest.
+    named = placed.groupBy("component").agg(
+        F.min("first_id").alias("component_id"), F.min(F.struct("digest", "text_hash")).alias("least")
     )
+    named = placed.select("digest", "component").join(stored(named), "component").drop("component")
+    grouped = present.select("id", "text_hash", "n", "digest").join(stored(named), "digest")
+    least = F.struct("digest", "text_hash") == F.col("least")
+    kept = F.when(F.col("component_id").isNull(), least).otherwise(F.col("id").eqNullSafe(F.col("component_id")))
+    grouped = grouped.select("id", "text_hash", "n", "component_id", kept.alias("kept"))
+    alone = thin.where("digest IS NULL")
+    alone = alone.select("id", "text_hash", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    return grouped.unionByName(alone)
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = 5,
+    percent: int = 80,
+    banding: Banding = Banding(),
+) -> DataFrame:
     """``docs`` with one document of each component, all columns kept.
 
-    Rows that repeat an id are one document: they stay unless all of them would go.
+    Rows are judged by id and text: such as repeat both stay or go together.
     """
-    found = near_duplicates(docs, id_column=id_column, **options)
-    gone = found.groupBy(id_column).agg(F.max("kept").alias("kept")).where("NOT kept")
-    gone = stored(gone.select(F.col(id_column).alias("gone_id")))
-    return docs.join(gone, docs[id_column] == gone["gone_id"], "left_anti")
+    found = _judged(docs, id_column, text_column, shingle_words, percent, banding)
+    gone = found.where("NOT kept").select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    gone = stored(gone.distinct())
+    same = docs[id_column].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs[text_column]) == gone["gone_hash"])
+    return docs.join(gone, same, "left_anti")

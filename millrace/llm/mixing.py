@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from millrace.llm.bpe import small_batches
 from millrace.llm.common import WORDS, count_words, shards_for, small_table, stored
 
 BLOCK_WORDS = 64
@@ -212,16 +214,22 @@ def cut_texts(
     same = docs[id_column].eqNullSafe(spans["_mix_id"]) & (_digest(docs[text_column]) == spans["_mix_digest"])
     joined = docs.join(spans, same)
 
-    @F.pandas_udf("array<string>")
-    def cut(text: pd.Series, start: pd.Series, size: pd.Series, blocks: pd.Series, quota: pd.Series, turn: pd.Series) -> pd.Series:
-        return pd.Series(
-            [cut_text(*row, block_words) for row in zip(text, start, size, blocks, quota, turn)]
-        )
-
-    turns = cut(docs[text_column], *[spans[f"_mix_{c}"] for c in fields])
-    return joined.select(
-        *[F.explode(turns).alias(c) if c == text_column else docs[c] for c in docs.columns]
-    )
+    names = [f"_mix_{c}" for c in fields]
+    joined = joined.select(*[docs[c] for c in docs.columns], *[spans[c] for c in names])
+    columns_out = docs.columns
+    at, width = columns_out.index(text_column), len(columns_out)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_batches(whole, text_column, 1_000_000):
+                numbers = zip(*[batch.column(width + k).to_pylist() for k in range(len(fields))])
+                turns = [cut_text(t, *n, block_words) for t, n in zip(batch.column(at).to_pylist(), numbers)]
+                taken = pa.array(np.repeat(np.arange(batch.num_rows), [len(t) for t in turns]))
+                columns = [batch.column(k).take(taken) for k in range(width)]
+                columns[at] = pa.array([text for own in turns for text in own], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, columns_out)
+
+    return joined.mapInArrow(cut, docs.schema)
 
 
 def cut_text(

@@ -3,30 +3,23 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import lowest_hashes, stored
+from millrace.llm.common import bitmap, flagged, lowest_hashes, slot_of, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"\b[^\W\d_][*#@$]{2,}[^\W\d_]*")
 PREFIXES = range(3, 8)
-MEMORY_ENTRIES = 300_000
-# Common insults of four languages, which count as sure words beside those that are mined.
-INSULTS = (
-    "idiot idiots idiotic moron morons moronic stupid imbecile dumb dumbass fool loser losers scum trash "
-    "clown pathetic disgusting worthless jerk bastard bitch asshole crap shit fuck fucking retard pig "
-    "connard connasse imbécile abruti salaud salope merde ordure crétin débile "
-    "arschloch dummkopf trottel schlampe miststück scheiße drecksau vollidiot "
-    "gilipollas imbécil estúpido estúpida cabrón mierda puta idiota basura"
-).split()
+# Words whose codes a worker remembers.
+MEMORY_ENTRIES = 60_000
 # Bit of each lexicon in the code of a word.
 LEXICONS = ("word_sure", "word_hint", "prefix_sure", "prefix_hint")
 COUNTS = (*LEXICONS, "n_distinct", "n_words", "n_upper", "n_letters", "n_marks", "n_masked")
@@ -50,7 +43,7 @@ class Lexicons(NamedTuple):
 def mine_lexicons(
     labelled: DataFrame,
     *,
-    entries: int = 2000,
+    entries: int = 20_000,
     least_texts: int = 5,
     sure: float = 3.5,
     hint: float = 1.5,
@@ -58,26 +51,32 @@ def mine_lexicons(
 ) -> Lexicons:
     """Lexicons out of rows ``text, toxic``: words and beginnings of words by their log odds.
 
-    For each of them the texts that hold it are counted by label, first in every batch and then over
-    all. Entries are those in at least ``least_texts`` toxic texts whose log odds are ``z`` standard
-    errors above 0 and at least ``hint``; from ``sure`` on they are sure. Of words and of beginnings
-    the ``entries`` with the highest log odds are taken.
+    For each of them the texts that hold it are counted by label, first in every slice of a batch and
+    then over all. Entries are those in at least ``least_texts`` toxic texts whose log odds are ``z``
+    standard errors above 0 and at least ``hint``; from ``sure`` on they are sure. A lexicon of words
+    and one of beginnings hold the ``entries`` with the highest log odds.
     """
+    schema = "kind string, entry string, clean long, toxic long"
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            seen: dict[tuple[str, str], list[int]] = {}
-            for text, toxic in zip(frame["text"], frame["toxic"]):
-                words = set(LETTERS.findall((text or "").lower()))
-                keys = {("w", w) for w in words}
-                keys |= {("p", w[:n]) for w in words for n in PREFIXES if len(w) > n}
-                for key in keys:
-                    seen.setdefault(key, [0, 0])[int(toxic)] += 1
-            yield pd.DataFrame(
-                [(k, s, c[0], c[1]) for (k, s), c in seen.items()], columns=["kind", "entry", "clean", "toxic"]
-            )
-
-    counted = labelled.select("text", "toxic").mapInPandas(count, "kind string, entry string, clean long, toxic long")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_batches(whole, "text", 1_000_000):
+                seen = (Counter(), Counter())
+                for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    words = set(LETTERS.findall((text or "").lower()))
+                    own = seen[int(toxic)]
+                    own.update(words)
+                    # Beginnings are told from words by a blank.
+                    own.update({f" {w[:n]}" for w in words for n in PREFIXES if len(w) > n})
+                keys = [*(seen[0].keys() | seen[1].keys())]
+                columns = [["p" if k[0] == " " else "w" for k in keys], [k.lstrip(" ") for k in keys]]
+                columns += [[own[k] for k in keys] for own in seen]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                    ["kind", "entry", "clean", "toxic"],
+                )
+
+    counted = labelled.select("text", "toxic").mapInArrow(count, schema)
     sums = counted.groupBy("kind", "entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     base = float(np.log((sizes.get(0, 0) + 1) / (sizes.get(1, 0) + 1)))
@@ -92,8 +91,7 @@ def mine_lexicons(
     for shift, kind in enumerate(("w", "p")):
         best = sums.where(F.col("kind") == kind).orderBy(F.desc("odds"), "entry").limit(entries).collect()
         found.append({r["entry"]: (1 if r["odds"] >= sure else 2) << (2 * shift) for r in best})
-    words, prefixes = found
-    return Lexicons(words | dict.fromkeys(INSULTS, 1), prefixes)
+    return Lexicons(*found)
 
 
 class _Counter:
@@ -189,62 +187,82 @@ def voters(rates: Rates) -> dict[str, Column]:
 
 
 class LabelModel(NamedTuple):
-    """``prior`` of toxic; per voter the chance of votes -1, 0, 1 when clean and toxic; and the
-    correlations of the voters' votes given the class."""
+    """A generative model of class and votes: ``prior`` of toxic, and for each voter the chance of
+    its votes -1, 0, 1 given the class and the vote of the voter it depends on, its ``parent`` (-1 for
+    the first of all). Pairs of voters that repeat each other so share one voice."""
 
     prior: float
-    tables: np.ndarray  # voter, class, vote
-    correlations: np.ndarray
-
-    def weights(self) -> np.ndarray:
-        """Of each voter: 1 if it votes by itself, less the more of its votes repeat others'."""
-        return 1 / np.abs(self.correlations).sum(axis=1)
+    parents: tuple[int, ...]
+    tables: np.ndarray  # voter, class, vote of the parent, vote
 
     def posteriors(self, patterns: np.ndarray) -> np.ndarray:
-        odds = np.log(self.tables[:, 1, :]) - np.log(self.tables[:, 0, :])
-        picked = odds[np.arange(patterns.shape[1])[None, :], patterns + 1]
-        logit = np.log(self.prior / (1 - self.prior)) + picked @ self.weights()
+        odds = np.log(self.tables[:, 1]) - np.log(self.tables[:, 0])
+        above = _votes_above(patterns, self.parents)
+        voters_ = np.arange(patterns.shape[1])[None, :]
+        logit = np.log(self.prior / (1 - self.prior)) + odds[voters_, above, patterns + 1].sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
-def _correlations(patterns: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Correlation of votes inside the classes; ``weights`` has a row per class."""
-    total = np.zeros((patterns.shape[1],) * 2)
-    for w in weights:
-        centred = patterns - (w @ patterns) / max(w.sum(), 1e-9)
-        total += (centred * w[:, None]).T @ centred
-    spread = np.sqrt(np.maximum(np.diag(total), 1e-9))
-    found = total / np.outer(spread, spread)
-    np.fill_diagonal(found, 1.0)
-    return found
+def _votes_above(patterns: np.ndarray, parents: tuple[int, ...]) -> np.ndarray:
+    """For each pattern and voter the index of the vote of its parent; 0 without one."""
+    above = patterns[:, [max(p, 0) for p in parents]] + 1
+    return np.where(np.array(parents)[None, :] < 0, 0, above)
+
+
+def _joint(one_hot: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weight of each pair of votes of each two voters by class: voter, voter, class, vote, vote."""
+    return np.stack([np.einsum("p,piv,pjw->ijvw", w, one_hot, one_hot, optimize=True) for w in weights], axis=2)
+
+
+def _dependence_tree(joint: np.ndarray) -> tuple[int, ...]:
+    """Of each voter the one it depends on: the spanning tree with the most information that votes
+    share once the class is known (Chow and Liu's tree, by class)."""
+    joint = joint + 0.1
+    total = joint.sum(axis=(2, 3, 4), keepdims=True)
+    chance, inside = joint / total, joint.sum(axis=(3, 4), keepdims=True)
+    first, second = joint.sum(axis=4, keepdims=True), joint.sum(axis=3, keepdims=True)
+    shared = (chance * np.log(joint * inside / (first * second))).sum(axis=(2, 3, 4))
+    n = len(shared)
+    parents, reached = [-1] * n, [0]
+    while len(reached) < n:
+        rest = [j for j in range(n) if j not in reached]
+        i, j = max(((i, j) for i in reached for j in rest), key=lambda pair: (shared[pair], -pair[0], -pair[1]))
+        parents[j] = i
+        reached.append(j)
+    return tuple(parents)
 
 
 def fit_label_model(
-    patterns: np.ndarray, counts: np.ndarray, labelled: np.ndarray, *, rounds: int = 100, strength: float = 1.0
+    patterns: np.ndarray, counts: np.ndarray, labelled: np.ndarray, *, rounds: int = 100, strength: float = 20.0
 ) -> LabelModel:
     """Expectation-maximisation over vote patterns and their counts.
 
     ``labelled`` has for each pattern the number of clean and of toxic labelled documents; they give
-    the start, which also says which class is which, and stay in the sums with weight ``strength``.
-    Correlations of the votes given the class are estimated anew in each round, and voters that
-    repeat each other share one voice.
+    the start, which also says which class is which, and stay in the sums, where each weighs as much as
+    ``strength`` others: else the many texts of which little is known move the classes.
+    Each round finds prior, dependence tree and tables that make the expected counts likeliest.
     """
     one_hot = (patterns[:, :, None] == np.array([-1, 0, 1])).astype(float)
 
-    def tables(weights: np.ndarray) -> np.ndarray:
-        found = np.einsum("cp,prv->rcv", weights, one_hot) + 0.5
-        return found / found.sum(axis=2, keepdims=True)
+    def fitted(weights: np.ndarray) -> LabelModel:
+        joint = _joint(one_hot, weights)
+        parents = _dependence_tree(joint)
+        tables = np.empty((len(parents), 2, 3, 3))
+        for j, i in enumerate(parents):
+            alone = np.stack([np.diag(joint[j, j, c]) for c in (0, 1)]) + 0.5
+            alone /= alone.sum(axis=1, keepdims=True)
+            # Where the parent hardly ever votes so, the voter's own chances count.
+            pairs = alone[:, None, :].repeat(3, axis=1) if i < 0 else joint[i, j] + 2 * alone[:, None, :]
+            tables[j] = pairs / pairs.sum(axis=2, keepdims=True)
+        return LabelModel(float((weights[1].sum() + 1) / (weights.sum() + 2)), parents, tables)
 
     known = labelled.T * strength
-    start = (known[1].sum() + 1) / (known.sum() + 2)
-    model = LabelModel(float(start), tables(known), _correlations(patterns, known))
+    model = fitted(known)
     for _ in range(rounds):
         toxic = model.posteriors(patterns)
-        weights = np.stack([counts * (1 - toxic), counts * toxic]) + known
-        prior = float((weights[1].sum() + 1) / (weights.sum() + 2))
-        done = abs(prior - model.prior) < 1e-9
-        model = LabelModel(prior, tables(weights), _correlations(patterns, weights))
-        if done:
+        before = model
+        model = fitted(np.stack([counts * (1 - toxic), counts * toxic]) + known)
+        if abs(before.prior - model.prior) < 1e-9:
             break
     return model
 
@@ -261,7 +279,7 @@ def inputs(rates: Rates) -> list[Column]:
     return [c.cast("double") for c in out]
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, *, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+def fit_linear(x: np.ndarray, y: np.ndarray, *, ridge: float = 0.1, rounds: int = 50) -> np.ndarray:
     """Weights of a logistic regression on probabilities ``y``; the last one is the constant."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -285,34 +303,31 @@ def score_toxicity(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
-    labelled_texts: int = 20_000,
     training_rows: int = 50_000,
 ) -> DataFrame:
     """Id, ``text_hash``, ``score`` (probability of toxic) and ``label`` (the label model's
     posterior) of every document.
 
-    ``labels`` holds the rows from which may be learned: id and label. Of these, up to
-    ``labelled_texts`` per label, chosen by the hash of their ids, give the lexicons, how often they
-    hit by chance, and the start of the label model. All documents are then counted in whole by the
-    lexicons and patterns; all vote patterns are counted by Spark (eleven voters with two or three
-    outcomes: at most 34,992) and give the label model. A logistic regression is fitted to its posteriors on up to ``training_rows``
-    documents, chosen by hash, and scores all of them. Both bounds concern fitting only.
-
-    Scores depend on the text alone. Defined cases: null and empty texts are texts without words and
-    get the score that follows; rows without a label (null) are not learned from; without labels of
+    ``labels`` holds the rows from which may be learned: id and label. All of them give the
+    lexicons, how often these hit by chance, and the start of the label model. All documents are
+    counted in whole by the lexicons and patterns; all vote patterns are counted by Spark (eleven
+    voters with two or three outcomes: at most 34,992) and give the label model. A logistic regression
+    is fitted to its posteriors on up to ``training_rows`` documents, chosen by hash, and scores all
+    of them; that bound concerns fitting only.
+
+    Texts of labelled documents are the only ones that move, and are found by a bitmap of fixed size.
+    Scores depend on the text alone. Very long texts are read whole. Defined cases: null and empty
+    texts are texts without words and get the score that follows; rows without a label (null) are not
+    learned from; without labels of
     both kinds every score is the share of toxic labels, or 0; repeated rows get the same score; an
-    empty table gives no rows; other columns are ignored.
+    empty table gives no rows; other columns are ignored. Of several labels of one id the toxic counts.
     """
     rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     known = labels.select(labels[id_column].alias("id"), labels[label_column].cast("int").alias("toxic"))
-    known = known.where("id IS NOT NULL AND toxic IN (0, 1)")
-    shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    clean, toxic = (
-        lowest_hashes(known.where(F.col("toxic") == label), "id", labelled_texts, shares.get(label, 0))
-        for label in (0, 1)
-    )
-    sample = stored(clean.unionByName(toxic).dropDuplicates(["id"]))
-    labelled = stored(rows.join(F.broadcast(sample), "id"))
+    known = known.where("id IS NOT NULL AND toxic IN (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
+    known = stored(known)
+    wanted = bitmap(known, slot_of(F.col("id")))
+    labelled = stored(flagged(rows.where("id IS NOT NULL"), F.col("id"), wanted).join(known, "id"))
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         share = float(sizes.get(1, 0) > 0)
@@ -321,18 +336,16 @@ def score_toxicity(
         return rows.select(F.col("id").alias(id_column), text_hash, *same)
     lexicons = mine_lexicons(labelled)
 
-    judged = stored(_scan(labelled.select("id", "text"), lexicons).join(F.broadcast(sample), "id"))
+    counted = stored(_scan(rows, lexicons))
+    judged = stored(counted.join(known, "id").select("toxic", *COUNTS))
     rates = estimate_rates(judged)
     votes = F.array(*voters(rates).values()).alias("votes")
-    counted = stored(_scan(rows, lexicons).select("*", votes))
+    counted = counted.select("*", votes)
     patterns = counted.groupBy("votes").count().collect()
     seen = {tuple(r["votes"]): [r["count"], 0.0, 0.0] for r in patterns}
     for r in judged.select("toxic", votes).groupBy("votes", "toxic").count().collect():
-        seen.setdefault(tuple(r["votes"]), [0, 0.0, 0.0])[1 + r["toxic"]] += r["count"]
-    # Labelled texts are chosen by label; their sums are brought back to the share of toxic labels.
+        seen[tuple(r["votes"])][1 + r["toxic"]] += r["count"]
     table = np.array([*seen.values()], float)
-    table[:, 1] *= shares[0] / sizes[0]
-    table[:, 2] *= shares[1] / sizes[1]
     keys = np.array([*seen], int)
     model = fit_label_model(keys, table[:, 0], table[:, 1:])
     posterior = counted.sparkSession.createDataFrame(

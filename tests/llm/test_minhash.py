@@ -102,13 +102,30 @@ def test_odd_rows(odd, none):
     assert all(of[i]["n_shingles"] == 0 and of[i]["component_id"] == i for i in (1, 2, 3))
     assert of[5]["component_id"] == 4 and not of[5]["kept"]
     assert of[8]["component_id"] == 7
-    assert all(r["component_id"] is None and r["kept"] for r in out if r["doc_id"] is None)
+    # Without an id: one has the words of document 7, the other is alone.
+    without = sorted((r["component_id"], r["kept"]) for r in out if r["doc_id"] is None and r["component_id"])
+    assert without == [(7, False)] and [r["kept"] for r in out if r["doc_id"] is r["component_id"] is None] == [True]
     assert near_duplicates(none).count() == 0
 
 
+def test_links_of_texts_under_one_id_and_without_ids(spark):
+    """Rows are told by what they say: an id may have two texts, or there may be none."""
+    rnd = random.Random(9)
+    a, b, c = (" ".join(f"{name}{k}{rnd.random()}" for k in range(60)) for name in "abc")
+    rows = [(1, a), (1, b), (5, b + " more"), (6, a + " more"), (None, a + " none"), (None, c), (None, c + " again"), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = near_duplicates(df).collect()
+    assert sorted(r["component_id"] or 0 for r in out) == [0, 0, 0, 1, 1, 1, 1, 1]
+    assert sorted(r["doc_id"] for r in out if r["kept"] and r["doc_id"]) == [1, 1]
+    left = [tuple(r) for r in drop_near_duplicates(df).collect()]
+    assert {r for r in left if r[0]} == {(1, a), (1, b)}
+    # Of the texts without any id one stays; the row that repeats it is the same.
+    assert len({r for r in left if not r[0]}) == 1
+
+
 def test_dropping_keeps_one_of_each_component(odd, none):
     out = drop_near_duplicates(odd)
     assert out.columns == odd.columns
     left = [r["doc_id"] for r in out.collect()]
-    assert 8 not in left and 5 not in left and left.count(7) == 2 and left.count(None) == 2
+    assert 8 not in left and 5 not in left and left.count(7) == 2 and left.count(None) == 1
     assert drop_near_duplicates(none).count() == 0

@@ -49,7 +49,7 @@ def test_run_gives_the_last_stage(spark):
 
 def test_every_dealt_operator_has_one_query():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and ORACLE.keys() <= QUERIES.keys()
+    assert sorted(numbers) == list(range(1, 14)) and ORACLE.keys() <= QUERIES.keys()
 
 
 def test_sql_runs():
