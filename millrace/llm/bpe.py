@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from millrace.llm.common import bound_batches
+
 # Fragments up to this length are remembered, and so many of them; then memory starts afresh.
 MEMORY_BYTES = 64
 MEMORY_ENTRIES = 120_000
@@ -208,11 +210,15 @@ def encode_documents(
         raise ValueError(f"columns already there: {sorted(taken)}")
     schema = StructType([*docs.schema.fields, *new])
 
+    bound_batches(docs.sparkSession)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(vocabulary)
+        # Of this task alone: a worker that goes on with other work does not keep it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        own = Codec(vocabulary)
         for whole in batches:
             position = whole.schema.get_field_index(text_column)
-            for batch in small_batches(whole, text_column):
+            for batch in small_batches(whole, text_column, 1_000_000):
                 ids = own.encode_batch(batch.column(position).to_pylist())
                 sizes = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1]))

@@ -38,6 +38,22 @@ def fold_of(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))
 
 
+# The setting that bounds what Spark sends to a Python worker at once, and the bytes asked for.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4_000_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Ask the session for Arrow batches of a few megabytes, where it has not been told otherwise.
+
+    Spark counts rows, and would send ten thousand long texts at once; a worker holds a batch several
+    times while it reads it.
+    """
+    known = spark.sparkContext.getConf().contains(BATCH_SETTING)
+    if not known and spark.conf.get(BATCH_SETTING, None) != str(BATCH_BYTES):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back, which cuts its lineage.
 
@@ -45,6 +61,7 @@ def stored(df: DataFrame) -> DataFrame:
     an operator returns, so it stays until the caller clears that folder.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

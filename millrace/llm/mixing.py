@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import WORDS, count_words, shards_for, small_table, stored
+from millrace.llm.common import WORDS, bound_batches, count_words, shards_for, small_table, stored
 
 BLOCK_WORDS = 64
 DOCS_PER_SHARD = 256
@@ -214,6 +214,7 @@ def cut_texts(
     same = docs[id_column].eqNullSafe(spans["_mix_id"]) & (_digest(docs[text_column]) == spans["_mix_digest"])
     joined = docs.join(spans, same)
 
+    bound_batches(docs.sparkSession)
     names = [f"_mix_{c}" for c in fields]
     joined = joined.select(*[docs[c] for c in docs.columns], *[spans[c] for c in names])
     columns_out = docs.columns
