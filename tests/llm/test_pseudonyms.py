@@ -1,4 +1,7 @@
+import datetime
+import hashlib
 import re
+import time
 
 import pytest
 
@@ -148,6 +151,83 @@ def test_mail_addresses_of_many_digits_stay_apart(spark):
     assert len(set(out)) == 100 and all(re.fullmatch(r"[a-z][0-9]{42}@example\.com", t) for t in out)
 
 
+def test_long_runs_take_time_in_proportion(spark):
+    """Far below what a search from each place to the end of the run would take."""
+    runs = ["7 " + unit * (400_000 // len(unit)) for unit in (".", "-", "a.", "x@a.", "A-", "1-", "+1 ", "a@")]
+    begun = time.monotonic()
+    assert replaced(spark, runs) == runs
+    assert time.monotonic() - begun < 90
+
+
+def test_addresses_after_lines_of_dots(spark, new):
+    """Also after lines that are longer than an address can be, of which dots stay."""
+    alone = new["jo.81@mail7.example.com"]
+    out = replaced(spark, [f"see {'.' * n}jo.81@mail7.example.com" for n in (1, 30, 90, 5000)])
+    assert [t.split("@")[0].strip("se .") for t in out] == [alone.split("@")[0]] * 4
+    assert [t.count(".") for t in out] == [n + 3 for n in (1, 30, 90, 5000)]
+
+
+# --- the permutation in plain Python --------------------------------------------------------
+
+
+def drawn(*parts):
+    return int(hashlib.sha256("|".join(map(str, ("secret", *parts))).encode()).hexdigest()[:15], 16)
+
+
+def feistel(a, b, a_size, b_size, tweak):
+    for i in range(10):
+        if i % 2 == 0:
+            a = (a + drawn(tweak, i, b)) % a_size
+        else:
+            b = (b + drawn(tweak, i, a)) % b_size
+    return a, b
+
+
+def digits_by_hand(digits, tweak):
+    n = len(digits)
+    left = n // 2
+    sizes = 10**left, 10 ** (n - left)
+    a, b = feistel(int(digits[:left] or 0), int(digits[left:]), *sizes, f"{tweak}/{n}")
+    return (f"{a:0{left}}" if left else "") + f"{b:0{n - left}}"
+
+
+def refilled(value, digits):
+    rest = iter(digits)
+    return re.sub("[0-9]", lambda _: next(rest), value)
+
+
+def by_hand(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "card":
+        body = digits_by_hand(digits[:-1], "card")
+        return refilled(value, body + next(c for c in "0123456789" if luhn(body + c)))
+    if kind == "phone":
+        return refilled(value, "1" + digits_by_hand(digits[1:], "phone1"))
+    if kind == "ip":
+        p = [int(x) for x in value.split(".")]
+        a, b = feistel(p[0] * 256 + p[1], p[2] * 256 + p[3], 65536, 65536, "ip")
+        return ".".join(map(str, (*divmod(a, 256), *divmod(b, 256))))
+    if kind == "ssn":
+        area, group, serial = int(digits[:3]), int(digits[3:5]), int(digits[5:])
+        a, b = feistel(area - (2 if area > 666 else 1), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, "ssn")
+        return f"{a + (2 if a + 1 >= 666 else 1):03}-{b // 9999 + 1:02}-{b % 9999 + 1:04}"
+    first = datetime.date(1800, 1, 1)
+    a, b = feistel(*divmod((datetime.date.fromisoformat(value) - first).days, 773), 189, 773, "date")
+    return (first + datetime.timedelta(a * 773 + b)).isoformat()
+
+
+def test_values_are_permuted_as_by_hand(spark):
+    values = [("card", f"48451681144073{k:02}") for k in range(100)]
+    values = [(k, v) for k, v in values if luhn(v)] + [("card", "4845-1681-1440-7329")]
+    values += [("phone", f"+1 (017) 555-77{k:02}") for k in range(30)]
+    values += [("ip", f"{k}.254.{255 - k}.120") for k in range(1, 40)]
+    values += [("ssn", f"{k:03}-05-11{k % 90 + 10}") for k in (1, 78, 665, 667, 899)]
+    values += [("date", d) for d in ("1800-01-01", "1980-02-29", "2199-12-31", "2024-05-06")]
+    out = replaced(spark, [f"told ({value}), and" for _, value in values])
+    for (kind, value), text in zip(values, out):
+        assert text == f"told ({by_hand(kind, value)}), and", (kind, value)
+
+
 def test_another_key_gives_other_pseudonyms(spark, new):
     row = spark.createDataFrame([(1, CASES[3])], "doc_id long, text string")
     assert pseudonymize(row, "other").first()["text"] != new[CASES[3]]
