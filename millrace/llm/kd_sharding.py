@@ -12,6 +12,8 @@ from millrace.llm.common import running_start, shards_for, small_table, stored
 BINS, LEAST_BINS, ALL_BINS = 4096, 16, 1 << 20
 # A bin with at most this share of its node's bytes is fine enough to cut beside it.
 TOLERANCE = 0.0005
+# Equal texts are cut apart only where they have more than this share of the bytes of a leaf.
+GROUP_SHARE = 0.04
 ROWS_PER_SLOT_SHARD = 256
 TOP = 1 << 32
 
@@ -25,6 +27,7 @@ class Search:
     node: int
     dimension: int
     weight: int
+    leaves: int
     wanted: float
     low: int
     high: int
@@ -47,7 +50,11 @@ class Search:
             before += row["bytes"]
         level = len(self.fixed)
         alone = row["least"] == row["most"]
-        if row["bytes"] <= TOLERANCE * self.weight or (alone and level == 2):
+        fine = TOLERANCE * self.weight
+        if alone and level == 1:
+            # One text, or rarely several of one hash, at one place.
+            fine = max(fine, GROUP_SHARE * self.weight / self.leaves)
+        if row["bytes"] <= fine or (alone and level == 2):
             # Beside the bin, on the side that is nearer to the wanted weight.
             left = self.wanted - before <= before + row["bytes"] - self.wanted
             at = row["least"] if left else row["most"] + 1
@@ -100,6 +107,22 @@ def _search(rows: DataFrame, dimensions: list[str], searches: list[Search]) -> N
             waiting[node].narrow(bins)
 
 
+def _one_place_per_text(rows: DataFrame, categories: list[str]) -> DataFrame:
+    """Rows of equal texts get the places of one of them, whatever sources and languages they have.
+
+    Only texts that occur at several places are joined back. Their rows are summed up before they
+    are shuffled, and a text with very many rows is split by adaptive execution.
+    """
+    first = F.min(F.struct(*categories)).alias("first")
+    several = F.lit(False)
+    for c in categories:
+        several = several | (F.min(c) != F.max(c))
+    groups = rows.groupBy("text_key").agg(first, several.alias("several")).where("several")
+    met = rows.join(groups, "text_key", "left")
+    moved = {c: F.coalesce(F.col("first")[c], F.col(c)) for c in categories}
+    return met.withColumns(moved).select(*rows.columns)
+
+
 def kd_shards(
     docs: DataFrame,
     *,
@@ -118,13 +141,16 @@ def kd_shards(
     widest, measured against the width of the whole input (the first of equals), at the point that
     gives each side bytes in proportion to its leaves. Documents at one place, such as a source with
     a third of all rows, are cut by the hash of their text and then of their id, so that leaves are
-    near equal in bytes and equal texts stay together wherever no cut falls on them.
+    near equal in bytes. Equal texts share one place, the least of their rows', and stay in one shard
+    unless they have more than GROUP_SHARE of the bytes of a leaf: such a group is cut, by the hash of
+    the id, if a median falls on it. Keeping the others whole moves a cut by half of that at most.
 
     Medians are found by sums of at most 4,096 bins per node and round, and of about a million in all
     (16 a node beyond 65,536 nodes); the driver sees those sums and the cuts, never rows. ``slot`` numbers the documents of a shard from 0 without gaps, in hash
     order, over many tasks per shard.
 
-    Defined cases: a null text has size 1 and the crc of the empty text; null categories are a place
+    Defined cases: a null text has size 1 and the crc of the empty text, and is equal to it; very long
+    texts are read whole, and one that is heavier than a leaf has it alone; null categories are a place
     of their own; rows that repeat id and text cannot be cut apart; a small table may leave leaves
     empty; an empty table gives no rows; other columns are ignored.
     """
@@ -141,12 +167,15 @@ def kd_shards(
         docs[id_column].alias("id"),
         size.alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_key"),
         F.shiftrightunsigned(F.xxhash64(text), 32).alias("text_hash"),
         F.shiftrightunsigned(F.xxhash64(docs[id_column], F.lit(seed)), 32).alias("id_hash"),
         *places,
         F.lit(0).alias("node"),
     )
     rows = stored(rows)
+    if category_columns:
+        rows = stored(_one_place_per_text(rows, dimensions[1:]).drop("text_key"))
     bounds = [f(d).alias(f"{f.__name__}_{d}") for d in dimensions for f in (F.min, F.max)]
     total = rows.agg(F.sum("size").alias("size"), F.count("*").alias("rows"), *bounds).first()
     if shards is None:
@@ -164,7 +193,7 @@ def kd_shards(
                 k = widths.index(max(widths))
                 low, high = row[f"min_{dimensions[k]}"], row[f"max_{dimensions[k]}"]
                 wanted = row["size"] * (n // 2) / n
-                searches.append(Search(row["node"], k, row["size"], wanted, low, high))
+                searches.append(Search(row["node"], k, row["size"], n, wanted, low, high))
         _search(rows, dimensions, searches)
         cuts = {s.node: (s.dimension, *s.cut) for s in searches}
         table, below = [], {}
