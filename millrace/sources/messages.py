@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from millrace.sources.storage import path_exists
+
+# Where in a checkpoint the start of its file stream is noted.
+START_NOTE = "_starting"
+
 
 def read_stream(
     spark: SparkSession,
@@ -53,6 +61,8 @@ def read_file_stream(
     source: str = "parquet",
     *,
     max_file_age: str = "36500d",
+    starting: str | datetime | None = None,
+    checkpoint: str | None = None,
     **options: object,
 ) -> DataFrame:
     """Files that land under ``path``, each read once, however old they look.
@@ -64,5 +74,37 @@ def read_file_stream(
 
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound the first batch when the
     directory already holds a backlog.
+
+    ``starting`` says with which files a new query begins: ``"earliest"``, all; ``"latest"``, those
+    changed from now on, by the driver's clock; or a time. It is noted in ``checkpoint``, the folder
+    of the query that will read the stream, and counts only there once: when the query starts
+    again, or its checkpoint holds progress already, the note holds, whatever ``starting`` says.
+    A file that lands later with an older time of change, such as a copy that keeps times, is
+    skipped. Skipped files are listed, but not opened.
     """
-    return read_stream(spark, source, path=path, schema=schema, **{"maxFileAge": max_file_age} | options)
+    if (starting is None) != (checkpoint is None):
+        raise ValueError("a starting position and the query's checkpoint go together")
+    rows = read_stream(spark, source, path=path, schema=schema, **{"maxFileAge": max_file_age} | options)
+    since = 0 if starting is None else _noted_start(spark, starting, checkpoint)
+    if not since:
+        return rows
+    return rows.where(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since)))
+
+
+def _noted_start(spark: SparkSession, starting: str | datetime, checkpoint: str) -> int:
+    """Milliseconds since 1970 from which on a query reads files, noted if that was not yet done."""
+    if isinstance(starting, datetime):
+        since = int(starting.timestamp() * 1000)
+    elif starting in ("earliest", "latest"):
+        since = 0 if starting == "earliest" else int(time.time() * 1000)
+    else:
+        raise ValueError(f"no starting position: {starting!r}")
+    note, schema = f"{checkpoint}/{START_NOTE}", "since long"
+    # A note without a row is one whose writing was interrupted.
+    noted = spark.read.schema(schema).parquet(note).first() if path_exists(spark, note) else None
+    if noted is not None:
+        return noted["since"]
+    if path_exists(spark, f"{checkpoint}/offsets"):
+        since = 0
+    spark.createDataFrame([(since,)], schema).write.mode("overwrite").parquet(note)
+    return since

@@ -1,3 +1,4 @@
+import datetime
 import glob
 import json
 import os
@@ -446,3 +447,51 @@ def test_columns_are_added_only_when_asked(spark, tmp_path, namespace):
     for other in ("id int, x struct<a: int>, `y z` string", "x struct<a: int>, `y z` string, w int"):
         with pytest.raises(ValueError, match="id differ"):
             ensure_table(spark, table, StructType.fromDDL(other), add_columns=True)
+
+
+def _land(spark, folder, number, changed):
+    """One file with one row, last changed at ``changed`` seconds since 1970."""
+    aside = folder.parent / f"aside{number}"
+    spark.range(number, number + 1).coalesce(1).write.parquet(str(aside))
+    folder.mkdir(exist_ok=True)
+    target = folder / f"{number}.parquet"
+    next(aside.glob("part-*.parquet")).rename(target)
+    os.utime(target, (changed, changed))
+
+
+def _taken(spark, folder, checkpoint, starting):
+    """Ids that a run takes until it has caught up."""
+    ids = []
+    rows = read_file_stream(
+        spark, str(folder), spark.range(1).schema, starting=starting, checkpoint=str(checkpoint)
+    )
+    query = (
+        rows.writeStream.foreachBatch(lambda batch, _: ids.extend(r["id"] for r in batch.collect()))
+        .option("checkpointLocation", str(checkpoint))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return sorted(ids)
+
+
+def test_a_file_stream_starts_where_it_is_told_once(spark, tmp_path):
+    folder, now = tmp_path / "landed", time.time()
+    for number, age in ((1, 5000), (2, 3000), (3, 1000)):
+        _land(spark, folder, number, now - age)
+    assert _taken(spark, folder, tmp_path / "latest", "latest") == []
+    assert _taken(spark, folder, tmp_path / "time", datetime.datetime.fromtimestamp(now - 4000)) == [2, 3]
+    assert _taken(spark, folder, tmp_path / "earliest", "earliest") == [1, 2, 3]
+    _land(spark, folder, 4, time.time() + 1)
+    # Started again: the setting of the first start holds.
+    assert _taken(spark, folder, tmp_path / "latest", "earliest") == [4]
+    assert _taken(spark, folder, tmp_path / "time", "latest") == [4]
+    assert _taken(spark, folder, tmp_path / "earliest", "latest") == [4]
+
+
+def test_a_start_needs_a_checkpoint_and_a_known_name(spark, tmp_path):
+    schema = spark.range(1).schema
+    (tmp_path / "landed").mkdir()
+    for options in ({"starting": "latest"}, {"checkpoint": "c"}, {"starting": "soon", "checkpoint": str(tmp_path / "c")}):
+        with pytest.raises(ValueError):
+            read_file_stream(spark, str(tmp_path / "landed"), schema, **options)
