@@ -27,15 +27,19 @@ from millrace.llm.minhash import _mix
 
 BATCH_BYTES = 8_000_000
 TOKENS_PER_BUCKET = 2_000_000
+MOST_BUCKETS = 512
+# So many batches at most send their keys to one group of a bucket; the groups then ask as batches do.
+TEAM = 1024
 # From here on 32 bits of a word's hash say in which bucket it is, below it 16.
 MANY_BUCKETS = 1 << 14
 # Parts of the corpus: counts come from MAIN, mixture weights from DELETED; OTHER is only scored.
-MAIN, DELETED, OTHER = 0, 1, 2
+# What a team of batches asks for them together is TEAMED.
+MAIN, DELETED, OTHER, TEAMED = 0, 1, 2, 3
 END = np.uint64(0x1F83D9ABFB41BD6B)
 # Contexts are put together by the power of two of their count.
 CONTEXT_CLASSES = 40
-# Probabilities are told apart by steps of 0.05 of their decimal logarithm, for the weights only.
-STEP, BINS = 0.05, 320
+# Probabilities are told apart by steps of 0.2 of their decimal logarithm, for the weights only.
+STEP, BINS = 0.2, 64
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -90,6 +94,40 @@ def _short(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return hashes >> np.uint64(64 - 8 * np.dtype(_short_type(buckets)).itemsize)
 
 
+class Numbered:
+    """Documents of one part on their way to be a batch."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.tokens: list[np.ndarray] = []
+        self.ids: list = []
+        self.held_out: list[bool] = []
+        self.size = 0
+
+    def add(self, id_: object, text: str, held_out: bool) -> None:
+        raw = text.encode().lower()
+        words = raw.split()
+        tokens = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
+        self.tokens.append(np.array([*tokens, 0], np.uint32))
+        self.ids.append(id_)
+        self.held_out.append(held_out)
+        self.size += len(raw) + 1
+
+    def row(self, number: int, part: int) -> dict:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.numbers), np.uint64, len(self.numbers))
+        tokens = np.concatenate(self.tokens)
+        return {
+            "batch": number,
+            "part": part,
+            "ids": self.ids,
+            "held_out": self.held_out,
+            "lengths": [len(t) for t in self.tokens],
+            "hashes": np.append(END, hashes).tobytes(),
+            "n_tokens": len(tokens),
+            "tokens": _pack(tokens),
+        }
+
+
 def _forward(rows: DataFrame) -> DataFrame:
     """Batches of documents ``id, text, part, held_out`` as numbers: one row per batch and part."""
     schema = StructType(
@@ -107,36 +145,19 @@ def _forward(rows: DataFrame) -> DataFrame:
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        open_: dict[int, Numbered] = {}
         for whole in batches:
             for batch in small_batches(whole, "text", BATCH_BYTES):
-                parts = batch.column(2).to_numpy(zero_copy_only=False)
-                for part in np.unique(parts):
-                    own = batch.take(pa.array(np.flatnonzero(parts == part)))
-                    numbers: dict[bytes, int] = {}
-                    tokens: list[int] = []
-                    lengths = []
-                    for text in own.column(1).to_pylist():
-                        words = text.encode().lower().split()
-                        tokens += [numbers.setdefault(w, len(numbers) + 1) for w in words]
-                        tokens.append(0)
-                        lengths.append(len(words) + 1)
-                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
-                    yield pa.RecordBatch.from_pylist(
-                        [
-                            {
-                                "batch": number,
-                                "part": int(part),
-                                "ids": own.column(0).to_pylist(),
-                                "held_out": own.column(3).to_pylist(),
-                                "lengths": lengths,
-                                "hashes": np.append(END, hashes).tobytes(),
-                                "n_tokens": len(tokens),
-                                "tokens": _pack(np.array(tokens, np.int64)),
-                            }
-                        ],
-                        schema=arrow,
-                    )
-                    number += 1
+                for id_, text, part, held_out in zip(*(c.to_pylist() for c in batch.columns)):
+                    own = open_.setdefault(part, Numbered())
+                    own.add(id_, text, held_out)
+                    if own.size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist([own.row(number, part)], schema=arrow)
+                        number += 1
+                        del open_[part]
+        for part, own in open_.items():
+            yield pa.RecordBatch.from_pylist([own.row(number, part)], schema=arrow)
+            number += 1
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -148,14 +169,24 @@ def _batch_of(row: dict, hashes: np.ndarray) -> Batch:
     return Batch(hashes, _unpack(row["tokens"], row["n_tokens"]), np.array(row["lengths"], np.int64))
 
 
-ASKED = "bucket int, batch long, part int, n long, keys binary, counts binary"
-TOLD = "batch long, bucket int, n long, total long, main binary, train binary"
+ASKED = "bucket long, batch long, part int, n long, keys binary, main binary, train binary"
+TOLD = "batch long, bucket long, n long, total long, main binary, train binary"
+# What a group of batches asks for as one, by part of its bucket, and where its batches find their keys.
+MERGED = "bucket long, team long, sub int, batch long, part int, n long, keys binary, main binary, train binary, which binary"
 # Rows of a bucket's own sums stand under these numbers in place of a batch.
 MAIN_SUMS, TRAIN_SUMS = -1, -2
 
 
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in schema.split(", "))])
+
+
 def _ask(forward: DataFrame, buckets: int, pairs: bool) -> DataFrame:
-    """Keys and counts of each batch's distinct words, or pairs of words, by bucket."""
+    """Keys and counts of each batch's distinct words, or pairs of words, by bucket.
+
+    No ``main`` means 0; no ``train`` means what ``main`` says.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for many in batches:
@@ -176,6 +207,7 @@ def _ask(forward: DataFrame, buckets: int, pairs: bool) -> DataFrame:
                 out = []
                 for b in np.flatnonzero(np.diff(edges)):
                     picked = order[edges[b] : edges[b + 1]]
+                    packed = _pack(counts[picked])
                     out.append(
                         {
                             "bucket": int(b),
@@ -183,17 +215,44 @@ def _ask(forward: DataFrame, buckets: int, pairs: bool) -> DataFrame:
                             "part": row["part"],
                             "n": len(picked),
                             "keys": keys[picked].tobytes(),
-                            "counts": _pack(counts[picked]),
+                            "main": packed if row["part"] == MAIN else None,
+                            "train": packed if row["part"] == DELETED else None,
                         }
                     )
                 yield pa.RecordBatch.from_pylist(out, schema=asked)
 
-    asked = pa.schema(
-        [("bucket", pa.int32()), ("batch", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
-    )
+    asked = _arrow(ASKED)
     return forward.mapInArrow(ask, ASKED)
 
 
+def _summed(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of what was asked, which of them each entry is, their counts, and where rows begin."""
+    sizes = [r["n"] for r in rows]
+    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
+    values, which = np.unique(keys, return_inverse=True)
+    edges = np.cumsum([0, *sizes])
+    main, train = np.zeros(len(values), np.int64), np.zeros(len(values), np.int64)
+    for k, r in enumerate(rows):
+        # A batch has each of its keys once.
+        own = which[edges[k] : edges[k + 1]]
+        if r["main"] is not None:
+            main[own] += _unpack(r["main"], r["n"])
+        if r["train"] is not None or r["main"] is not None:
+            train[own] += _unpack(r["train"] or r["main"], r["n"])
+    return values, which, main, train, edges
+
+
+def _answer(row: dict, main: np.ndarray, train: np.ndarray) -> dict:
+    wanted = row["part"] in (DELETED, TEAMED)
+    return {
+        "batch": row["batch"],
+        "bucket": row["bucket"],
+        "n": row["n"],
+        "main": _pack(main) if wanted else None,
+        "train": _pack(train),
+    }
+
+
 def _tell(asked: DataFrame) -> DataFrame:
     """The counts of all batches for each batch's keys, in the order of its keys.
 
@@ -204,42 +263,83 @@ def _tell(asked: DataFrame) -> DataFrame:
 
     def tell(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
-        counts = np.concatenate([_unpack(r["counts"], r["n"]) for r in rows])
-        part = np.repeat([r["part"] for r in rows], [r["n"] for r in rows])
-        values, which = np.unique(keys, return_inverse=True)
-        main = np.bincount(which, counts * (part == MAIN), len(values)).astype(np.int64)
-        train = np.bincount(which, counts * (part != OTHER), len(values)).astype(np.int64)
-        edges = np.cumsum([0, *[r["n"] for r in rows]])
+        _, which, main, train, edges = _summed(rows)
         out = []
         for k, r in enumerate(rows):
             own = which[edges[k] : edges[k + 1]]
-            out.append(
-                {
-                    "batch": r["batch"],
-                    "bucket": r["bucket"],
-                    "n": r["n"],
-                    "main": _pack(main[own]) if r["part"] == DELETED else None,
-                    "train": _pack(train[own]),
-                }
-            )
+            out.append(_answer(r, main[own], train[own]))
         for number, sums in ((MAIN_SUMS, main), (TRAIN_SUMS, train)):
             out.append({"batch": number, "bucket": rows[0]["bucket"], "n": int((sums > 0).sum()), "total": int(sums.sum())})
         return pa.Table.from_pylist(out, schema=told)
 
-    told = pa.schema(
-        [
-            ("batch", pa.int64()),
-            ("bucket", pa.int32()),
-            ("n", pa.int64()),
-            ("total", pa.int64()),
-            ("main", pa.binary()),
-            ("train", pa.binary()),
-        ]
-    )
+    told = _arrow(TOLD)
     return asked.groupBy("bucket").applyInArrow(tell, TOLD)
 
 
+def _tell_all(asked: DataFrame, batches: int, level: int = 1) -> DataFrame:
+    """What ``_tell`` says, whatever the number of batches: no task sees more than about TEAM of them.
+
+    Where more batches ask a bucket, they form teams. A team adds up the counts of its batches, so
+    that a key of all of them is one entry; it then asks parts of the bucket, as a batch asks buckets.
+    What it is told it hands on to its batches. Teams of teams follow until one group has the rest.
+    """
+    if batches <= TEAM:
+        return _tell(asked)
+    teams = -(-batches // TEAM)
+    # As many parts as teams that may meet there: a group stays as large as a team's keys.
+    width = min(TEAM, teams)
+    salt = np.uint64(level * 0x9E3779B97F4A7C15 % 2**64)
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        values, which, main, train, edges = _summed(rows)
+        at = {"bucket": rows[0]["bucket"], "team": rows[0]["team"]}
+        sub = (_mix(values ^ salt) % np.uint64(width)).astype(np.int64)
+        order = np.argsort(sub, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        ends = np.searchsorted(sub[order], np.arange(width + 1))
+        out = []
+        for b in np.flatnonzero(np.diff(ends)):
+            own = order[ends[b] : ends[b + 1]]
+            sums = {"main": _pack(main[own]), "train": _pack(train[own])}
+            out.append({**at, "sub": int(b), "n": len(own), "keys": values[own].tobytes(), **sums})
+        for k, r in enumerate(rows):
+            own = place[which[edges[k] : edges[k + 1]]]
+            out.append({**at, "batch": r["batch"], "part": r["part"], "n": r["n"], "which": _pack(own)})
+        return pa.Table.from_pylist(out, schema=merged)
+
+    def hand_on(members: pa.Table, answers: pa.Table) -> pa.Table:
+        found = sorted(answers.to_pylist(), key=lambda r: r["part_of"])
+        main, train = (np.concatenate([_unpack(r[c], r["n"]) for r in found]) for c in ("main", "train"))
+        out = []
+        for r in members.to_pylist():
+            own = _unpack(r["which"], r["n"])
+            out.append(_answer(r, main[own], train[own]))
+        return pa.Table.from_pylist(out, schema=told)
+
+    merged, told = _arrow(MERGED), _arrow(TOLD)
+    team = F.pmod(F.xxhash64("batch", F.lit(level)), F.lit(teams)).alias("team")
+    sums = stored(asked.select("*", team).groupBy("bucket", "team").applyInArrow(merge, MERGED))
+    next_asked = sums.where("sub IS NOT NULL").select(
+        (F.col("bucket") * width + F.col("sub")).alias("bucket"),
+        F.col("team").alias("batch"),
+        F.lit(TEAMED).alias("part"),
+        *("n", "keys", "main", "train"),
+    )
+    next_told = stored(_tell_all(next_asked, teams, level + 1))
+    answers = next_told.where("batch >= 0").select(
+        F.expr(f"bucket DIV {width}").alias("bucket"),
+        F.col("batch").alias("team"),
+        F.col("bucket").alias("part_of"),
+        *("n", "main", "train"),
+    )
+    members = sums.where("sub IS NULL").select("bucket", "team", "batch", "part", "n", "which")
+    by_team = lambda df: df.groupBy("bucket", "team")
+    handed = by_team(members).cogroup(by_team(answers)).applyInArrow(hand_on, TOLD)
+    return handed.unionByName(next_told.where("batch < 0"))
+
+
 class Totals(NamedTuple):
     """Distinct tokens and all tokens, of MAIN and of all training documents."""
 
@@ -334,9 +434,10 @@ def score_language(
     Batches of documents become numbers once. Each batch then asks for the counts of its distinct
     words and pairs, by the bucket of their 64-bit hashes, and every bucket answers each batch: what is
     shuffled are distinct keys of batches and counts, no token more than once per batch, and the text
-    never. A word or pair of a third of all tokens is one entry per batch. Everything that is counted
-    grows with the corpus and is spread over buckets; the driver sees four sums and the held-out
-    tokens by bins, of which there are at most ``40 * 320 * 320``.
+    never. A word or pair of a third of all tokens is one entry per batch, and where there are more
+    than TEAM batches, teams of them ask as one, level by level: a task sees about TEAM rows of a bucket
+    and some two million keys, however large the corpus is and however many batches share a key. The
+    driver sees four sums and the held-out tokens by bins, of which there are at most ``40 * 64 * 64``.
 
     Defined cases: null and empty texts are the end token alone; without learning documents all
     counts are 0 and a token has probability 1; repeated rows count as often as they come; an empty
@@ -352,11 +453,11 @@ def score_language(
         (~learned).alias("held_out"),
     )
     forward = stored(_forward(rows))
-    total = forward.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = int(max(64, total // TOKENS_PER_BUCKET))
+    total, batches = forward.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
+    buckets = int(min(MOST_BUCKETS, max(64, total // TOKENS_PER_BUCKET)))
 
-    words = stored(_tell(_ask(forward, buckets, pairs=False)))
-    pairs = stored(_tell(_ask(forward, buckets, pairs=True)))
+    words = stored(_tell_all(_ask(forward, buckets, pairs=False), batches))
+    pairs = stored(_tell_all(_ask(forward, buckets, pairs=True), batches))
     sums = words.where("batch < 0").groupBy("batch").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     found = {r["batch"]: (r["n"], r["total"]) for r in sums.collect()}
     totals = Totals(*found.get(MAIN_SUMS, (0, 0)), *found.get(TRAIN_SUMS, (0, 0)))

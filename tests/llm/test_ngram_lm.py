@@ -4,11 +4,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
+from millrace.llm import ngram_lm
 from millrace.llm.ngram_lm import (
     BINS,
     CONTEXT_CLASSES,
+    STEP,
     _bin,
     _context_class,
     _pair_bucket,
@@ -22,6 +25,14 @@ from millrace.llm.queries import QUERIES
 from tests.llm.conftest import DATA, ODD
 
 
+class MostOf(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, one, two):
+        return max(one, two)
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), None]
 
@@ -89,11 +100,49 @@ def test_buckets_are_found_again_and_even(buckets):
         assert np.bincount(found).max() < 4 * mean + 30
 
 
+@pytest.mark.parametrize("team", [2, 5])
+def test_teams_of_batches_give_the_same_scores(spark, monkeypatch, team):
+    """Batches of few documents, so that teams of teams ask: the very same scores."""
+    docs = spark.read.parquet(str(DATA / "documents.parquet"))
+    learn = F.col("doc_id") % 3 != 0
+    monkeypatch.setattr(ngram_lm, "BATCH_BYTES", 40_000)
+    whole = {r["doc_id"]: r for r in score_language(docs, learn).collect()}
+    monkeypatch.setattr(ngram_lm, "TEAM", team)
+    teamed = score_language(docs, learn).collect()
+    assert len(teamed) == len(whole)
+    for r in teamed:
+        assert r == whole[r["doc_id"]]
+
+
+def test_a_word_of_all_batches_burdens_no_task(spark, monkeypatch):
+    """Two words in each of 3,000 batches: no group of a bucket holds more than a few teams' rows."""
+    monkeypatch.setattr(ngram_lm, "TEAM", 50)
+    schema = "bucket long, batch long, part int, n long, keys binary, main binary, train binary"
+    one = ngram_lm._pack(np.array([2, 1]))
+    key = lambda i: np.array([7, 1_000 + i], np.uint64).tobytes()
+    asked = spark.createDataFrame([(0, i, 0, 2, key(i), one, None) for i in range(3000)], schema)
+    summed = ngram_lm._summed
+    largest = spark.sparkContext.accumulator(0, MostOf())
+
+    def watched(rows):
+        largest.add(len(rows))
+        return summed(rows)
+
+    monkeypatch.setattr(ngram_lm, "_summed", watched)
+    told = ngram_lm._tell_all(asked, 3000).collect()
+    seen = [r for r in told if r["batch"] >= 0]
+    assert len(seen) == 3000 and {r["n"] for r in seen} == {2}
+    assert all(ngram_lm._unpack(r["train"], 2).tolist() == [6000, 1] for r in seen)
+    sums = [r for r in told if r["batch"] == ngram_lm.TRAIN_SUMS]
+    assert (sum(r["n"] for r in sums), sum(r["total"] for r in sums)) == (3001, 9000)
+    assert 0 < largest.value <= 2 * 50
+
+
 def test_weights_are_found():
     """Tokens drawn from a known mixture."""
     rnd = np.random.default_rng(5)
-    two, one = rnd.integers(1, 60, 200), rnd.integers(40, 120, 200)
-    middle = np.append(0.0, 10 ** (-(np.arange(BINS - 1) + 0.5) * 0.05))
+    two, one = rnd.integers(1, 15, 200), rnd.integers(10, 30, 200)
+    middle = np.append(0.0, 10 ** (-(np.arange(BINS - 1) + 0.5) * STEP))
     p = 0.6 * middle[two] + 0.35 * middle[one] + 0.05 * 1e-4
     weights = fit_weights((3 * BINS + two) * BINS + one, p * 1e6, 1e-4)
     assert weights.shape == (3, CONTEXT_CLASSES) and np.allclose(weights.sum(axis=0), 1)
