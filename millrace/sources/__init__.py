@@ -1,7 +1,7 @@
 """Where data comes from and where tables live."""
 
 from millrace.sources.files import CsvRows, read_csv, read_parquet, split_csv
-from millrace.sources.messages import read_file_stream, read_kafka, read_stream
+from millrace.sources.messages import read_file_stream, read_kafka, read_stream, renew_passed_files
 from millrace.sources.session import (
     build_session,
     object_store_conf,
@@ -34,6 +34,7 @@ __all__ = [
     "read_kafka",
     "read_parquet",
     "read_stream",
+    "renew_passed_files",
     "replace_partitions",
     "replace_table",
     "rest_catalog_conf",

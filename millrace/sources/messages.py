@@ -5,10 +5,10 @@ from __future__ import annotations
 import time
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from millrace.sources.storage import path_exists
+from millrace.sources.storage import path_exists, renew_file
 
 # Where in a checkpoint the start of its file stream is noted.
 START_NOTE = "_starting"
@@ -60,7 +60,8 @@ def read_file_stream(
     schema: StructType,
     source: str = "parquet",
     *,
-    max_file_age: str = "36500d",
+    max_file_age: str | None = None,
+    finished: str | None = None,
     starting: str | datetime | None = None,
     checkpoint: str | None = None,
     **options: object,
@@ -68,9 +69,17 @@ def read_file_stream(
     """Files that land under ``path``, each read once, however old they look.
 
     Spark ignores files whose time of change lies ``max_file_age`` and more before the newest
-    one seen, 7 days if it is not told otherwise; a copy that keeps times may look that old. The
-    default here keeps every file, for which the driver remembers each path: give a shorter age
-    where millions of files pass and none comes late.
+    one seen, 7 days if it is not told otherwise; a copy that keeps times may look that old. Without
+    ``finished`` the default here is 100 years, which keeps every file, and for which the driver
+    remembers each path.
+
+    ``finished`` clears files away once the batch that took them is committed: ``"delete"`` removes
+    them, and any other value is the folder they are moved to, which must lie outside ``path``. The
+    driver then forgets a path after ``max_file_age`` (7 days here), so that what it remembers does
+    not grow with the stream's life. Nothing is taken twice: a file that outlives its batch, as after
+    a crash, is too old by then. Files that landed looking too old are taken up by
+    :func:`renew_passed_files`. The folder must be read by this query alone. The files of a run's
+    last batch are cleared by the first batch of the next run.
 
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound the first batch when the
     directory already holds a backlog.
@@ -84,7 +93,12 @@ def read_file_stream(
     """
     if (starting is None) != (checkpoint is None):
         raise ValueError("a starting position and the query's checkpoint go together")
-    rows = read_stream(spark, source, path=path, schema=schema, **{"maxFileAge": max_file_age} | options)
+    settings = {"maxFileAge": max_file_age or ("36500d" if finished is None else "7d")}
+    if finished == "delete":
+        settings["cleanSource"] = "delete"
+    elif finished is not None:
+        settings |= {"cleanSource": "archive", "sourceArchiveDir": finished}
+    rows = read_stream(spark, source, path=path, schema=schema, **settings | options)
     since = 0 if starting is None else _noted_start(spark, starting, checkpoint)
     if not since:
         return rows
@@ -108,3 +122,39 @@ def _noted_start(spark: SparkSession, starting: str | datetime, checkpoint: str)
         since = 0
     spark.createDataFrame([(since,)], schema).write.mode("overwrite").parquet(note)
     return since
+
+
+def renew_passed_files(spark: SparkSession, path: str, checkpoint: str, *, number: int = 0) -> int:
+    """Give files that a query has passed over the present time, so that it takes them; returns how many.
+
+    These are the files under ``path`` that the query's log does not name and that are older than the
+    newest one it names. Call it while the query does not run. ``number`` tells its sources apart, if
+    it has several. Files that were taken are left alone, also where they still lie in the folder.
+
+    It needs a file system whose times can be set, such as HDFS. On an object store a file has the
+    time at which it landed, so none looks old.
+    """
+    log = f"{checkpoint}/sources/{number}"
+    if not path_exists(spark, log):
+        return 0
+    entry = F.from_json("value", "path string, timestamp long")
+    taken = spark.read.text(log).where("value LIKE '{%'").select(entry.alias("file")).select("file.*")
+    newest = taken.agg(F.max("timestamp")).first()[0]
+    # The log has encoded addresses, a listing plain ones.
+    named = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    lying = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    passed = (
+        lying.where(F.col("modificationTime") < F.timestamp_millis(F.lit(newest)))
+        .select("path", _address(F.col("path")).alias("address"))
+        .join(taken.select(_address(named).alias("address")), "address", "left_anti")
+    )
+    renewed = 0
+    for row in passed.select("path").toLocalIterator():
+        renew_file(spark, row["path"])
+        renewed += 1
+    return renewed
+
+
+def _address(path: Column) -> Column:
+    """One spelling for local files, which have one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")

@@ -6,6 +6,7 @@ session and do not work over Spark Connect.
 
 from __future__ import annotations
 
+import time
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def renew_file(spark: SparkSession, path: str) -> None:
+    """Give a file the present time of change."""
+    system, found = _open(spark, path)
+    system.setTimes(found, int(time.time() * 1000), -1)
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Give a folder a new path, which must be free. HDFS and local disks do so at once."""
     system, found = _open(spark, target)

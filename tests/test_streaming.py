@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace import Labels, Role, append_once, enrich, ingest_transactions, parse_transactions, start_append
-from millrace.sources import drop_table, ensure_namespace, ensure_table, read_file_stream
+from millrace.sources import drop_table, ensure_namespace, ensure_table, read_file_stream, renew_passed_files
 from millrace.sources.tables import table_location
 from workload.queries import QUERIES
 from millrace.sources.scratch import scratch_folder
@@ -495,3 +495,50 @@ def test_a_start_needs_a_checkpoint_and_a_known_name(spark, tmp_path):
     for options in ({"starting": "latest"}, {"checkpoint": "c"}, {"starting": "soon", "checkpoint": str(tmp_path / "c")}):
         with pytest.raises(ValueError):
             read_file_stream(spark, str(tmp_path / "landed"), schema, **options)
+
+
+def _take_and_clear(spark, folder, checkpoint, finished):
+    """Ids that a run takes, and how many paths its source remembers at the end."""
+    ids = []
+    rows = read_file_stream(
+        spark, str(folder), spark.range(1).schema, finished=finished, max_file_age="1h", cleanSourceThreads="0"
+    )
+    query = (
+        rows.writeStream.foreachBatch(lambda batch, _: ids.extend(r["id"] for r in batch.collect()))
+        .option("checkpointLocation", str(checkpoint))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return sorted(ids), query._jsq.streamingQuery().sources().head().seenFiles().size()
+
+
+@pytest.mark.parametrize("archive", [False, True])
+def test_finished_files_go_and_are_forgotten(spark, tmp_path, archive):
+    folder, checkpoint = tmp_path / "landed files+", tmp_path / "checkpoint"
+    finished = str(tmp_path / "kept" / "archive") if archive else "delete"
+    start = int(time.time()) - 100 * 3600
+    taken = []
+    for number in range(12):
+        # Each file looks two hours younger than the one before.
+        _land(spark, folder, number, start + 7200 * number)
+        ids, remembered = _take_and_clear(spark, folder, checkpoint, finished)
+        taken += ids
+        assert remembered <= 2
+        assert len(list(folder.glob("*.parquet"))) <= 1
+    assert taken == list(range(12))
+    if archive:
+        assert len(list((tmp_path / "kept").rglob("*.parquet"))) == 11
+    # A file that looks too old is passed over, until it is renewed; what was taken is not.
+    _land(spark, folder, 50, start)
+    assert _take_and_clear(spark, folder, checkpoint, finished)[0] == []
+    assert renew_passed_files(spark, str(folder), str(checkpoint)) == 1
+    assert renew_passed_files(spark, str(folder), str(checkpoint)) == 0
+    assert _take_and_clear(spark, folder, checkpoint, finished)[0] == [50]
+    assert _take_and_clear(spark, folder, checkpoint, finished)[0] == []
+
+
+def test_nothing_is_renewed_before_a_first_run(spark, tmp_path):
+    folder = tmp_path / "landed"
+    _land(spark, folder, 1, time.time() - 5000)
+    assert renew_passed_files(spark, str(folder), str(tmp_path / "checkpoint")) == 0

@@ -182,6 +182,7 @@ ORACLE: dict[str, str] = {
     "stream_append": "SELECT * FROM events",
     "stream_interval": "SELECT * FROM events",
     "stream_restart": TRANSACTIONS,
+    "stream_archived": TRANSACTIONS,
     "stream_transactions": TRANSACTIONS,
     "stream_two_writers": "SELECT * FROM events",
     "stream_rejects": """

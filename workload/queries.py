@@ -564,6 +564,25 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def stream_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished and open orders land in turn; files are moved away once taken, and each arrives once."""
+    folder, name = scratch_folder(spark), f"{scratch_namespace(spark)}.archived"
+    orders = table(spark, sf_dir, "orders")
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    for part in (orders.filter(finished), orders.filter(~finished)):
+        transaction_messages(part).write.mode("append").parquet(f"{folder}/landing")
+        landed = StructType.fromDDL("value binary")
+        ingest_transactions(
+            read_file_stream(
+                spark, f"{folder}/landing", landed, finished=f"{folder}/archive", maxBytesPerTrigger=10**12
+            ),
+            name,
+            f"{folder}/checkpoint",
+            until_caught_up=True,
+        ).awaitTermination()
+    return spark.table(name)
+
+
 def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, name = scratch_folder(spark), f"{scratch_namespace(spark)}.transactions"
     ingest_transactions(
@@ -658,6 +677,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_append": stream_append,
     "stream_interval": stream_interval,
     "stream_restart": stream_restart,
+    "stream_archived": stream_archived,
     "stream_transactions": stream_transactions,
     "stream_two_writers": stream_two_writers,
     "stream_rejects": stream_rejects,
