@@ -61,7 +61,10 @@ def read_csv(
         lines = _csv_lines(spark, path, schema, options)
         line = F.col(REJECTED)
         message = F.concat(F.lit("a CSV line does not fit the schema: "), line)
-        return lines.filter(F.when(line.isNull(), True).otherwise(F.raise_error(message).cast("boolean"))).drop(REJECTED)
+        # Always true, but not foreseeable for Spark, which therefore keeps later filters behind this one:
+        # a join asks for keys that are not null, and would drop a line whose key does not fit unseen.
+        fits = F.when(line.isNull(), F.monotonically_increasing_id() >= 0).otherwise(F.raise_error(message).cast("boolean"))
+        return lines.filter(fits).drop(REJECTED)
     settings = {"header": True, "enforceSchema": False} | options
     return spark.read.schema(schema).options(**settings).csv(path)
 
