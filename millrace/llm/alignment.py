@@ -19,14 +19,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from millrace.llm.bpe import byte_of_symbol, small_batches
+from millrace.llm.bpe import BYTE_LEVEL_WORDS, byte_of_symbol, small_batches
 from millrace.llm.common import stored
 from millrace.llm.pieces import Encoded, piece_codec, spans
 
 # Pairs of ids are one number; both vocabularies must have fewer ids than this.
 PAIR = 1 << 24
-# Fixed value: how byte-level tokenizers split a text into words.
-BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Text of a batch, whose pairs get one table.
 BATCH_BYTES = 4_000_000
 SLICE_BYTES = 1_000_000

@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,18 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from millrace.llm.common import bound_batches
 
+if TYPE_CHECKING:
+    import tiktoken
+
 # Fragments up to this length are remembered, and so many of them; then memory starts afresh.
 MEMORY_BYTES = 64
 MEMORY_ENTRIES = 120_000
+# Longer fragments are encoded one by one, by the tokenizers library itself.
+LONG_BYTES = 10_000
 # White space outside ASCII: such a text is cut at fewer places.
-WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+WIDE_SPACE = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Fixed value: how byte-level tokenizers split a text into words.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -78,7 +86,7 @@ class Codec:
         self.tokenizer.no_padding()
         self.special = {t["content"]: t["id"] for t in added}
         longest_first = sorted(self.special, key=len, reverse=True)
-        self.specials = re.compile("|".join(map(re.escape, longest_first))) if added else None
+        self.specials = "|".join(map(re.escape, longest_first))
         symbols = byte_of_symbol()
         self.bytes_of: list[bytes] = [b""] * self.tokenizer.get_vocab_size()
         inside = np.zeros((256, 256), bool)
@@ -90,6 +98,8 @@ class Codec:
             self.bytes_of[number] = raw
             inside[list(raw[:-1]), list(raw[1:])] = True
         self.length_of = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.tokens = pa.array(self.bytes_of, pa.binary())
+        self.fast = self._fast_encoding(bpe)
         kinds = _kinds()
         first, second = kinds[:, None], kinds[None, :]
         # Words never reach from one kind of character to the next. White space is cut only before,
@@ -100,66 +110,139 @@ class Codec:
         # A character outside ASCII that is no white space, then white space.
         self.narrow_cuts = self.cuts.copy()
         self.cuts[0x80:, kinds == 0] = ~inside[0x80:, kinds == 0]
-        self.memory: dict[bytes, tuple[int, ...]] = {}
-
-    def fragments(self, text: str) -> list[bytes]:
-        raw = text.encode()
-        if not raw:
-            return []
-        codes = np.frombuffer(raw, np.uint8)
-        table = self.narrow_cuts if WIDE_SPACE.search(text) else self.cuts
-        at = np.flatnonzero(table[codes[:-1], codes[1:]]) + 1
-        ends = [*at.tolist(), len(raw)]
-        return [raw[i:j] for i, j in zip([0, *ends], ends)]
-
-    def _encode_new(self, fragments: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Ids of fragments. Those that begin with a blank after one that ends in a plain character
-        are certain cuts also when laid one behind the other, so these are encoded in one call."""
-        found: dict[bytes, tuple[int, ...]] = {}
-        row: list[bytes] = []
-        for fragment in fragments:
-            end = fragment[-1:]
-            if fragment[0] == 0x20 and fragment[1:2] > b" " and b" " < end < b"\x7f" and end != b"'":
-                row.append(fragment)
-            else:
-                ids = self.tokenizer.encode(fragment.decode(), add_special_tokens=False).ids
-                found[fragment] = tuple(ids)
-        for k in range(0, len(row), 20_000):
-            part = row[k : k + 20_000]
-            ids = self.tokenizer.encode(b"".join(part).decode(), add_special_tokens=False).ids
-            ends = np.cumsum(self.length_of[ids])
-            stops = np.searchsorted(ends, np.cumsum([len(f) for f in part])) + 1
-            starts = [0, *stops.tolist()]
-            for fragment, i, j in zip(part, starts, stops.tolist()):
-                found[fragment] = tuple(ids[i:j])
-        return found
-
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text; none for null. Strings of special tokens become those tokens."""
-        pieces: list[list[bytes | int]] = []
-        for text in texts:
-            text = text or ""
-            found: list[bytes | int] = []
-            start = 0
-            for m in self.specials.finditer(text) if self.specials else ():
-                found += self.fragments(text[start : m.start()])
-                found.append(self.special[m[0]])
-                start = m.end()
-            found += self.fragments(text[start:] if start else text)
-            pieces.append(found)
+        self._forget()
+
+    def _fast_encoding(self, bpe: dict) -> tiktoken.Encoding | None:
+        """The same encoder by tiktoken, where that is certain to give the same ids.
+
+        It merges any two neighbours that are a token together, by the least id; the library merges
+        the listed pairs only, in their order. Both do the same if ids follow the merges and the
+        bytes of every token become that token: then no other two parts of a token ever come to
+        stand side by side, as they could not be merged when the token stands alone either.
+        """
+        import tiktoken
+
+        merged = [a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in bpe["merges"])]
+        numbers = [bpe["vocab"].get(m, -1) for m in merged]
+        ordered = all(a < b for a, b in zip([-1, *numbers], numbers))
+        plain = [t for t in bpe["vocab"] if t not in self.special]
+        complete = all(s in bpe["vocab"] for s in byte_of_symbol())
+        if not (ordered and complete and all(len(self.tokenizer.model.tokenize(t)) == 1 for t in plain)):
+            return None
+        ranks = {self.bytes_of[bpe["vocab"][t]]: bpe["vocab"][t] for t in plain}
+        return tiktoken.Encoding("own", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def _forget(self) -> None:
+        """Fragments known by their bytes, each the number of a place in ``bounds`` of ``known``."""
+        self.memory = {text.encode(): k for k, text in enumerate(self.special)}
+        self.known = np.array(list(self.special.values()), np.int32)
+        self.bounds = np.arange(len(self.special) + 1)
+
+    def _fragments(self, texts: pa.StringArray) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
+        """The fragments of all texts one behind the other, the number of the first of each text (and
+        their count), and the table of cuts that holds wherever these fragments meet."""
+        plain = pc.fill_null(texts, "").cast(pa.large_binary())
+        _, offsets, data = plain.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[plain.offset : plain.offset + len(plain) + 1]
+        codes = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        # True where a fragment ends, by the place of its last byte.
+        pairs = codes[:-1].astype(np.uint16) << 8 | codes[1:]
+        cut = np.append(self.cuts.ravel()[pairs], True)[: len(codes)]
+        wide = pc.fill_null(pc.match_substring_regex(texts, WIDE_SPACE), False).to_numpy(zero_copy_only=False)
+        if wide.any():
+            at = np.repeat(~wide, np.diff(bounds))
+            cut[:-1] &= at[:-1] | self.narrow_cuts.ravel()[pairs]
+        cut[bounds[(bounds > 0)] - 1] = True
+        if self.special:
+            marked = pc.fill_null(pc.match_substring_regex(texts, self.specials), False)
+            for k in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+                low, high = bounds[k : k + 2].tolist()
+                for m in re.finditer(self.specials.encode(), codes[low:high].tobytes()):
+                    cut[low + m.start() : low + m.end()] = False
+                    cut[low + m.end() - 1] = True
+                    if m.start():
+                        cut[low + m.start() - 1] = True
+        ends = np.append(0, np.flatnonzero(cut) + 1)
+        found = pa.Array.from_buffers(
+            pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(codes)]
+        )
+        return found, np.searchsorted(ends, bounds), self.narrow_cuts if wide.any() else self.cuts
+
+    def _encode_new(self, fragments: list[bytes], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of fragments one behind the other, and how many each has. Neighbours whose bytes meet
+        at a certain cut are encoded in one call."""
+        size = np.array([len(f) for f in fragments])
+        first = np.array([f[0] for f in fragments])
+        last = np.array([f[-1] for f in fragments])
+        # White space or words of great length would overflow the stack of tiktoken's search.
+        long = size > LONG_BYTES
+        apart = ~cuts[last[:-1], first[1:]] | long[:-1] | long[1:]
+        starts = [0, *(np.flatnonzero(apart) + 1).tolist()]
+        parts = []
+        for i, j in zip(starts, [*starts[1:], len(fragments)]):
+            text = b"".join(fragments[i:j]).decode()
+            if self.fast is not None and not long[i]:
+                parts.append(self.fast.encode_ordinary(text))
+                continue
+            # To the library, fragments may together look like a special token.
+            joined = self.special and j - i > 1 and re.search(self.specials, text)
+            for part in [f.decode() for f in fragments[i:j]] if joined else [text]:
+                parts.append(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        ids = np.fromiter(chain.from_iterable(parts), np.int32, sum(map(len, parts)))
+        stops = np.searchsorted(np.cumsum(self.length_of[ids]), np.cumsum(size)) + 1
+        return ids, np.diff(stops, prepend=0)
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and their bounds: one more than there are texts.
+
+        Null has none. Strings of special tokens become those tokens. Each distinct fragment is
+        looked up or encoded once; the places of all others are filled by its number.
+        """
+        if not len(texts):
+            return np.empty(0, np.int32), np.zeros(1, np.int64)
+        fragments, firsts, cuts = self._fragments(texts)
+        coded = fragments.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         memory = self.memory
         if len(memory) > MEMORY_ENTRIES:
-            memory.clear()
-        wanted = set(chain.from_iterable(pieces)).difference(memory)
-        new = self._encode_new(f for f in wanted if isinstance(f, bytes))
-        new |= {number: (number,) for number in wanted if isinstance(number, int)}
-        out = []
-        look = new.get
-        for found in pieces:
-            values = [memory[f] if f in memory else look(f) for f in found]
-            out.append(list(chain.from_iterable(values)))
-        memory.update((f, v) for f, v in new.items() if isinstance(f, int) or len(f) <= MEMORY_BYTES)
-        return out
+            self._forget()
+            memory = self.memory
+        new = [f for f in distinct if f not in memory]
+        short = [f for f in new if len(f) <= MEMORY_BYTES]
+        new = short + [f for f in new if len(f) > MEMORY_BYTES] if len(short) < len(new) else short
+        known, bounds, kept = self.known, self.bounds, len(memory) + len(short)
+        if new:
+            ids, counts = self._encode_new(new, cuts)
+            known = np.append(known, ids)
+            bounds = np.append(bounds, bounds[-1] + np.cumsum(counts))
+            memory.update(zip(new, range(len(memory), len(memory) + len(new))))
+        places = np.fromiter(map(memory.__getitem__, distinct), np.int64, len(distinct))
+        for f in new[len(short) :]:
+            del memory[f]
+        self.known, self.bounds = known[: bounds[kept]], bounds[: kept + 1]
+        places = places[coded.indices.to_numpy(zero_copy_only=False)]
+        begins, sizes = bounds[places], np.diff(bounds)[places]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = known[np.repeat(begins - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[firsts]
+
+    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of each text; none for null."""
+        ids, bounds = self.encode(pa.array(texts, pa.string()))
+        every = ids.tolist()
+        return [every[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> pa.StringArray:
+        """The texts of ids that lie one behind the other, as :meth:`decode` gives them."""
+        tokens = self.tokens.take(pa.array(ids))
+        _, offsets, data = tokens.buffers()
+        ends = np.frombuffer(offsets, np.int32)[tokens.offset : tokens.offset + len(tokens) + 1]
+        texts = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends[bounds]), data])
+        try:
+            return texts.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([raw.decode("utf-8", "replace") for raw in texts.to_pylist()], pa.string())
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
@@ -219,12 +302,10 @@ def encode_documents(
         for whole in batches:
             position = whole.schema.get_field_index(text_column)
             for batch in small_batches(whole, text_column, 1_000_000):
-                ids = own.encode_batch(batch.column(position).to_pylist())
-                sizes = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1]))
-                columns = [pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))]
+                ids, bounds = own.encode(batch.column(position))
+                columns = [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))]
                 if decoded_column:
-                    columns.append(pa.array([own.decode(x) for x in ids], pa.string()))
+                    columns.append(own.decode_all(ids, bounds))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, *columns], [*batch.schema.names, *[f.name for f in new]]
                 )

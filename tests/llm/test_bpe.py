@@ -1,10 +1,15 @@
 import hashlib
+import json
 import random
+import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm.bpe import codec, decode_documents, encode_documents
+from millrace.llm import bpe
+from millrace.llm.bpe import Codec, codec, decode_documents, encode_documents
 from millrace.llm.queries import QUERIES, VOCABULARY
 from millrace.llm.token_counts import count_field_tokens, count_section_tokens
 from tests.llm.conftest import DATA, ODD
@@ -50,6 +55,72 @@ def test_cuts_are_inside_no_token():
             assert not any(own.cuts[a, b] for a, b in zip(token, token[1:]))
 
 
+def test_new_words_take_a_third_of_the_time_of_the_library(library):
+    rnd = random.Random(5)
+    syllables = ["".join(rnd.choices("etaoinshrdlucmé", k=rnd.randint(2, 4))) for _ in range(300)]
+    words = ["".join(rnd.choices(syllables, k=3)) for _ in range(60_000)]
+    often = [1 / (k + 10) for k in range(len(words))]
+    texts = [" ".join(rnd.choices(words, often, k=1000)) for _ in range(300)]
+
+    def seconds(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    column = pa.array(texts)
+    owns = [Codec(VOCABULARY) for _ in range(2)]
+    best = min(seconds(lambda own=own: own.decode_all(*own.encode(column))) for own in owns)
+    assert 3 * best < min(seconds(lambda: [library.encode(t).ids for t in texts]) for _ in range(2))
+
+
+def test_runs_of_great_length(library):
+    """White space that would overflow the stack of a search, and a word as long."""
+    cases = ["a" + " " * 300_000 + "b", " x" * 20 + "\t" * 300_000, "z" * 300_000, " y" * 20, " " * 9000 + "漢字" * 9000]
+    for case, ids in zip(cases, codec(VOCABULARY).encode_batch(cases)):
+        assert ids == library.encode(case, add_special_tokens=False).ids, case[:9]
+
+
+def test_memory_that_starts_afresh(library, monkeypatch):
+    """Fragments too long to be remembered come again, next to those that are."""
+    monkeypatch.setattr(bpe, "MEMORY_ENTRIES", 20)
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 6)
+    rnd, own = random.Random(3), Codec(VOCABULARY)
+    words = ["".join(rnd.choices("abcé<|>' \xa0", k=rnd.randint(1, 9))) for _ in range(60)] + ["<|endoftext|>"]
+    for _ in range(50):
+        cases = [None, "", *(" ".join(rnd.choices(words, k=4)) for _ in range(5)), ""]
+        for case, ids in zip(cases, own.encode_batch(cases)):
+            assert ids == library.encode(case or "", add_special_tokens=False).ids, case
+        assert len(own.memory) <= 20 + 5 * 60 and len(own.bounds) == len(own.memory) + 1
+
+
+def test_vocabularies_that_need_the_library(tmp_path):
+    """Ids against the order of merges, and a token that its own bytes do not become."""
+    with open(VOCABULARY, encoding="utf-8") as file:
+        model = json.load(file)
+    vocab, merges = model["model"]["vocab"], model["model"]["merges"]
+    assert codec(VOCABULARY).fast is not None
+    first, last = ["".join(m if isinstance(m, list) else m.split(" ")) for m in (merges[0], merges[-1])]
+    text = "the thing that was the best " + "and then the other one " * 3
+    for k, change in enumerate(({first: vocab[last], last: vocab[first]}, {"zqzq": max(vocab.values()) + 2})):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(model | {"model": model["model"] | {"vocab": vocab | change}}), encoding="utf-8")
+        own = Codec(str(path))
+        assert own.fast is None
+        library = Tokenizer.from_file(str(path))
+        # The last two texts are no special token, though their fragments follow each other.
+        cases = [text + "zqzq", "x <|endoftext", "|> y"]
+        assert own.encode_batch(cases) == [library.encode(t, add_special_tokens=False).ids for t in cases]
+
+
+def test_ids_that_are_no_text():
+    own = codec(VOCABULARY)
+    half = [k for k, raw in enumerate(own.bytes_of) if raw in (b"\xc3", b"\xa9", b"\xff")]
+    rows = [half, [], half[:1], [*half[::-1], 5]]
+    decoded = own.decode_all(np.array(sum(rows, []), np.int32), np.cumsum([0, *map(len, rows)]))
+    assert decoded.to_pylist() == [own.decode(ids) for ids in rows]
+    assert own.encode_batch([]) == [] and own.encode_batch([None, ""]) == [[], []]
+
+
 def test_odd_rows(odd, none):
     coded = encode_documents(odd, VOCABULARY, decoded_column="back")
     rows = coded.collect()
