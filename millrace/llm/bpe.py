@@ -8,6 +8,7 @@ each distinct one once, and their ids are concatenated.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -22,10 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from millrace.llm.common import bound_batches
+from millrace.llm.common import bound_batches, frugal
 
 if TYPE_CHECKING:
     import tiktoken
+    from tokenizers import Tokenizer
 
 # Fragments up to this length are remembered, and so many of them; then memory starts afresh.
 MEMORY_BYTES = 64
@@ -58,14 +60,35 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
+# The library remembers the words that a model has met, and never frees them, not even with the model:
+# a worker must make one model and ask it all it asks once, or it grows with each task it is given.
+@lru_cache(maxsize=2)
+def _tokenizer(path: str, digest: bytes) -> Tokenizer:
+    """The tokenizer of a file with that content."""
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+@lru_cache(maxsize=8)
+def _whole_tokens(path: str, digest: bytes, special: frozenset[str]) -> bool:
+    """Whether the bytes of every token but ``special`` become that token."""
+    model = _tokenizer(path, digest)
+    plain = model.get_vocab(with_added_tokens=False).keys() - special
+    return all(len(model.model.tokenize(t)) == 1 for t in plain)
+
+
 class Codec:
     """Encoder and decoder of one byte-level tokenizer file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)
+        with open(path, "rb") as file:
+            raw_model = file.read()
+        model = json.loads(raw_model)
+        self.file = path, hashlib.sha256(raw_model).digest()
         added, bpe, splitter = model["added_tokens"], model["model"], model["pre_tokenizer"] or {}
         # What would make ids depend on more than the bytes on both sides of a cut.
         wrong = {
@@ -81,9 +104,7 @@ class Codec:
             raise ValueError(f"not supported: {', '.join(what for what, so in wrong.items() if so)}")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
             raise ValueError("special tokens that take their surroundings are not supported")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = _tokenizer(*self.file)
         self.special = {t["content"]: t["id"] for t in added}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = "|".join(map(re.escape, longest_first))
@@ -125,11 +146,10 @@ class Codec:
         merged = [a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in bpe["merges"])]
         numbers = [bpe["vocab"].get(m, -1) for m in merged]
         ordered = all(a < b for a, b in zip([-1, *numbers], numbers))
-        plain = [t for t in bpe["vocab"] if t not in self.special]
         complete = all(s in bpe["vocab"] for s in byte_of_symbol())
-        if not (ordered and complete and all(len(self.tokenizer.model.tokenize(t)) == 1 for t in plain)):
+        if not (ordered and complete and _whole_tokens(*self.file, frozenset(self.special))):
             return None
-        ranks = {self.bytes_of[bpe["vocab"][t]]: bpe["vocab"][t] for t in plain}
+        ranks = {self.bytes_of[n]: n for t, n in bpe["vocab"].items() if t not in self.special}
         return tiktoken.Encoding("own", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def _forget(self) -> None:
@@ -310,7 +330,7 @@ def encode_documents(
                     [*batch.columns, *columns], [*batch.schema.names, *[f.name for f in new]]
                 )
 
-    return docs.mapInArrow(encode, schema)
+    return docs.mapInArrow(frugal(encode), schema)
 
 
 def decode_documents(

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from millrace.sources.scratch import scratch_folder
 
@@ -54,6 +59,42 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
+Scan = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, where the C library and Arrow would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        # Other C libraries than glibc have no such call.
+        pass
+
+
+def frugal(scan: Scan) -> Scan:
+    """``scan`` for mapInArrow that gives freed memory back after each batch and at its end.
+
+    Workers outlive their task and wait beside those at work; what each kept of its largest moment
+    would add up with the memory of later stages.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        try:
+            yield from scan(each())
+        finally:
+            gc.collect()
+            give_back()
+
+    return run
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back, which cuts its lineage.
 
@@ -72,8 +113,14 @@ BROADCAST_ROWS = 100_000
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A table from the driver, broadcast where its rows are few; beyond that Spark may shuffle."""
-    table = spark.createDataFrame(rows, schema)
+    """A table from the driver, broadcast where its rows are few; beyond that Spark may shuffle.
+
+    It is handed over in Arrow's form: from a list of rows Spark would make an RDD, for which every
+    executor starts Python workers of another kind, and keeps them.
+    """
+    fields = StructType.fromDDL(schema)
+    columns = {name: pa.array([r[k] for r in rows]) for k, name in enumerate(fields.names)}
+    table = spark.createDataFrame(pa.table(columns), fields)
     return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import bitmap, flagged, slot_of, stored
+from millrace.llm.common import bitmap, flagged, frugal, slot_of, stored
 from millrace.llm.components import connected_components
 
 # Words whose hashes a worker remembers.
@@ -135,7 +135,7 @@ def _scan(docs: DataFrame, size: int, banding: Banding) -> DataFrame:
                     schema.names,
                 )
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(frugal(scan), schema)
 
 
 def _digest(shingles: np.ndarray) -> bytes | None:
@@ -159,7 +159,7 @@ def _whole_sets(docs: DataFrame, size: int) -> DataFrame:
                     schema.names,
                 )
 
-    return docs.select("text").mapInArrow(scan, schema)
+    return docs.select("text").mapInArrow(frugal(scan), schema)
 
 
 def _sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import WORDS, bound_batches, count_words, shards_for, small_table, stored
+from millrace.llm.common import WORDS, bound_batches, count_words, frugal, shards_for, small_table, stored
 
 BLOCK_WORDS = 64
 DOCS_PER_SHARD = 256
@@ -230,7 +230,7 @@ def cut_texts(
                 columns[at] = pa.array([text for own in turns for text in own], pa.string())
                 yield pa.RecordBatch.from_arrays(columns, columns_out)
 
-    return joined.mapInArrow(cut, docs.schema)
+    return joined.mapInArrow(frugal(cut), docs.schema)
 
 
 def cut_text(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from millrace.llm.bpe import small_batches
-from millrace.llm.common import bitmap, flagged, lowest_hashes, slot_of, stored
+from millrace.llm.common import bitmap, flagged, frugal, lowest_hashes, slot_of, small_table, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"\b[^\W\d_][*#@$]{2,}[^\W\d_]*")
@@ -76,7 +76,7 @@ def mine_lexicons(
                     ["kind", "entry", "clean", "toxic"],
                 )
 
-    counted = labelled.select("text", "toxic").mapInArrow(count, schema)
+    counted = labelled.select("text", "toxic").mapInArrow(frugal(count), schema)
     sums = counted.groupBy("kind", "entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     base = float(np.log((sizes.get(0, 0) + 1) / (sizes.get(1, 0) + 1)))
@@ -135,7 +135,7 @@ def _scan(rows: DataFrame, lexicons: Lexicons) -> DataFrame:
                     [batch.column(0), batch.column(2), *[pa.array(found[:, k]) for k in range(len(COUNTS))]], schema.names
                 )
 
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(frugal(scan), schema)
 
 
 def _hits() -> Column:
@@ -348,11 +348,12 @@ def score_toxicity(
     table = np.array([*seen.values()], float)
     keys = np.array([*seen], int)
     model = fit_label_model(keys, table[:, 0], table[:, 1:])
-    posterior = counted.sparkSession.createDataFrame(
+    posterior = small_table(
+        counted.sparkSession,
         [(list(map(int, k)), float(p)) for k, p in zip(keys, model.posteriors(keys))],
         "votes array<int>, label double",
     )
-    counted = counted.join(F.broadcast(posterior), "votes", "left")
+    counted = counted.join(posterior, "votes", "left")
     features = F.array(*inputs(rates)).alias("x")
     n_rows = sum(r["count"] for r in patterns)
     chosen = lowest_hashes(counted, "id", training_rows, n_rows, *COUNTS).select(features, "label").collect()

@@ -1,7 +1,10 @@
 import hashlib
 import json
 import random
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -197,3 +200,27 @@ def test_odd_sections(odd, none):
     assert count_section_tokens(none, VOCABULARY).count() == 0
     with pytest.raises(ValueError):
         count_section_tokens(odd, VOCABULARY, rule="half")
+
+
+def test_a_worker_does_not_grow_with_its_tasks():
+    """The library never frees the words that a model has met: each task's codec must not ask them again."""
+    code = f"""
+import gc, re
+from millrace.llm.bpe import Codec
+from millrace.llm.common import give_back
+
+def held():
+    gc.collect()
+    give_back()
+    with open("/proc/self/smaps_rollup") as file:
+        return sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", file.read()))) / 1024
+
+assert all(Codec({VOCABULARY!r}).fast is not None for _ in range(3))
+before = held()
+for _ in range(6):
+    Codec({VOCABULARY!r})
+print(held() - before)
+"""
+    root = Path(__file__).resolve().parents[2]
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert float(found.stdout) < 8

@@ -1,11 +1,14 @@
 """The stages on the small tables, and the rules that hold for all operators."""
 
 import re
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
 
 import corpus_pipeline
+from millrace.llm.common import small_table
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.oracle import ORACLE
@@ -63,3 +66,45 @@ def test_nothing_is_kept_on_one_machine_or_cut():
     banned = re.compile(r"localCheckpoint|toPandas|crossJoin|\.cache\(|\.persist\(|\.rdd\b|\.sample\(|tempfile")
     for path in [*ROOT.glob("millrace/llm/*.py"), ROOT / "corpus_pipeline.py"]:
         assert not banned.search(path.read_text()), path
+
+
+def test_tables_of_the_driver_ask_for_no_python_workers(spark):
+    rows = [(2, None, [1, -1], 0.5), (1, "é", None, None)]
+    table = small_table(spark, rows, "number int, name string, votes array<int>, label double")
+    assert sorted(map(tuple, table.collect())) == [(1, "é", None, None), (2, None, [1, -1], 0.5)]
+    assert table.schema == spark.createDataFrame(rows, table.schema).schema
+    assert "ExistingRDD" not in table._jdf.queryExecution().toString()
+    assert small_table(spark, [], "number int, name string").count() == 0
+
+
+def test_scans_give_their_memory_back():
+    """A worker that waits for its next task is hardly larger than before the last one."""
+    code = """
+import re
+import pyarrow as pa
+from millrace.llm.common import frugal
+
+def held():
+    with open("/proc/self/smaps_rollup") as file:
+        return sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", file.read()))) / 1024
+
+def scan(batches):
+    for batch in batches:
+        # Small objects that stay lie between those that go.
+        parts = [bytes(2000) for _ in range(30_000)]
+        large = pa.array(parts * 2)
+        kept.append(bytes(2000))
+        del parts, large
+        yield batch
+
+kept = []
+batch = pa.RecordBatch.from_arrays([pa.array([1])], ["id"])
+assert len(list(frugal(scan)(iter([batch] * 2)))) == 2
+before = held()
+for out in frugal(scan)(iter([batch] * 5)):
+    pass
+print(held() - before, held())
+"""
+    found = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    grown, all_held = map(float, found.stdout.split())
+    assert grown < 20 and all_held < 100
